@@ -40,9 +40,10 @@ def is_present(x) -> Column:
 
 
 def na_to_null(x, tokens=K.NA_TOKENS) -> Column:
-    """Text that a pandas CSV read turns into a missing value becomes NULL (P10)."""
+    """Text that a pandas CSV read turns into a missing value becomes NULL (P10).
+    Matching is exact, as in pandas (no stripping)."""
     c = _c(x)
-    return F.when(~strip(c).isin(*tokens), c)
+    return F.when(~c.isin(*tokens), c)
 
 
 def nan_to_null(x) -> Column:

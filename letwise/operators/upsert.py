@@ -4,8 +4,8 @@ The table is immutable between versions: an upsert reads the current snapshot an
 incoming batch and returns the next snapshot as a DataFrame (written by the caller,
 see ``letwise.sources.snapshot``).
 
-Shuffle plan of ``upsert``: the batch is reduced to one row per key by a hash
-aggregate on ``ads_id`` (partial aggregation first), then full-outer joined with the
+Shuffle plan of ``upsert``: the batch is reduced to one row per key by an aggregate
+on ``ads_id`` (partial aggregation before the shuffle), then full-outer joined with the
 table on ``ads_id``. The aggregate's output is already hash-partitioned on the key, so
 only the table side is exchanged for the join.
 """
@@ -83,14 +83,17 @@ def evolve_schema(table: DataFrame) -> DataFrame:
 
 
 def prepare_batch(batch: DataFrame, order_cols: Sequence[str] = ("scrape_date",)) -> DataFrame:
-    """Conform a batch and keep the latest row per key (R2). ``order_cols`` are columns of
-    the batch (e.g. ``scrape_date``, a source file name, a row position) compared in order;
-    the rest of the row breaks ties so the result never depends on input order."""
+    """Type the batch's own columns, keep the latest row per key (R2), then conform to
+    the scrape columns. ``order_cols`` are columns of the batch (e.g. ``scrape_date``, a
+    source file name, a row position) compared in order; the rest of the row breaks ties
+    so the result never depends on input order. Absent columns are added only after the
+    aggregation, so the shuffled rows carry no NULL placeholders."""
     require_key(batch)
+    present = [c for c in S.SCRAPE_COLUMNS if c in batch.columns]
     extra = [c for c in order_cols if c not in S.SCRAPE_COLUMNS and c in batch.columns]
-    conformed = conform(batch, S.SCRAPE_COLUMNS, S.TABLE_TYPES, keep=extra)
-    picked = latest_per_key(conformed, [S.KEY], [c for c in order_cols if c in conformed.columns])
-    return picked.select(*S.SCRAPE_COLUMNS)
+    typed = batch.select(*[_typed(batch, c, S.TABLE_TYPES[c]) for c in present], *extra)
+    picked = latest_per_key(typed, [S.KEY], [c for c in order_cols if c in typed.columns])
+    return conform(picked, S.SCRAPE_COLUMNS, S.TABLE_TYPES)
 
 
 def upsert(table: DataFrame | None, batch: DataFrame,
@@ -117,28 +120,24 @@ def upsert(table: DataFrame | None, batch: DataFrame,
     bb = b.select(*[F.col(c).alias(f"b_{c}") for c in S.SCRAPE_COLUMNS])
     j = tb.join(bb, tb[f"t_{S.KEY}"] == bb[f"b_{S.KEY}"], "full_outer")
 
-    in_batch = F.col(f"b_{S.KEY}").isNotNull()
-    in_table = F.col(f"t_{S.KEY}").isNotNull()
-    b_day = LF.parse_day(F.col("b_scrape_date"))
-    t_day = LF.parse_day(F.col("t_scrape_date"))
+    # flags computed once; the final projection only references them
+    j = (j.withColumn("_in_table", F.col(f"t_{S.KEY}").isNotNull())
+          .withColumn("_b_day", LF.parse_day(F.col("b_scrape_date"))))
     if guard_late:
-        late = in_table & b_day.isNotNull() & t_day.isNotNull() & (b_day < t_day)
+        t_day = LF.parse_day(F.col("t_scrape_date"))
+        late = F.col("_in_table") & F.col("_b_day").isNotNull() & t_day.isNotNull() & (F.col("_b_day") < t_day)
     else:
         late = F.lit(False)
-    take_batch = in_batch & ~late
+    j = j.withColumn("_take", F.col(f"b_{S.KEY}").isNotNull() & ~late)
+    take, in_table, b_day = F.col("_take"), F.col("_in_table"), F.col("_b_day")
 
-    cols = []
-    for c in S.SCRAPE_COLUMNS:
-        cols.append(F.when(take_batch, F.col(f"b_{c}")).otherwise(F.col(f"t_{c}")).alias(c))
+    cols = [F.when(take, F.col(f"b_{c}")).otherwise(F.col(f"t_{c}")).alias(c) for c in S.SCRAPE_COLUMNS]
+    cols.append(F.when(take & ~in_table, b_day).otherwise(F.col("t_first_seen")).alias("first_seen"))
     cols.append(
-        F.when(take_batch & ~in_table, b_day).otherwise(F.col("t_first_seen")).alias("first_seen"))
-    cols.append(
-        F.when(take_batch & in_table, b_day)
-        .when(take_batch, F.lit(None).cast("date"))
+        F.when(take & in_table, b_day)
+        .when(take, F.lit(None).cast("date"))
         .otherwise(F.col("t_last_checked_at")).alias("last_checked_at"))
     cols.append(
-        F.when(take_batch, F.lit(K.STATUS_ACTIVE)).otherwise(F.col("t_availability_status"))
-        .alias("availability_status"))
-    cols.append(
-        F.when(take_batch, F.lit(None).cast("date")).otherwise(F.col("t_gone_at")).alias("gone_at"))
+        F.when(take, F.lit(K.STATUS_ACTIVE)).otherwise(F.col("t_availability_status")).alias("availability_status"))
+    cols.append(F.when(take, F.lit(None).cast("date")).otherwise(F.col("t_gone_at")).alias("gone_at"))
     return j.select(*cols)

@@ -222,3 +222,35 @@ def order_text_table_sql() -> str:
            CASE WHEN o_orderkey % 97 = 0 THEN 'garbage' ELSE strftime(last_checked_at, '%Y-%m-%d') END AS last_checked_at,
            availability_status, ad_expiry
     FROM ({order_table_sql()}) t"""
+
+
+def order_raw_listings(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as raw text listings, as landed in raw CSV: rent/size labels, category label,
+    room text, published date text and a raw type name."""
+    o = T(spark, d, "orders")
+    k = F.col("o_orderkey")
+    return o.select(
+        k.cast("string").alias("ads_id"),
+        F.when(k % 13 == 0, F.lit(None).cast("string")).otherwise(money_label(F.col("o_totalprice"))).alias("monthly_rent"),
+        F.concat(case_col(F.col("o_orderpriority"), PRIORITY_CATEGORY), F.lit(", For rent")).alias("category_id"),
+        F.when(k % 10 == 0, F.lit("unknown"))
+         .otherwise(F.concat(F.format_number(F.floor(F.col("o_totalprice") / 100), 0), F.lit(" sq.ft."))).alias("size"),
+        F.when(k % 9 == 0, F.lit("More than 10")).otherwise((k % 6).cast("double").cast("string")).alias("rooms"),
+        F.when(k % 8 == 0, F.lit("bad-date")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).alias("publishedDatetime"),
+        index_col(k % 7, CUSTOMER_TYPES).alias("property_type"),
+        F.col("o_orderstatus").alias("state"),
+    )
+
+
+def order_raw_listings_sql() -> str:
+    return f"""
+    SELECT CAST(o_orderkey AS VARCHAR) AS ads_id,
+           CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE {money_label_sql('o_totalprice')} END AS monthly_rent,
+           {case_sql('o_orderpriority', PRIORITY_CATEGORY)} || ', For rent' AS category_id,
+           CASE WHEN o_orderkey % 10 = 0 THEN 'unknown'
+                ELSE format('{{:,.0f}}', floor(o_totalprice / 100)) || ' sq.ft.' END AS size,
+           CASE WHEN o_orderkey % 9 = 0 THEN 'More than 10' ELSE CAST(CAST(o_orderkey % 6 AS DOUBLE) AS VARCHAR) END AS rooms,
+           CASE WHEN o_orderkey % 8 = 0 THEN 'bad-date' ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS publishedDatetime,
+           {index_sql('o_orderkey % 7', CUSTOMER_TYPES)} AS property_type,
+           o_orderstatus AS state
+    FROM orders"""

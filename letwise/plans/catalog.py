@@ -793,3 +793,27 @@ def run_counters(spark: SparkSession, d: str) -> DataFrame:
         "n_in": n("in"), "n_skipped": n("in") - n("new"), "n_new": n("new"),
         "n_excluded": n("new") - n("kept"), "n_kept": n("kept"),
     }, stages)
+
+
+@register("clean_job", f"""SELECT l.ads_id, {Q.clean_rent('l.monthly_rent')} AS monthly_rent, {Q.strip_category('l.category_id')} AS category_id,
+  {Q.clean_size('l.size')} AS size, {Q.clean_rooms('l.rooms')} AS rooms, {Q.publish_date('l.publishedDatetime')} AS publishedDatetime,
+  l.property_type, l.state, {Q.standard_type('l.property_type')} AS CPI
+FROM ({B.order_raw_listings_sql()}) l LEFT JOIN {Q.mapping_values()} ON trim(l.property_type) = m.key
+WHERE {Q.strip_category('l.category_id')} NOT IN ({EXCLUDED_SQL})""")
+def clean_job(spark: SparkSession, d: str) -> DataFrame:
+    """The whole clean step (W1, F1, F5/W2, F2, F3, F4, J2) over raw text listings."""
+    return clean_listings(B.order_raw_listings(spark, d), mapping_dimension(spark))
+
+
+@register("content_dedup_lines", """WITH t AS (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS ads_id,
+     l_partkey, l_quantity, l_returnflag, l_extendedprice FROM lineitem)
+SELECT ads_id, l_partkey, l_quantity, l_returnflag, l_extendedprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_partkey, l_quantity, l_returnflag ORDER BY ads_id, l_extendedprice) AS rn FROM t)
+WHERE rn = 1""")
+def content_dedup_lines(spark: SparkSession, d: str) -> DataFrame:
+    """D2 on lines: rows equal on (part, quantity, return flag) collapse to the smallest
+    text id (ties on the id broken by the smallest remaining values)."""
+    li = read_table(spark, d, "lineitem")
+    t = li.select(F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("ads_id"),
+                  "l_partkey", "l_quantity", "l_returnflag", "l_extendedprice")
+    return content_dedup(t, ["l_partkey", "l_quantity", "l_returnflag"])
