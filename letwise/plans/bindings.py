@@ -254,3 +254,42 @@ def order_raw_listings_sql() -> str:
            {index_sql('o_orderkey % 7', CUSTOMER_TYPES)} AS property_type,
            o_orderstatus AS state
     FROM orders"""
+
+
+EVENT_CATEGORY = {
+    "view": "Apartment / Condominium",
+    "click": "Room",
+    "signup": "House",
+    "purchase": "Land",
+    "error": "Commercial Property",
+}
+
+
+def event_raw_listings(spark: SparkSession, d: str) -> DataFrame:
+    """Events as raw text listing rows (the raw-file layout)."""
+    e = T(spark, d, "events")
+    u = F.col("user_id")
+    return e.select(
+        F.col("event_id").cast("string").alias("ads_id"),
+        money_label(F.col("value")).alias("monthly_rent"),
+        index_col(u % 7, CUSTOMER_TYPES).alias("property_type"),
+        (u % 7).cast("string").alias("property_type_id"),
+        F.concat(case_col(F.col("event_type"), EVENT_CATEGORY), F.lit(", For rent")).alias("category_id"),
+        F.concat(F.lit("s"), (u % 4).cast("string")).alias("state"),
+        (u % 5).cast("double").cast("string").alias("rooms"),
+        F.concat(F.floor("value").cast("string"), F.lit(" sq.ft.")).alias("size"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("publishedDatetime"),
+        F.date_format("ts", "yyyy-MM-dd").alias("scrape_date"),
+    )
+
+
+def event_raw_listings_sql() -> str:
+    return f"""
+    SELECT CAST(event_id AS VARCHAR) AS ads_id, {money_label_sql('value')} AS monthly_rent,
+           {index_sql('user_id % 7', CUSTOMER_TYPES)} AS property_type,
+           {case_sql('event_type', EVENT_CATEGORY)} || ', For rent' AS category_id,
+           's' || CAST(user_id % 4 AS VARCHAR) AS state,
+           CAST(CAST(user_id % 5 AS DOUBLE) AS VARCHAR) AS rooms,
+           CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) || ' sq.ft.' AS size,
+           strftime(ts, '%Y-%m-%d %H:%M:%S') AS publishedDatetime
+    FROM events"""

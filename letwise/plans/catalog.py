@@ -817,3 +817,44 @@ def content_dedup_lines(spark: SparkSession, d: str) -> DataFrame:
     t = li.select(F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("ads_id"),
                   "l_partkey", "l_quantity", "l_returnflag", "l_extendedprice")
     return content_dedup(t, ["l_partkey", "l_quantity", "l_returnflag"])
+
+
+# --------------------------------------------------------------------------- streaming
+@register("stream_ingest", f"""SELECT l.ads_id, {Q.clean_rent('l.monthly_rent')} AS monthly_rent, {Q.strip_category('l.category_id')} AS category_id,
+  {Q.clean_size('l.size')} AS size, {Q.clean_rooms('l.rooms')} AS rooms, {Q.publish_date('l.publishedDatetime')} AS publishedDatetime,
+  l.state, {Q.standard_type('l.property_type')} AS CPI
+FROM ({B.event_raw_listings_sql()}) l LEFT JOIN {Q.mapping_values()} ON trim(l.property_type) = m.key
+WHERE {Q.strip_category('l.category_id')} NOT IN ({EXCLUDED_SQL})""")
+def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """S8 + ST1: raw listing CSVs landed per (state, type) slice are cleaned by a file
+    stream with a checkpoint; a second run finds nothing new (exactly once)."""
+    from letwise.sources.files import write_raw
+    from letwise.streaming.jobs import ingest_raw
+    src, sink, ck = (scratch_path(spark, n) for n in ("raw", "clean", "ckpt"))
+    write_raw(B.event_raw_listings(spark, d), src)
+    mapping = mapping_dimension(spark)
+    ingest_raw(spark, src, sink, ck, mapping)
+    ingest_raw(spark, src, sink, ck, mapping)
+    out = spark.read.parquet(sink)
+    return out.select("ads_id", "monthly_rent", "category_id", "size", "rooms", "publishedDatetime", "state", "CPI")
+
+
+@register("stream_upsert", """SELECT ads_id, monthly_rent, state, scrape_date, 'active' AS availability_status FROM (
+  SELECT CAST(user_id AS VARCHAR) AS ads_id, value AS monthly_rent, event_type AS state, strftime(ts, '%Y-%m-%d') AS scrape_date,
+         row_number() OVER (PARTITION BY user_id ORDER BY strftime(ts, '%Y-%m-%d') DESC, value DESC, event_type DESC) AS rn
+  FROM events) WHERE rn = 1""")
+def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """ST2: per-user sightings arrive as one file per day; each micro-batch is upserted
+    into the versioned table through foreachBatch. The final table equals the batch
+    answer: the latest day's row per user."""
+    from letwise.sources.snapshot import read_snapshot
+    from letwise.streaming.jobs import upsert_stream
+    e = read_table(spark, d, "events")
+    rows = e.select(F.col("user_id").cast("string").alias("ads_id"), F.col("value").alias("monthly_rent"),
+                    F.col("event_type").alias("state"), F.date_format("ts", "yyyy-MM-dd").alias("scrape_date"))
+    src, root, ck = (scratch_path(spark, n) for n in ("days", "table", "ckpt"))
+    rows.withColumn("day", F.col("scrape_date")).repartition("day").write.partitionBy("day").parquet(src)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 8).parquet(src)
+    upsert_stream(stream, root, ck, writer_id="events")
+    t = read_snapshot(spark, root)
+    return t.select("ads_id", "monthly_rent", "state", "scrape_date", "availability_status")

@@ -72,7 +72,9 @@ def write_raw(df: DataFrame, path: str, partition_cols=("state", "property_type_
 
     Every file carries the full raw header in fixed order, so later reads need no
     inference. Empty input writes nothing."""
-    (df.select(*S.RAW_COLUMNS, *[F.col(c).alias(f"slice_{c}") for c in partition_cols])
+    full = df.select(*[(F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string")).alias(c)
+                       for c in S.RAW_COLUMNS])
+    (full.select(*S.RAW_COLUMNS, *[F.col(c).alias(f"slice_{c}") for c in partition_cols])
        .write.mode("append").option("header", True).option("escape", '"')
        .partitionBy(*[f"slice_{c}" for c in partition_cols]).csv(path))
 

@@ -6,8 +6,8 @@ Layout under a table root::
     <root>/_commits/version=1/part-*.parquet   one-row commit record, written last
 
 A version is visible only once its commit record exists, so a job that dies half-way
-leaves an orphan folder that readers never see, and a retried job writes the next
-free version. Readers never read and overwrite the same path.
+leaves an orphan folder that readers never see; the retry rewrites that folder. The
+table is single-writer. Readers never read and overwrite the same path.
 """
 
 from __future__ import annotations
@@ -48,21 +48,39 @@ def read_snapshot(spark: SparkSession, root: str, version: int | None = None) ->
     return spark.read.option("mergeSchema", True).parquet(f"{root.rstrip('/')}/v={v:08d}")
 
 
+def commit_state(spark: SparkSession, root: str, writer_id: str, batch_id: int) -> tuple[int | None, bool]:
+    """``(latest version, whether micro-batch batch_id of writer_id is already
+    committed)`` from one read of the commit log. A replayed batch must not be applied
+    twice."""
+    if current_version(spark, root) is None:
+        return None, False
+    log = spark.read.parquet(_commits(root))
+    hit = (F.col("writer_id") == writer_id) & (F.col("batch_id") == batch_id)
+    row = log.agg(F.max("version").alias("v"), F.max(F.when(hit, 1)).alias("hit")).first()
+    return int(row["v"]), row["hit"] is not None
+
+
 def write_snapshot(df: DataFrame, root: str, partition_by: tuple[str, ...] = (),
-                   sort_by: tuple[str, ...] = (S.KEY,)) -> int:
+                   sort_by: tuple[str, ...] = (S.KEY,), writer_id: str = "",
+                   batch_id: int = -1, base_version: int | None = -1) -> int:
     """Write ``df`` as the next version and commit it. Returns the new version.
 
     Rows are sorted by key within each task so Parquet row-group min/max statistics
-    prune key lookups."""
+    prune key lookups. ``writer_id``/``batch_id`` are recorded in the commit so a
+    streaming writer can skip a replayed micro-batch. ``base_version`` is the version
+    the new one is derived from, when the caller already knows it."""
     spark = df.sparkSession
-    cur = current_version(spark, root)
+    cur = current_version(spark, root) if base_version == -1 else base_version
     v = 1 if cur is None else cur + 1
     w = df.sortWithinPartitions(*sort_by) if sort_by else df
-    writer = w.write.mode("errorifexists")
+    # an existing folder for this version is an orphan of a failed attempt (never
+    # committed, never read), so it is replaced
+    writer = w.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{root.rstrip('/')}/v={v:08d}")
     commit = spark.createDataFrame(
-        [(v, _dt.datetime.now(_dt.timezone.utc).isoformat())], "version int, committed_at string")
+        [(v, _dt.datetime.now(_dt.timezone.utc).isoformat(), writer_id, int(batch_id))],
+        "version int, committed_at string, writer_id string, batch_id long")
     commit.write.mode("append").partitionBy("version").parquet(_commits(root))
     return v
