@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from letwise import constants as K
+from letwise.session import literal_frame
 
 
 def exact_mean(c) -> Column:
@@ -63,7 +64,7 @@ def category_drift(df: DataFrame, column: str = "category", allowed: Iterable[st
     ``(category, issue)``: ``unexpected`` (seen, not allowed) or ``missing`` (allowed, not
     seen). Empty = pass. The allowed side is a literal list."""
     spark = df.sparkSession
-    allowed_df = spark.createDataFrame([(a,) for a in allowed], "category string")
+    allowed_df = literal_frame(spark, [(a,) for a in allowed], "category string")
     seen = df.select(F.col(column).alias("category")).where(F.col("category").isNotNull()).distinct()
     unexpected = seen.join(F.broadcast(allowed_df), "category", "left_anti").withColumn("issue", F.lit("unexpected"))
     missing = allowed_df.join(seen, "category", "left_anti").withColumn("issue", F.lit("missing"))

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from letwise import constants as K
 from letwise import functions as LF
+from letwise.session import literal_frame
 
 
 def drop_all_null(df: DataFrame) -> DataFrame:
@@ -22,6 +23,21 @@ def drop_all_null(df: DataFrame) -> DataFrame:
     return df.dropna(how="all")
 
 
+def drop_all_missing(df: DataFrame, columns=None, tokens=K.NA_TOKENS) -> DataFrame:
+    """W1 on raw text, before NA tokens are turned into NULL: drop rows where every
+    column is NULL or an NA token (what a pandas read + ``dropna(how='all')`` drops).
+
+    Written as one OR over the raw columns so it stays a small predicate: applied after
+    the NA projection instead, the optimizer would push it below that projection and
+    then rewrite it once per aliased column (exponential constraint growth)."""
+    cols = list(columns or df.columns)
+    keep = None
+    for c in cols:
+        e = F.col(c).isNotNull() & ~F.col(c).isin(*tokens)
+        keep = e if keep is None else keep | e
+    return df.where(keep)
+
+
 def exclude_categories(df: DataFrame, column: str = "category_id",
                        excluded: Iterable[str] = K.EXCLUDED_CATEGORIES) -> DataFrame:
     """F5 + W2: strip ``', For rent'`` (NULL becomes ``''``) and drop excluded categories.
@@ -37,7 +53,7 @@ def mapping_dimension(spark: SparkSession, rows: Sequence[tuple[str | None, str
         T.StructField("std", T.StringType(), True),
         T.StructField("_row", T.LongType(), False),
     ])
-    df = spark.createDataFrame([(r, s, i) for i, (r, s) in enumerate(rows)], schema)
+    df = literal_frame(spark, [(r, s, i) for i, (r, s) in enumerate(rows)], schema)
     return build_mapping(df, order_col="_row")
 
 
@@ -75,10 +91,12 @@ def standardise_type(df: DataFrame, mapping: DataFrame, column: str = "property_
 
 
 def clean_listings(df: DataFrame, mapping: DataFrame | None = None,
-                   excluded: Iterable[str] = K.EXCLUDED_CATEGORIES) -> DataFrame:
-    """The whole clean step on a raw listing frame (text columns)."""
+                   excluded: Iterable[str] = K.EXCLUDED_CATEGORIES, drop_empty_rows: bool = True) -> DataFrame:
+    """The whole clean step on a raw listing frame (text columns). Pass
+    ``drop_empty_rows=False`` when the source already dropped all-missing rows
+    (``drop_all_missing``, done by the raw readers)."""
     cols = set(df.columns)
-    out = drop_all_null(df)
+    out = drop_all_null(df) if drop_empty_rows else df
     if "monthly_rent" in cols:
         out = out.withColumn("monthly_rent", LF.clean_rent("monthly_rent"))
     if "category_id" in cols:

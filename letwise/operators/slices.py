@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from letwise import constants as K
 from letwise import functions as LF
 from letwise.operators.dedup import first_per_key
+from letwise.session import literal_frame
 
 
 def combine_slices(frames: Sequence[DataFrame], key: str = "ads_id", order_col: str | None = None) -> DataFrame:
@@ -27,12 +28,12 @@ def combine_slices(frames: Sequence[DataFrame], key: str = "ads_id", order_col:
 
 def region_dimension(spark: SparkSession) -> DataFrame:
     """The fixed (state slug, region code) dimension."""
-    return spark.createDataFrame(sorted(K.REGION_CODES.items()), "state_key string, region_code string")
+    return literal_frame(spark, sorted(K.REGION_CODES.items()), "state_key string, region_code string")
 
 
 def type_dimension(spark: SparkSession) -> DataFrame:
     """The fixed (type id, type name) dimension of residential slices."""
-    return spark.createDataFrame(sorted(K.RESIDENTIAL_PROPERTY_TYPE_IDS.items()), "type_id int, type_name string")
+    return literal_frame(spark, sorted(K.RESIDENTIAL_PROPERTY_TYPE_IDS.items()), "type_id int, type_name string")
 
 
 def select_slices(df: DataFrame, state_col: str = "state", states: Iterable[str] | None = None,

@@ -112,9 +112,13 @@ def upsert(table: DataFrame | None, batch: DataFrame,
     b = prepare_batch(batch, order_cols)
     b = b.where(F.col(S.KEY).isNotNull())
     if table is None:
-        t = b.limit(0).select(*[F.lit(None).cast(S.TABLE_TYPES[c]).alias(c) for c in S.TABLE_COLUMNS])
-    else:
-        t = evolve_schema(table)
+        # first load: every row is an insert, no join needed
+        return b.select(*S.SCRAPE_COLUMNS,
+                        LF.parse_day("scrape_date").alias("first_seen"),
+                        F.lit(None).cast("date").alias("last_checked_at"),
+                        F.lit(K.STATUS_ACTIVE).alias("availability_status"),
+                        F.lit(None).cast("date").alias("gone_at"))
+    t = evolve_schema(table)
 
     tb = t.select(*[F.col(c).alias(f"t_{c}") for c in S.TABLE_COLUMNS])
     bb = b.select(*[F.col(c).alias(f"b_{c}") for c in S.SCRAPE_COLUMNS])

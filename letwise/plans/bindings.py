@@ -293,3 +293,33 @@ def event_raw_listings_sql() -> str:
            CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) || ' sq.ft.' AS size,
            strftime(ts, '%Y-%m-%d %H:%M:%S') AS publishedDatetime
     FROM events"""
+
+
+def order_load_listings(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as raw listings with coarse content (rent bucket, status, rooms, year), so
+    many rows are content duplicates of each other."""
+    o = T(spark, d, "orders")
+    k = F.col("o_orderkey")
+    rent = (F.floor(F.col("o_totalprice") / 100000) * 1000)
+    return o.select(
+        k.cast("string").alias("ads_id"),
+        F.concat(F.lit("RM "), F.format_number(rent, 0), F.lit(" per month")).alias("monthly_rent"),
+        F.concat(case_col(F.col("o_orderpriority"), PRIORITY_CATEGORY), F.lit(", For rent")).alias("category_id"),
+        F.col("o_orderstatus").alias("state"),
+        (k % 3).cast("string").alias("rooms"),
+        index_col(k % 7, CUSTOMER_TYPES).alias("property_type"),
+        (k % 7).cast("string").alias("property_type_id"),
+        F.date_format("o_orderdate", "yyyy-01-01").alias("publishedDatetime"),
+        F.lit("2026-05-01").alias("scrape_date"),
+    )
+
+
+def order_load_listings_sql() -> str:
+    return f"""
+    SELECT CAST(o_orderkey AS VARCHAR) AS ads_id,
+           'RM ' || format('{{:,}}', CAST(floor(o_totalprice / 100000) * 1000 AS BIGINT)) || ' per month' AS monthly_rent,
+           {case_sql('o_orderpriority', PRIORITY_CATEGORY)} || ', For rent' AS category_id,
+           o_orderstatus AS state, CAST(o_orderkey % 3 AS VARCHAR) AS rooms,
+           {index_sql('o_orderkey % 7', CUSTOMER_TYPES)} AS property_type,
+           strftime(o_orderdate, '%Y-01-01') AS publishedDatetime, '2026-05-01' AS scrape_date
+    FROM orders"""

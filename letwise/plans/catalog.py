@@ -858,3 +858,31 @@ def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
     upsert_stream(stream, root, ck, writer_id="events")
     t = read_snapshot(spark, root)
     return t.select("ads_id", "monthly_rent", "state", "scrape_date", "availability_status")
+
+
+_DEDUP_PART = ", ".join(K.CONTENT_DEDUP_COLUMNS)
+
+
+@register("load_job", f"""WITH l AS ({B.order_load_listings_sql()}),
+c AS (SELECT l.ads_id, {Q.clean_rent('l.monthly_rent')} AS monthly_rent, {Q.strip_category('l.category_id')} AS category_id,
+        {Q.clean_rooms('l.rooms')} AS rooms, {Q.publish_date('l.publishedDatetime')} AS publishedDatetime,
+        l.property_type, l.state, {Q.standard_type('l.property_type')} AS CPI, l.scrape_date,
+        CAST(NULL AS VARCHAR) AS region, CAST(NULL AS VARCHAR) AS bathroom, CAST(NULL AS DOUBLE) AS size,
+        CAST(NULL AS VARCHAR) AS address
+      FROM l LEFT JOIN {Q.mapping_values()} ON trim(l.property_type) = m.key
+      WHERE {Q.strip_category('l.category_id')} NOT IN ({EXCLUDED_SQL})),
+d AS (SELECT *, row_number() OVER (PARTITION BY {_DEDUP_PART} ORDER BY ads_id) AS rn FROM c)
+SELECT ads_id, monthly_rent, category_id, rooms, publishedDatetime, property_type, state, CPI, scrape_date,
+       scrape_date AS first_seen, 'active' AS availability_status FROM d WHERE rn = 1""")
+def load_job(spark: SparkSession, d: str) -> DataFrame:
+    """S8 -> S3 -> clean -> upsert -> content dedup -> versioned snapshot: raw CSVs landed
+    per slice are loaded into an empty table and content duplicates removed."""
+    from letwise.plans.pipeline import load_raw
+    from letwise.sources.files import write_raw
+    from letwise.sources.snapshot import read_snapshot
+    raw_dir, root = scratch_path(spark, "raw"), scratch_path(spark, "table")
+    write_raw(B.order_load_listings(spark, d), raw_dir)
+    load_raw(spark, raw_dir, root, mapping_dimension(spark))
+    t = read_snapshot(spark, root)
+    return t.select("ads_id", "monthly_rent", "category_id", "rooms", "publishedDatetime", "property_type", "state",
+                    "CPI", "scrape_date", ymd("first_seen").alias("first_seen"), "availability_status")

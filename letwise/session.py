@@ -58,3 +58,20 @@ def cut_lineage(df):
     """Reliable checkpoint (written to the shared checkpoint folder)."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def literal_frame(spark: SparkSession, rows, schema):
+    """A small DataFrame of literal rows built inside the JVM (an inline array of
+    literal structs), so using it never needs a Python worker. ``schema`` is a
+    StructType or DDL string; meant for fixed dimensions of a few dozen rows."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, st.fields)])
+        for row in rows
+    ]
+    if not structs:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
+    return spark.range(1).select(F.inline(F.array(*structs))).select(*[f.name for f in st.fields])

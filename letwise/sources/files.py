@@ -43,8 +43,10 @@ def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> Data
 def read_raw_csv(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
     """Raw or processed listing CSVs with the fixed raw header, every column text.
 
-    Combined snapshots (``_ALL_`` in the file name) are skipped; NA tokens become NULL
-    (P10); rows that do not parse are kept apart in ``_corrupt_record`` (S11)."""
+    Combined snapshots (``_ALL_`` in the file name) are skipped; rows whose every field
+    is missing are dropped (W1); NA tokens become NULL (P10); rows that do not parse are
+    kept apart in ``_corrupt_record`` (S11)."""
+    from letwise.operators.clean import drop_all_missing
     schema = T.StructType(S.RAW_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType(), True)])
     df = (spark.read.schema(schema)
           .option("header", True)
@@ -55,8 +57,9 @@ def read_raw_csv(spark: SparkSession, path: str, recursive: bool = True) -> Data
           .option("columnNameOfCorruptRecord", CORRUPT)
           .option("recursiveFileLookup", recursive)
           .csv(path))
-    df = df.withColumn("source_file", F.col("_metadata.file_name"))
+    df = df.withColumn("source_file", F.element_at(F.split(F.input_file_name(), "/"), -1))
     df = df.where(~F.col("source_file").contains(K.COMBINED_MARKER))
+    df = drop_all_missing(df, S.RAW_COLUMNS)
     return df.select(*[LF.na_to_null(c).alias(c) for c in S.RAW_COLUMNS], CORRUPT, "source_file")
 
 

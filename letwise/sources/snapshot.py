@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from letwise import schemas as S
+from letwise.session import literal_frame
 
 
 def _commits(root: str) -> str:
@@ -79,7 +80,7 @@ def write_snapshot(df: DataFrame, root: str, partition_by: tuple[str, ...] = (),
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{root.rstrip('/')}/v={v:08d}")
-    commit = spark.createDataFrame(
+    commit = literal_frame(spark, 
         [(v, _dt.datetime.now(_dt.timezone.utc).isoformat(), writer_id, int(batch_id))],
         "version int, committed_at string, writer_id string, batch_id long")
     commit.write.mode("append").partitionBy("version").parquet(_commits(root))

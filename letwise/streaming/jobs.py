@@ -26,14 +26,14 @@ from letwise import constants as K
 from letwise import functions as LF
 from letwise import schemas as S
 from letwise.operators.availability import probe_outcomes, recheck
-from letwise.operators.clean import clean_listings
+from letwise.operators.clean import clean_listings, drop_all_missing
 from letwise.operators.upsert import split_quarantine, upsert
 from letwise.sources.snapshot import commit_state, read_snapshot, write_snapshot
 
 
 def raw_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming scan of raw listing CSVs (fixed all-text schema, recursive, combined
-    ``_ALL_`` snapshots skipped, NA tokens to NULL)."""
+    ``_ALL_`` snapshots skipped, all-missing rows dropped, NA tokens to NULL)."""
     r = (spark.readStream.schema(S.RAW_SCHEMA)
          .option("header", True).option("multiLine", True).option("escape", '"')
          .option("recursiveFileLookup", True))
@@ -41,6 +41,7 @@ def raw_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     df = r.csv(source_dir)
     df = df.where(~F.input_file_name().rlike(f"{K.COMBINED_MARKER}[^/]*$"))
+    df = drop_all_missing(df, S.RAW_COLUMNS)
     return df.select(*[LF.na_to_null(c).alias(c) for c in S.RAW_COLUMNS])
 
 
@@ -50,10 +51,9 @@ def ingest_raw(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint:
 
     The cleaning runs as batch code on each micro-batch (``foreachBatch``) and writes the
     batch to its own folder ``batch_id=<n>`` with overwrite, so a replayed micro-batch
-    rewrites the same folder: the sink is exactly-once. (The same plan run as one
-    streaming query, with the broadcast dimension join, did not finish on Spark 4.1.2.)"""
+    rewrites the same folder: the sink is exactly-once."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        clean_listings(batch, mapping).write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/batch_id={batch_id}")
+        clean_listings(batch, mapping, drop_empty_rows=False).write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/batch_id={batch_id}")
 
     q = (raw_stream(spark, source_dir, max_files_per_trigger).writeStream.foreachBatch(apply)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
