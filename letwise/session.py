@@ -67,7 +67,7 @@ def literal_frame(spark: SparkSession, rows, schema):
     from pyspark.sql import functions as F
     from pyspark.sql import types as T
 
-    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    st = schema if isinstance(schema, T.StructType) else T.DataType.fromDDL(schema)
     structs = [
         F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, st.fields)])
         for row in rows
