@@ -886,3 +886,22 @@ def load_job(spark: SparkSession, d: str) -> DataFrame:
     t = read_snapshot(spark, root)
     return t.select("ads_id", "monthly_rent", "category_id", "rooms", "publishedDatetime", "property_type", "state",
                     "CPI", "scrape_date", ymd("first_seen").alias("first_seen"), "availability_status")
+
+
+@register("stream_recheck", _AVAIL_SQL + "\nSELECT * FROM r")
+def stream_recheck(spark: SparkSession, d: str) -> DataFrame:
+    """ST4: the probe log arrives as a file stream and each micro-batch drives the
+    availability transition on the latest table version. With the whole log in one
+    micro-batch the final table equals the batch re-check."""
+    from letwise import schemas as S
+    from letwise.sources.snapshot import read_snapshot, write_snapshot
+    from letwise.streaming.jobs import recheck_stream
+    root, src, ck = (scratch_path(spark, n) for n in ("table", "probes", "ckpt"))
+    t = B.order_table(spark, d).select("ads_id", "state", "first_seen", "last_checked_at", "availability_status",
+                                       "gone_at", "ad_expiry")
+    write_snapshot(t, root)
+    B.order_probe_log(spark, d).write.parquet(src)
+    recheck_stream(spark.readStream.schema(S.PROBE_SCHEMA).parquet(src), root, ck, writer_id="probes")
+    out = read_snapshot(spark, root)
+    return out.select("ads_id", "state", "availability_status", ymd("last_checked_at").alias("last_checked_at"),
+                      ymd("gone_at").alias("gone_at"))

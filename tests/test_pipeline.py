@@ -43,7 +43,7 @@ def test_full_run_twice(spark, tmp_path):
     assert sorted(r.ads_id for r in read_snapshot(spark, root).collect()) == ["1", "3"]
 
 
-STATEFUL = {"stream_ingest", "stream_upsert", "load_job", "page_flatten"}
+STATEFUL = {"stream_ingest", "stream_upsert", "stream_recheck", "load_job", "page_flatten"}
 
 
 @pytest.mark.parametrize("name", sorted(set(E.queries()) - STATEFUL))
