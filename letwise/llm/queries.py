@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from letwise.llm import decontaminate, lines, mixing, pii, quality, topk, urls
+from letwise.llm import decontaminate, lines, mixing, near, pii, quality, recompress, suffixes, topk, urls
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -41,12 +41,30 @@ def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(rows, rows.where(F.col("id") % 20 == 0), 20)
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that lie in a 400-byte string which occurs elsewhere."""
+    found = suffixes.drop_repeats(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the boilerplate lines of its source."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return lines.drop_boilerplate(docs).select("doc_id", "n_lines", "n_dropped", "text")
 
 
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of similarity 0.85."""
+    found = near.near_groups(_read(spark, sf_dir, "documents").select("doc_id", "text"), 85)
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in a 13-word window which an earlier document holds."""
+    found = recompress.drop_repeats(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -71,7 +89,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_url_filters, op2_decontamination, op3_topk_search, op5_line_dedup, op8_pii, op9_quality, op10_mixing)}
+    op1_url_filters, op2_decontamination, op3_topk_search, op4_suffix_dedup, op5_line_dedup,
+    op6_minhash_dedup, op7_substring_dedup, op8_pii, op9_quality, op10_mixing)}
 
 ORACLE = {
     "op1_url_filters": """
