@@ -1,16 +1,24 @@
 """MinHash near-dedup by a multi-index Hamming join.
 
-A text's set of word shingles gets ``SYMBOLS`` MinHash values, of which ``BITS`` bits each are kept. The signature
-distance of two sets is the number of symbols that differ. Signatures are split into ``CHUNKS`` chunks: of two
-signatures that differ in at most ``CHUNKS * (ERRORS + 1) - 1`` symbols, some chunk differs in at most ``ERRORS``, so
-with every way to leave out one symbol of a chunk as a key, all such pairs share a key (for 32 symbols in 8 chunks:
-all pairs up to distance 15; two sets of similarity 0.85 exceed that with probability 3e-6, of 0.8 with 1e-4).
+A text's set of word shingles gets ``SYMBOLS`` = 32 MinHash values, of which 16 bits each are kept. The signature
+distance of two sets is the number of symbols that differ. Signatures are split into ``CHUNKS`` = 8 chunks: of two
+signatures that differ in at most 15 symbols, some chunk differs in at most one, so with every way to leave out
+one symbol of a chunk as a key, all pairs up to distance 15 share a key (two sets of similarity 0.85 exceed that
+distance with probability 3e-6, of 0.8 with 1e-4).
 Links are confirmed on the full sets.
 
-Sets are compared as classes of equal sets, so exact copies cost a row each and nothing more. In a bucket of a key
-every class is first compared with the bucket's smallest class only; buckets that the links so found leave
-in several components then have their remaining pairs across components compared, so no link between
-components is lost and no bucket emits all of its pairs. Class and shingle numbers are 64-bit hashes.
+Sets are compared as classes of equal sets, so exact copies cost a row each and nothing more. A bucket of a key
+does not emit its pairs:
+
+1. Every class is compared with its buckets' smallest classes, their heads (a star a bucket).
+2. Similarity distance is a metric: of two linked classes of a bucket, either both lie within 0.5 of its head, or both
+   further than 0.5 less the largest distance of a link. So what is left to compare are the classes around
+   each head, and the far classes of each bucket, and there only classes that the links so far leave in
+   different components.
+3. These groups are cut in blocks of bounded size; each pair of blocks is one task's matrix product, which
+   returns only links that join components. A group's largest component is never compared with itself.
+
+Class and shingle numbers are 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -25,6 +33,7 @@ from letwise.session import scratch_path
 
 SHINGLE = 5
 SYMBOLS, CHUNKS = 32, 8
+BLOCK, BLOCK_SHINGLES, SLAB = 512, 1 << 18, 4096
 _PER = SYMBOLS // CHUNKS
 _RNG = np.random.default_rng(97)
 _FACTOR = _RNG.integers(1, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -123,44 +132,132 @@ def _written(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.parquet(path)
 
 
-def confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, percent: int, id_col: str, text_col: str, k: int) -> DataFrame:
-    """The pairs ``(a, b)`` of classes whose full sets have 100 * intersection >= percent * union."""
-    wanted = _written(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-                      .join(reps, "cid").select("rep").distinct(), "wanted")
+def _numbers(blob: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(blob.as_buffer(), np.uint64)
+
+
+def class_sets(cids: DataFrame, reps: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+    """``cid`` and ``shingles`` (its set, packed) of the classes asked for, and perhaps others of the same rows."""
+    wanted = _written(cids.join(reps, "cid").select("rep").distinct(), "wanted")
     texts = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
              .join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi"))
 
     def collected(batches):
         for batch in batches:
-            cids, blobs = [], []
+            found, blobs = [np.zeros(0, np.int64)], []
             for _, sets, bounds in _sets_of(batch.column("text"), k):
                 full = np.flatnonzero(np.diff(bounds))
                 if len(full):
-                    cids.append(_set_ids(sets, bounds[:-1][full]).view(np.int64))
+                    found.append(_set_ids(sets, bounds[:-1][full]).view(np.int64))
                     blobs += [sets[bounds[d]:bounds[d + 1]].tobytes() for d in full]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(cids) if cids else np.zeros(0, np.int64)), pa.array(blobs, pa.binary())],
-                ["cid", "shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(blobs, pa.binary())],
+                                             ["cid", "shingles"])
 
-    sets = texts.mapInArrow(collected, "cid long, shingles binary").dropDuplicates(["cid"])
-    sets = _written(sets, "sets")
-    both = (pairs.join(sets.select(F.col("cid").alias("b"), F.col("shingles").alias("sb")), "b")
-            .join(sets.select(F.col("cid").alias("a"), F.col("shingles").alias("sa")), "a"))
+    return _written(texts.mapInArrow(collected, "cid long, shingles binary").dropDuplicates(["cid"]), "sets")
+
+
+def common(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)`` of classes with the sizes of their sets, ``n`` and ``m``, and of the intersection, ``both``."""
+    joined = (pairs.join(sets.select(F.col("cid").alias("b"), F.col("shingles").alias("sb")), "b")
+              .join(sets.select(F.col("cid").alias("a"), F.col("shingles").alias("sa")), "a"))
 
     def compared(batches):
         for batch in batches:
-            good = []
-            for x, y in zip(batch.column("sa"), batch.column("sb")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                same = int((y[at] == x).sum())
-                good.append(100 * same >= percent * (len(x) + len(y) - same))
-            kept = pa.array(good, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(kept), batch.column("b").filter(kept)], ["a", "b"])
+            out = np.zeros((3, batch.num_rows), np.int64)
+            for i, (x, y) in enumerate(zip(batch.column("sa"), batch.column("sb"))):
+                x, y = _numbers(x), _numbers(y)
+                out[:, i] = len(x), len(y), _shared(x, y)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *map(pa.array, out)],
+                                             ["a", "b", "n", "m", "both"])
+
+    return joined.select("a", "b", "sa", "sb").mapInArrow(compared, "a long, b long, n long, m long, both long")
+
+
+def _shared(x: np.ndarray, y: np.ndarray) -> int:
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    return int((y[at] == x).sum())
+
+
+def _products(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Intersection sizes of the sets at ``left`` with those at ``right``, a slab of shingles at a time."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    some = count[column] > 1
+    owner, column = owner[some], (np.cumsum(count > 1) - 1)[column[some]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, SLAB):
+        a, b = np.searchsorted(column, [lo, lo + SLAB])
+        held = np.zeros((len(sets), SLAB), np.float32)
+        held[owner[a:b], column[a:b] - lo] = 1
+        out += held[left] @ held[right].T
+    return out
+
+
+def joining_links(table: pa.Table, percent: int) -> pa.Table:
+    """Links between two blocks (side 0 and 1), or within one (side 0 alone), that join different labels: enough of
+    them to join all labels that any link joins."""
+    side, cid, label = (table[c].to_numpy() for c in ("side", "cid", "label"))
+    sets = [_numbers(x) for x in table["shingles"]]
+    size = np.array([len(x) for x in sets])
+    left = np.flatnonzero(side == 0)
+    right = np.flatnonzero(side == 1) if (side == 1).any() else left
+    alone = right is left
+    if alone and len(set(label.tolist())) < 2:
+        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    same = _products(sets, left, right) if len(sets) > 2 else np.array(
+        [[_shared(sets[i], sets[j]) for j in right] for i in left], np.float32).reshape(len(left), len(right))
+    union = size[left][:, None] + size[right][None, :] - same
+    good = (100 * same >= percent * union) & (label[left][:, None] != label[right][None, :])
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    out = []
+    for i, j in zip(*np.nonzero(good)):
+        x, y = find(int(label[left[i]])), find(int(label[right[j]]))
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            out.append((int(cid[left[i]]), int(cid[right[j]])))
+    return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+
+def links_across(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` that join labels within groups (columns gid, cid, n, label; a class once a group).
+
+    A group's members of its most frequent label are its main part, the others the rest; each part is dealt to
+    blocks of about ``BLOCK`` members and ``BLOCK_SHINGLES`` shingles, and rest blocks meet each other and main blocks.
+    """
+    by_label = groups.groupBy("gid", "label").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
+    parts = (by_label.groupBy("gid").agg(F.max(F.struct("c", "s", "label")).alias("top"), F.sum("c").alias("c"),
+                                         F.sum("s").alias("s"), F.count(F.lit(1)).alias("labels"))
+             .where("labels > 1"))
+
+    def blocks(c, s):
+        return F.greatest(F.ceil(c / BLOCK), F.ceil(s / BLOCK_SHINGLES)).cast("int")
+
+    parts = parts.select("gid", F.col("top.label").alias("main"), blocks(F.col("top.c"), F.col("top.s")).alias("mains"),
+                         blocks(F.col("c") - F.col("top.c"), F.col("s") - F.col("top.s")).alias("rests"))
+    own = F.pmod(F.xxhash64("cid"), F.when(F.col("label") == F.col("main"), F.col("mains")).otherwise(F.col("rests"))).cast("int")
+    rows = groups.join(parts, "gid").withColumn("own", own).join(sets, "cid")
+    mains, rests = F.sequence(F.lit(0), F.col("mains") - 1), F.sequence(F.lit(0), F.col("rests") - 1)
+
+    def meet(kind, i, j, side):
+        return F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), side.cast("int").alias("side"))
 
-    return both.select("a", "b", "sa", "sb").mapInArrow(compared, "a long, b long")
+    o = F.col("own")
+    met = F.when(F.col("label") == F.col("main"), F.transform(rests, lambda i: meet(0, i, o, F.lit(1)))).otherwise(F.concat(
+        F.transform(mains, lambda j: meet(0, o, j, F.lit(0))),
+        F.transform(rests, lambda j: meet(1, F.least(o, j), F.greatest(o, j), o > j))))
+    rows = rows.select("gid", "cid", "label", "shingles", F.explode(met).alias("met")).select(
+        F.xxhash64("gid", "met.kind", "met.i", "met.j").alias("pair"), "met.side", "cid", "label", "shingles")
+    return rows.groupBy("pair").applyInArrow(lambda table: joining_links(table, percent), "a long, b long")
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -200,23 +297,22 @@ def near_groups(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text
     shared = _written(member.join(heads, "key").groupBy("key", "head", "cid", "n").agg(F.lit(1).alias("one")).drop("one"),
                       "shared")
     reps = every.where("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("rep"))
-    sizes = shared.where("cid = head").select("key", F.col("n").alias("m"))
-    alike = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
-    star = _written(shared.where("cid <> head").join(sizes, "key").where(alike)
-                    .select(F.col("head").alias("a"), F.col("cid").alias("b")).distinct(), "star")
-    links = _written(confirm(star, reps, docs, percent, id_col, text_col, k), "links")
+    sets = class_sets(shared.select("cid").distinct(), reps, docs, id_col, text_col, k)
+    star = shared.where("cid <> head").select(F.col("head").alias("a"), F.col("cid").alias("b")).distinct()
+    star = _written(common(star, sets).withColumn("union", F.expr("n + m - both")), "star")
+    links = star.where(100 * F.col("both") >= percent * F.col("union")).select("a", "b")
     labels = connected(links)
-    labelled = (shared.join(labels, "cid", "left")
-                .select("key", "cid", "n", F.coalesce("label", "cid").alias("label")))
-    split = (labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key"))
-    open_ = _written(labelled.join(split, "key", "left_semi"), "open")
-    left = open_.select("key", F.col("cid").alias("a"), "n", F.col("label").alias("la"))
-    right = open_.select("key", F.col("cid").alias("b"), F.col("n").alias("m"), F.col("label").alias("lb"))
-    across = (left.join(right, "key").where((F.col("la") != F.col("lb")) & (F.col("a") < F.col("b"))).where(alike)
-              .select("a", "b").distinct().join(star, ["a", "b"], "left_anti"))
-    more = _written(confirm(_written(across, "across"), reps, docs, percent, id_col, text_col, k), "links")
-    joined = links.union(more) if more.limit(1).count() else None
-    labels = labels if joined is None else connected(joined)
+    close = star.where(2 * F.col("both") >= F.col("union"))
+    around = (close.select(F.col("a").alias("gid"), F.col("b").alias("cid"), F.col("m").alias("n"))
+              .union(close.select("a", "a", "n").distinct()).withColumn("kind", F.lit(0)))
+    # nearer to the head than this, all links are around the head
+    inner = star.where(100 * F.col("both") >= (150 - percent) * F.col("union")).select(F.col("a").alias("head"), F.col("b").alias("cid"))
+    far = (shared.where("cid <> head").join(inner, ["head", "cid"], "left_anti")
+           .select(F.col("key").alias("gid"), "cid", "n").withColumn("kind", F.lit(1)))
+    groups = (around.union(far).join(labels, "cid", "left")
+              .select(F.xxhash64("kind", "gid").alias("gid"), "cid", "n", F.coalesce("label", "cid").alias("label")))
+    more = _written(links_across(groups, sets, percent), "links")
+    labels = connected(links.union(more))
     groups = reps.join(labels, "cid", "left").select("cid", "rep", F.coalesce("label", "cid").alias("label"))
     named = groups.join(groups.groupBy("label").agg(F.min("rep").alias("component")), "label").select("cid", "component")
     return (every.drop("keys").join(named, "cid", "left")
