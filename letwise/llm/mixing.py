@@ -6,7 +6,7 @@ targets. Built-in functions only.
 
 * Classifier: document frequencies of hashed words per domain, over a bounded sample of labelled rows
   (``SAMPLE_ROWS``). Only buckets whose share in a domain differs from the rest by ``Z`` standard errors count.
-  The model is at most ``BUCKETS`` numbers a domain whatever the input, and scores documents in the row.
+  The model is at most 2**``BUCKET_BITS`` numbers a domain whatever the input, and scores documents in the row.
 * Rates: posteriors are kept in steps of 1/``STEPS``, so that documents of equal posteriors share a
   rate, and one pre-aggregated pass leaves at most a few thousand groups (fixed by STEPS and the number of
   domains). Each gradient round is an aggregate over the groups that returns one number a domain.
@@ -22,11 +22,12 @@ from pyspark.sql import functions as F
 from letwise.session import scratch_path
 
 SAMPLE_ROWS = 4000
-BUCKETS = 1 << 14
+BUCKET_BITS = 14
 Z = 4.0
 MOST = 8.0
 STEPS = 32
 ROUNDS = 60
+MOST_RATE = 2.0
 TOLERANCE = 1e-4
 TARGETS = {"clean": 0.93, "junk": 0.05, "toxic": 0.02}
 
@@ -39,15 +40,18 @@ def label_domain() -> Column:
 
 def words_of(text: Column) -> Column:
     """Lower-cased words, cut at white space, dots and commas; none for null."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\s.,]+"), lambda x: x != "")
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\s.,]+"), "")
 
 
 def buckets_of(text: Column, words: Column) -> Column:
     """Hash buckets of the words, and of how much of the text is symbols."""
     symbols = F.length(text) - F.length(F.translate(text, "#$%&*|<>{}[]=~^@", ""))
     share = F.floor(F.coalesce(symbols / F.length(text), F.lit(0.0)) * 40).cast("string")
-    return F.concat(F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int")),
-                    F.array(F.pmod(F.xxhash64(F.concat(F.lit("\u0000share"), share)), F.lit(BUCKETS)).cast("int")))
+    return F.concat(F.transform(words, _bucket), F.array(_bucket(F.concat(F.lit("\u0000share"), share))))
+
+
+def _bucket(word: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(word), 64 - BUCKET_BITS)
 
 
 def _prepared(docs: DataFrame, text_col: str) -> DataFrame:
@@ -68,7 +72,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, domains: list[str], domain:
     held = (docs.select(F.col(id_col).alias("__d"), F.col(text_col))
             .join(F.broadcast(some), F.col("__d") == F.col("__id")))
     marked = _prepared(held, text_col).select(
-        "__domain", F.explode(F.concat(F.array_distinct("__buckets"), F.array(F.lit(-1)))).alias("b"))
+        "__domain", F.explode(F.concat(F.array_distinct("__buckets"), F.array(F.lit(-1).cast("long")))).alias("b"))
     table: dict[int, list[int]] = {}
     for r in marked.groupBy("b", "__domain").agg(F.count(F.lit(1)).alias("n")).collect():
         table.setdefault(r["b"], [0] * len(domains))[domains.index(r["__domain"])] = r["n"]
@@ -96,7 +100,7 @@ def posteriors(docs: DataFrame, domains: list[str], model: tuple[list[float], di
     """``docs`` with ``n_tokens`` (words) and ``__q``: for each domain its posterior in whole steps of 1/STEPS,
     which sum to STEPS (rounding goes to the largest). Null and empty texts have the priors."""
     priors, weights = model
-    known = F.split(F.lit(",".join(map(str, weights)) or "-1"), ",").cast("array<int>")
+    known = F.split(F.lit(",".join(map(str, weights)) or "-1"), ",").cast("array<long>")
     tables = [F.map_from_arrays(known, F.split(F.lit(",".join(str(w[k]) for w in weights.values()) or "0"), ",")
                                 .cast("array<double>")) for k in range(len(domains))]
     hit = F.array_intersect(F.col("__buckets"), known)
@@ -128,16 +132,29 @@ def _rate(q: Column, history: list[list[float]], domains: int) -> Column:
     return F.aggregate(steps, F.lit(1.0), step)
 
 
+def reachable(targets: list[float], shares: list[float], most: float = MOST_RATE) -> list[float]:
+    """Target shares of which none asks for over ``most`` times the domain's share; what that leaves open goes to
+    the other domains in proportion to their targets."""
+    out, capped = list(targets), set()
+    while True:
+        over = {k for k, t in enumerate(out) if k not in capped and t > most * shares[k]}
+        if not over:
+            return out
+        capped |= over
+        free = sum(targets[k] for k in range(len(out)) if k not in capped)
+        left = 1 - sum(most * shares[k] for k in capped)
+        out = [most * shares[k] if k in capped else (targets[k] * left / free if free else 0.0) for k in range(len(out))]
+
+
 def fit_rates(scored: DataFrame, targets: list[float], rounds: int = ROUNDS) -> list[list[float]]:
     """Gradient steps of min over rates r >= 0 of sum over domains (expected tokens - target)^2 / domain tokens.
 
     The step of a document is taken per token, so that the rate does not depend on a document's length.
-    Domains without expected tokens cannot be reached and are left out. No tokens at all: no steps.
+    Targets are first made ``reachable``, so that a scarce domain is not bought by dropping all else; domains
+    without expected tokens are left out. No tokens at all: no steps.
     """
-    spark, d = scored.sparkSession, len(targets)
-    path = scratch_path(spark, "groups")
-    scored.groupBy("__q").agg(F.sum("n_tokens").alias("n")).coalesce(1).write.parquet(path)
-    groups = spark.read.parquet(path)
+    d = len(targets)
+    groups = _written(scored.groupBy("__q").agg(F.sum("n_tokens").alias("n")).coalesce(1), "groups")
     history: list[list[float]] = []
     shares: list[float] = []
     total = 0.0
@@ -149,7 +166,8 @@ def fit_rates(scored: DataFrame, targets: list[float], rounds: int = ROUNDS) ->
             return []
         total = float(row["all"])
         now = [row[f"t{k}"] / total for k in range(d)]
-        shares = shares or now
+        if not shares:
+            shares, targets = now, reachable(targets, now)
         gap = [(now[k] - targets[k]) / shares[k] if shares[k] else 0.0 for k in range(d)]
         if len(history) == rounds or max(abs(g) * s for g, s in zip(gap, shares)) < TOLERANCE:
             break
@@ -157,10 +175,18 @@ def fit_rates(scored: DataFrame, targets: list[float], rounds: int = ROUNDS) ->
     return history
 
 
+def _written(frame: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
+
+
 def mix_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None,
-                  domain: Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with n_tokens, ``p_<domain>`` for each domain, and ``mix_rate`` >= 0: the weight at which a document
+                  domain: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
+                  columns: list[str] | None = None) -> DataFrame:
+    """``docs`` (or some of its ``columns``) with n_tokens, ``p_<domain>`` for each domain, and ``mix_rate`` >= 0: the weight at which a document
     enters the mix, so that rate-weighted expected tokens of each domain have the target shares of all tokens.
+    Documents are scored once, into a table in the shared folder; the rates are found and applied on that.
 
     Null and empty texts have the prior posteriors and 0 tokens; repeated rows count each; an empty table stays
     empty; without usable labels the posteriors are even. Columns already called so are replaced.
@@ -171,8 +197,10 @@ def mix_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float]
     new = {"n_tokens", "mix_rate", *(f"p_{k}" for k in domains)}
     plain = docs.select(*[f"`{c}`" for c in docs.columns if c.lower() not in new])
     model = fit_domains(plain, labels, domains, label_domain() if domain is None else domain, id_col, text_col)
-    scored = posteriors(plain, domains, model, text_col)
+    kept = [c for c in plain.columns if columns is None or c in columns]
+    scored = _written(posteriors(plain, domains, model, text_col)
+                      .select(*[f"`{c}`" for c in kept], "n_tokens", "__q"), "scored")
     history = fit_rates(scored, [t / whole for t in targets.values()])
-    return scored.select(*[f"`{c}`" for c in plain.columns], "n_tokens",
+    return scored.select(*[f"`{c}`" for c in kept], "n_tokens",
                          *[(F.col("__q")[k] / F.lit(float(STEPS))).alias(f"p_{name}") for k, name in enumerate(domains)],
                          _rate(F.col("__q"), history, len(domains)).alias("mix_rate"))
