@@ -85,7 +85,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posteriors and mixing rate of every document."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
-    return mixing.mix_documents(docs, _read(spark, sf_dir, "labels")).drop("text")
+    return mixing.mix_documents(docs, _read(spark, sf_dir, "labels"), columns=["doc_id"])
 
 
 QUERIES = {f.__name__: f for f in (
