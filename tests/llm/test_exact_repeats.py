@@ -159,6 +159,24 @@ def test_near_copies_leave_one_of_each_group(spark):
     assert {r["doc_id"] for r in left.collect()} == {i for i, _, c in groups if i is None or i == c}
 
 
+def test_groups_of_similar_but_mostly_unlinked_texts(spark, monkeypatch):
+    rnd = random.Random(8)
+    base = [f"w{i}" for i in range(110)]
+    rows = []
+    for i in range(150):
+        w = list(base)
+        for _ in range(rnd.choice([1, 2, 2, 3])):
+            w[rnd.randrange(110)] = f"n{rnd.randint(0, 10 ** 9)}"
+        rows.append((rnd.randint(0, 10 ** 6) * 1000 + i, " ".join(w), "en", 0))
+    shared = " ".join(base[:60])
+    rows += [(i, f"{shared} {' '.join(f'u{i}x{k}' for k in range(rnd.randint(40, 90)))}", "en", 0) for i in range(80)]
+    monkeypatch.setattr(near, "BLOCK", 16)
+    got = near.near_groups(spark.createDataFrame(rows, DOCS), 85).collect()
+    want = brute_groups(rows, 85)
+    assert len({c for _, _, c in want}) > 50 and max(Counter(c for _, _, c in want).values()) > 10
+    assert Counter(map(tuple, got)) == want
+
+
 def test_long_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
     got = {r["cid"]: r["label"] for r in near.connected(edges).collect()}

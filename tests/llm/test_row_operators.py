@@ -240,6 +240,17 @@ def test_mixing_meets_targets(spark):
     assert all(math.isclose(mine[g], rates[g], abs_tol=1e-9) for g in groups)
 
 
+def test_scarce_domains_do_not_drive_the_others_out(spark):
+    assert mixing.reachable([0.9, 0.1], [0.99, 0.01]) == pytest.approx([0.98, 0.02])
+    assert mixing.reachable([0.9, 0.1], [0.8, 0.2]) == [0.9, 0.1]
+    assert mixing.reachable([0.9, 0.1, 0.0], [0.2, 0.4, 0.4]) == pytest.approx([0.4, 0.6, 0.0])
+    rows = [(i, "meadow river of the " * 5, "s") for i in range(400)] + [(1000 + i, "click win of the " * 5, "s") for i in range(2)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(400)] + [(1000, 0, 0), (1001, 0, 0)],
+                                   "doc_id long, quality int, toxic int")
+    out = mixing.mix_documents(frame(spark, rows), labels, {"clean": 0.5, "junk": 0.5}).collect()
+    assert min(r["mix_rate"] for r in out) > 0.9 and max(r["mix_rate"] for r in out) < 2.01
+
+
 def test_mixing_without_labels_or_documents(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = mixing.mix_documents(frame(spark, [(1, "a b c", "s")]), labels).first()
