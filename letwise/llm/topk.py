@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 BLOCK_ROWS = 4096
 FIRST_DEPTH = 8
+RETRY = 16
 
 
 def integer_vectors(frame: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 64) -> DataFrame:
@@ -32,42 +33,54 @@ def integer_vectors(frame: DataFrame, id_col: str = "vec_id", vec_col: str = "em
             .distinct())
 
 
+def best_of(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
+    """Places of the ``k`` highest scores, ties to the smaller id, in order."""
+    if len(scores) > 4 * k:
+        some = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
+    else:
+        some = np.arange(len(scores))
+    return some[np.lexsort((ids[some], -scores[some]))[:k]]
+
+
 def threshold_top(ids: np.ndarray, data: np.ndarray, query: np.ndarray, own: int, k: int, order: np.ndarray,
-                  ) -> tuple[np.ndarray, np.ndarray, int]:
+                  depth: int = FIRST_DEPTH) -> tuple[np.ndarray, np.ndarray, int]:
     """Ids, scores and the depth reached of the ``k`` best rows of one block for one query.
 
-    ``order``: for each dimension the rows sorted by value, ascending. Ties go to the smaller id, so the walk
-    goes on while an unseen row could still reach the k-th score.
+    ``order``: for each dimension the rows sorted by value, ascending. The walk looks at ``depth`` rows of each
+    list, then four times as many. Ties go to the smaller id, so it goes on while an unseen row could still
+    reach the k-th score. Once the lists read would be as long as the block, the rest of the block is read.
     """
-    n, dims = data.shape
+    n, _ = data.shape
     used = np.flatnonzero(query)
-    seen = np.zeros(n, bool)
-    rows = np.zeros(0, np.int64)
-    scores = np.zeros(0, data.dtype)
-    lo, depth = 0, FIRST_DEPTH
+    up = query[used] > 0
+    seen = None
+    rows, scores, lo = np.zeros(0, np.int64), np.zeros(0, data.dtype), 0
     while True:
-        hi = min(n, depth)
-        if hi == n or not len(used):
-            new = np.flatnonzero(~seen)
+        hi = depth if len(used) and depth * len(used) < n else n
+        if hi == n and seen is None:
+            rows, scores = np.arange(n), data @ query
+            keep = ids != own
+            rows, scores = rows[keep], scores[keep]
         else:
-            met = np.concatenate([order[d, n - hi:n - lo] if query[d] > 0 else order[d, lo:hi] for d in used])
-            fresh = np.zeros(n, bool)
-            fresh[met] = True
-            new = np.flatnonzero(fresh & ~seen)
-        seen[new] = True
-        new = new[ids[new] != own]
-        rows, scores = np.concatenate([rows, new]), np.concatenate([scores, data[new] @ query])
-        if len(rows) > k:
-            best = np.lexsort((ids[rows], -scores))[:k]
-            rows, scores = rows[best], scores[best]
-        if hi == n or not len(used):
+            seen = np.zeros(n, bool) if seen is None else seen
+            fresh = ~seen
+            if hi < n:
+                fresh[:] = False
+                fresh[np.where(up[:, None], order[used, n - hi:n - lo], order[used, lo:hi])] = True
+                fresh &= ~seen
+            seen |= fresh
+            fresh &= ids != own
+            new = np.flatnonzero(fresh)
+            rows, scores = np.concatenate([rows, new]), np.concatenate([scores, data[new] @ query])
+        top = best_of(ids[rows], scores, k)
+        rows, scores = rows[top], scores[top]
+        if hi == n:
             break
-        reached = np.array([data[order[d, n - hi] if query[d] > 0 else order[d, hi - 1], d] for d in used])
-        if len(rows) >= k and float(reached @ query[used]) < scores.min():
+        last = np.where(up, order[used, n - hi], order[used, hi - 1])
+        if len(rows) == k and data[last, used] @ query[used] < scores[-1]:
             break
         lo, depth = hi, depth * 4
-    best = np.lexsort((ids[rows], -scores))[:k]
-    return ids[rows[best]], scores[best], hi
+    return ids[rows], scores, hi
 
 
 def top_k(candidates: DataFrame, queries: DataFrame, k: int = 20, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -96,8 +109,11 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 20, block_rows: in
             ids = rows["id"].to_numpy(np.int64)
             data = np.stack(rows["v"].to_numpy()).astype(np.float64)
             order = np.argsort(data, axis=0, kind="stable").T.copy()
-            for own, v in zip(asked["id"].to_numpy(np.int64), asked["v"]):
-                found, scores, _ = threshold_top(ids, data, np.asarray(v, np.float64), own, k, order)
+            depth = FIRST_DEPTH
+            for turn, (own, v) in enumerate(zip(asked["id"].to_numpy(np.int64), asked["v"])):
+                # begin as deep as the last walk had to go, and try a short one now and then
+                first = FIRST_DEPTH if turn % RETRY == 0 else depth
+                found, scores, depth = threshold_top(ids, data, np.asarray(v, np.float64), own, k, order, first)
                 out.append(pd.DataFrame({"query_id": own, "vec_id": found, "score": scores.astype(np.int64)}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype=np.int64)
 
