@@ -155,10 +155,10 @@ NA_TOKENS = (
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# Rough bounding box of the country, used by the coordinate sanity check.
-BBOX_LAT = (0.5, 7.5)
-BBOX_LON = (99.5, 119.5)
-
 # ---------------------------------------------------------------------------
 # end of fixed values
 # ---------------------------------------------------------------------------
+
+# Chosen here: a rough bounding box of the country, for the coordinate sanity check.
+BBOX_LAT = (0.5, 7.5)
+BBOX_LON = (99.5, 119.5)

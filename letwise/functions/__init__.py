@@ -1,7 +1,7 @@
 """Scalar column library: every function maps Column(s) to a Column."""
 
 from letwise.functions.dates import (  # noqa: F401
-    PUBLISHED_IN_FORMATS,
+    PUBLISHED_IN,
     age_days,
     classify_gone,
     day_lit,

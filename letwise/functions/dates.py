@@ -10,19 +10,16 @@ from pyspark.sql import functions as F
 from letwise import constants as K
 from letwise.functions.text import _c
 
-# Published-date inputs accepted, tried in order (ISO first, then day-first).
-PUBLISHED_IN_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
-    "dd/MM/yyyy HH:mm:ss",
-    "dd/MM/yyyy HH:mm",
-    "dd/MM/yyyy",
-)
+# Published-date inputs accepted: an ISO or a day-first date, and perhaps a time with or without seconds.
+_TIME = r"( ([01][0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9])?)?$"
+PUBLISHED_IN = (("^[0-9]{4}-[0-9]{2}-[0-9]{2}" + _TIME, "yyyy-MM-dd"),
+                ("^[0-9]{2}/[0-9]{2}/[0-9]{4}" + _TIME, "dd/MM/yyyy"))
 
 
 def day_lit(day) -> Column:
-    """A date literal from a ``date`` or ``'yyyy-MM-dd'`` text."""
+    """A date literal from a ``date`` or ``'yyyy-MM-dd'`` text; a column is used as it is."""
+    if isinstance(day, Column):
+        return day
     if isinstance(day, _dt.date):
         day = day.isoformat()
     return F.to_date(F.lit(str(day)))
@@ -39,9 +36,11 @@ def parse_day(x) -> Column:
 def publish_date(x) -> Column:
     """the published date as ``MM/dd/yyyy``; ``''`` when no accepted form matches.
 
-    Each row is parsed on its own (order-free), ISO forms first."""
+    Each row is parsed on its own (order-free). Its shape is tested first, so that the date is parsed once
+    and texts of other shapes are not parsed at all."""
     c = _c(x).cast("string")
-    parsed = F.coalesce(*[F.try_to_date(c, fmt) for fmt in PUBLISHED_IN_FORMATS])
+    day = F.substring(c, 1, 10)
+    parsed = F.coalesce(*[F.when(c.rlike(shape), F.try_to_date(day, fmt)) for shape, fmt in PUBLISHED_IN])
     return F.coalesce(F.date_format(parsed, K.PUBLISHED_OUT_FORMAT), F.lit(""))
 
 

@@ -1,6 +1,6 @@
 """Rent statistics, coverage and data-quality audits.
 
-All are hash aggregations with partial aggregation before the shuffle. Means are
+All aggregate partially before the shuffle. Means are
 computed from an exact decimal sum so the result does not depend on the order in which
 partitions are combined.
 """
@@ -17,25 +17,77 @@ from letwise import constants as K
 from letwise.session import literal_frame
 
 
-def exact_mean(c) -> Column:
-    """Mean of a money column from an exact decimal(18,2) sum: order-independent."""
-    c = F.col(c) if isinstance(c, str) else c
-    n = F.count(c)
-    return F.when(n > 0, F.sum(c.cast("decimal(18,2)")).cast("double") / n)
+_EXACT = "decimal(32,8)"
 
 
-def rent_summary(df: DataFrame, by: Sequence[str] = ("state",), value: str = "monthly_rent") -> DataFrame:
-    """A1/A2/A3: listings, rows with a rent, mean and median rent per group.
+def _exact(c: Column) -> Column:
+    """A number as an exact decimal; NULL if it has more than 24 digits before the point."""
+    return c.try_cast(_EXACT)
 
-    The median is exact; Spark aggregates it as a map of distinct value -> count, so its
-    memory grows with the number of distinct rents of a group, not with its rows."""
-    v = F.col(value)
-    return df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_listings"),
-        F.count(v).alias("n_rent"),
-        exact_mean(v).alias("mean_rent"),
-        F.median(v).alias("median_rent"),
-    )
+
+def exact_mean(c) -> Column:
+    """Mean of a money column from an exact decimal sum: order-independent. Numbers too large for it
+    are left out of sum and count; eight decimals count."""
+    v = _exact(F.col(c) if isinstance(c, str) else c)
+    n = F.count(v)
+    return F.when(n > 0, F.try_sum(v).cast("double") / n)
+
+
+def rent_summary(df: DataFrame, by: Sequence[str] = ("state",), value: str = "monthly_rent",
+                 left_out: bool = False) -> DataFrame:
+    """A1/A2/A3: listings, rows with a rent, mean and exact median rent per group; with ``left_out`` also the
+    rents too large for the exact mean.
+
+    Equal rents of a group are counted first, so all that follows works on distinct rents. The median is found in
+    two steps: counts per range of rents (a fixed number of ranges) tell which range holds the middle, and only
+    the rents of that range are then put in order. No task holds all rents of a group.
+    """
+    by = list(by)
+    d = df.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(by)], F.col(value).alias("_v"))
+    group = [f"_g{i}" for i in range(len(by))]
+    v = F.col("_v")
+    exact = _exact(v)
+    counted = d.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_c"), F.try_sum(exact).alias("_s"),
+                                          F.count(exact).alias("_e"))
+    total = counted.groupBy(*group).agg(
+        F.sum("_c").alias("n_listings"), F.sum(F.when(v.isNotNull(), F.col("_c")).otherwise(0)).alias("n_rent"),
+        F.sum("_e").alias("_exact"), F.try_sum("_s").alias("_sum"))
+    middle = _medians(counted.where(v.isNotNull()), group)
+    m = middle.select(*[F.col(g).alias(f"m{g}") for g in group], "median_rent")
+    on = None
+    for g in group:
+        e = F.col(g).eqNullSafe(F.col(f"m{g}"))
+        on = e if on is None else on & e
+    joined = total.join(m, on, "left")
+    columns = [F.col(g).alias(c) for g, c in zip(group, by)]
+    mean = F.when(F.col("_exact") > 0, F.col("_sum").cast("double") / F.col("_exact"))
+    extra = [(F.col("n_rent") - F.col("_exact")).alias("n_left_out")] if left_out else []
+    return joined.select(*columns, "n_listings", "n_rent", mean.alias("mean_rent"), "median_rent", *extra)
+
+
+def _medians(counted: DataFrame, group: list[str]) -> DataFrame:
+    """Exact median per group of distinct values ``_v`` with counts ``_c``."""
+    v = F.col("_v")
+    ranges = F.floor(F.signum(v) * F.log1p(F.abs(v)) * 64).cast("long")
+    counted = counted.select(*group, "_v", "_c", F.when(v.isNull() | F.isnan(v), F.lit(1 << 40)).otherwise(ranges).alias("_range"))
+    per = counted.groupBy(*group, "_range").agg(F.sum("_c").alias("_n"))
+    whole, before = Window.partitionBy(*group), Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(*group, "_range", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(whole).alias("_all"))
+    lo, hi = F.floor((F.col("_all") + 1) / 2), F.floor((F.col("_all") + 2) / 2)
+    per = per.withColumn("_lo", lo).withColumn("_hi", hi)
+    holds = lambda r: (F.col("_before") < F.col(r)) & (F.col(r) <= F.col("_before") + F.col("_n"))
+    per = per.where(holds("_lo") | holds("_hi")).select(*[F.col(g).alias(f"r{g}") for g in group], F.col("_range").alias("_r"),
+                                                       "_before", "_lo", "_hi")
+    on = F.col("_range") == F.col("_r")
+    for g in group:
+        on = on & F.col(g).eqNullSafe(F.col(f"r{g}"))
+    some = counted.join(per, on)
+    up_to = Window.partitionBy(*group, "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    some = some.withColumn("_to", F.col("_before") + F.sum("_c").over(up_to))
+    at = lambda r: F.max(F.when((F.col("_to") - F.col("_c") < F.col(r)) & (F.col(r) <= F.col("_to")), v))
+    low, high = F.col("_low"), F.col("_high")
+    return (some.groupBy(*group).agg(at("_lo").alias("_low"), at("_hi").alias("_high"))
+            .select(*group, F.when(low == high, low).otherwise(low + (high - low) * 0.5).alias("median_rent")))
 
 
 def rank_groups(summary: DataFrame, value: str = "mean_rent", out: str = "rank_desc") -> DataFrame:
@@ -66,7 +118,7 @@ def category_drift(df: DataFrame, column: str = "category", allowed: Iterable[st
     spark = df.sparkSession
     allowed_df = literal_frame(spark, [(a,) for a in allowed], "category string")
     seen = df.select(F.col(column).alias("category")).where(F.col("category").isNotNull()).distinct()
-    unexpected = seen.join(F.broadcast(allowed_df), "category", "left_anti").withColumn("issue", F.lit("unexpected"))
+    unexpected = seen.join(allowed_df, "category", "left_anti").withColumn("issue", F.lit("unexpected"))
     missing = allowed_df.join(seen, "category", "left_anti").withColumn("issue", F.lit("missing"))
     return unexpected.unionByName(missing)
 
@@ -97,11 +149,29 @@ def slice_coverage(reported: DataFrame, fetched: DataFrame, slice_cols: Sequence
     r = reported.groupBy(*slice_cols).agg(F.max("total_results").alias("reported"))
     f = fetched.groupBy(*slice_cols).agg(F.count(F.lit(1)).alias("fetched"))
     j = r.join(f, slice_cols, "full_outer")
-    rep = F.coalesce(F.col("reported"), F.lit(0)).cast("bigint")
-    got = F.coalesce(F.col("fetched"), F.lit(0)).cast("bigint")
-    return j.select(*slice_cols, rep.alias("reported"), got.alias("fetched"),
-                    F.when(rep > 0, got / rep).alias("coverage"),
-                    (rep > depth_cap).alias("over_cap"))
+    return j.select(*slice_cols, *coverage_columns(F.col("reported"), F.col("fetched"), depth_cap))
+
+
+def coverage_columns(reported: Column, fetched: Column, depth_cap: int = K.OFFSET_CAP) -> list[Column]:
+    """The columns of A7 from a slice's reported total and its fetched rows."""
+    rep = F.coalesce(reported, F.lit(0)).cast("bigint")
+    got = F.coalesce(fetched, F.lit(0)).cast("bigint")
+    return [rep.alias("reported"), got.alias("fetched"), F.when(rep > 0, got / rep).alias("coverage"),
+            (rep > depth_cap).alias("over_cap")]
+
+
+def completed_slices(coverage: DataFrame) -> DataFrame:
+    """Slices of A7 whose rows fetched reach the total reported, within the depth that can be fetched."""
+    return coverage.where((F.col("fetched") >= F.col("reported")) & (F.col("reported") > 0) & ~F.col("over_cap"))
+
+
+def slice_totals(coverage: DataFrame, region_cols: Sequence[str]) -> DataFrame:
+    """A7 check of totals: each slice's ``sane``: its total is above 0 and below that of its region (a region of
+    one slice may equal it). A slice filter that the source ignored reports the region's total."""
+    by = Window.partitionBy(*region_cols)
+    sane = (F.col("reported") > 0) & ((F.col("reported") < F.col("region_total")) | (F.col("region_slices") == 1))
+    return (coverage.withColumn("region_total", F.sum("reported").over(by))
+            .withColumn("region_slices", F.count(F.lit(1)).over(by)).withColumn("sane", sane))
 
 
 def type_leakage(df: DataFrame, type_col: str = "property_type_id", category_col: str = "category_id",

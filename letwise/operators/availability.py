@@ -66,8 +66,7 @@ def recheck(table: DataFrame, outcomes: DataFrame, today, limit: int | None = No
     t = with_due_flag(table, today)
     if limit:
         capped = due_listings(table, today, limit, columns=("ads_id",))
-        # bounded by ``limit`` rows, so shipping it to every task is safe
-        capped = F.broadcast(capped.select(F.col("ads_id").alias("_cap_id")))
+        capped = capped.select(F.col("ads_id").alias("_cap_id"))
         t = t.join(capped, t["ads_id"] == capped["_cap_id"], "left") \
              .withColumn("_due", F.col("_due") & F.col("_cap_id").isNotNull()).drop("_cap_id")
     o = outcomes.select(F.col("ads_id").alias("_probe_id"), F.col("outcome").alias("_outcome"))
@@ -83,21 +82,73 @@ def recheck(table: DataFrame, outcomes: DataFrame, today, limit: int | None = No
     return out.select(*table.columns)
 
 
-def snapshot_diff(table: DataFrame, fresh: DataFrame, slice_cols: Sequence[str] = ("state",),
-                  completed: DataFrame | None = None) -> DataFrame:
+def recheck_by_day(table: DataFrame, probe_log: DataFrame) -> DataFrame:
+    """M3 over a log of several days: every listing's probes in time order, each judged on its own day.
+
+    The rules are those of ``recheck`` with the probe's day as today: a probe counts only if the listing is not
+    gone and due that day; a failed probe changes nothing. The result is the same whether the log comes as one
+    batch or as several, as long as batches follow time. Probes without an id or a time are ignored. A listing's
+    probes meet in one row, a few a day at most.
+    """
+    outcome = F.when(F.col("n_items") > 0, F.lit(ALIVE)).otherwise(F.lit(GONE))
+    log = (probe_log.where(F.col("ads_id").isNotNull() & F.col("checked_at").isNotNull() & F.col("http_ok"))
+           .select(F.col("ads_id").alias("_probe_id"), F.struct("checked_at", outcome.alias("outcome")).alias("p"))
+           .groupBy("_probe_id").agg(F.sort_array(F.collect_set("p")).alias("_probes")))
+    j = table.join(log, table["ads_id"] == log["_probe_id"], "left")
+    start = F.struct(F.col("availability_status").alias("status"), F.col("last_checked_at").alias("last"),
+                     F.col("gone_at").alias("gone"))
+
+    def step(state: Column, probe: Column) -> Column:
+        day = F.to_date(probe["checked_at"])
+        status = state["status"]
+        due = (status.isNull() | ~status.isin(*K.TERMINAL_STATUSES)) & \
+            LF.due_for_check(F.col("first_seen"), state["last"], day)
+        gone = due & (probe["outcome"] == GONE)
+        return F.struct(F.when(gone, LF.classify_gone(F.col("ad_expiry"), day)).otherwise(status).alias("status"),
+                        F.when(due, day).otherwise(state["last"]).alias("last"),
+                        F.when(gone, day).otherwise(state["gone"]).alias("gone"))
+
+    none = F.array().cast("array<struct<checked_at:timestamp,outcome:string>>")
+    j = j.withColumn("_state", F.aggregate(F.coalesce("_probes", none), start, step))
+    return (j.withColumn("availability_status", F.col("_state.status"))
+            .withColumn("last_checked_at", F.col("_state.last")).withColumn("gone_at", F.col("_state.gone"))
+            .select(*table.columns))
+
+
+def probe_counters(probe_log: DataFrame) -> DataFrame:
+    """A10 of a re-check: probes per day that found the listing, found it gone, or failed."""
+    failed = F.col("http_ok").isNull() | ~F.col("http_ok")
+    return probe_log.groupBy(F.to_date("checked_at").alias("day")).agg(
+        F.count(F.when(~failed & (F.col("n_items") > 0), 1)).alias("n_alive"),
+        F.count(F.when(~failed & ~F.coalesce(F.col("n_items") > 0, F.lit(False)), 1)).alias("n_gone"),
+        F.count(F.when(failed, 1)).alias("n_failed"))
+
+
+def apply_snapshot(table: DataFrame, diff: DataFrame, day) -> tuple[DataFrame, DataFrame]:
+    """J8 applied: the table with the check date of ``present`` listings moved on to ``day`` (never back), and the
+    ``absent`` ones as the list of listings to probe (ads_id, ad_expiry). ``unverified`` ones stay as they are."""
+    marks = diff.select(F.col("ads_id").alias("_diff_id"), "diff")
+    j = table.join(marks, table["ads_id"] == marks["_diff_id"], "left")
+    moved = F.when(F.col("diff") == "present", F.greatest("last_checked_at", LF.day_lit(day))) \
+        .otherwise(F.col("last_checked_at"))
+    return (j.withColumn("last_checked_at", moved).select(*table.columns),
+            j.where(F.col("diff") == "absent").select("ads_id", "ad_expiry"))
+
+
+def snapshot_diff(table: DataFrame, fresh: DataFrame, completed: DataFrame,
+                  slice_cols: Sequence[str] = ("state", "property_type_id")) -> DataFrame:
     """J8 + U2: compare the active listings with a fresh full pull.
 
     For every non-terminal listing: ``present`` when its id is in the fresh pull (bulk
     check-date bump), ``absent`` when it is not and its slice completed (a candidate for
     gone), ``unverified`` when its slice did not complete (absence proves nothing).
-    ``completed`` lists completed slices; by default the slices present in the pull.
+    ``completed`` lists the slices known to be complete, from recorded totals (``completed_slices``); having some
+    rows of a slice is no proof.
     Output: ``(ads_id, *slice_cols, diff)``."""
     slice_cols = list(slice_cols)
     active = table.where(non_terminal()).select("ads_id", *slice_cols)
     seen = fresh.select(F.col("ads_id").alias("_seen_id")).distinct()
-    if completed is None:
-        completed = fresh.select(*slice_cols).distinct()
-    done = completed.select(*[F.col(c).alias(f"_done_{c}") for c in slice_cols]).withColumn("_done", F.lit(True))
+    done = completed.select(*[F.col(c).alias(f"_done_{c}") for c in slice_cols]).distinct().withColumn("_done", F.lit(True))
     j = active.join(seen, active["ads_id"] == seen["_seen_id"], "left")
     cond = None
     for c in slice_cols:

@@ -11,7 +11,6 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from letwise import constants as K
 from letwise import functions as LF
@@ -23,15 +22,16 @@ def drop_all_null(df: DataFrame) -> DataFrame:
     return df.dropna(how="all")
 
 
-def drop_all_missing(df: DataFrame, columns=None, tokens=K.NA_TOKENS) -> DataFrame:
+def drop_all_missing(df: DataFrame, columns=None, tokens=K.NA_TOKENS, corrupt: str | None = None) -> DataFrame:
     """W1 on raw text, before NA tokens are turned into NULL: drop rows where every
-    column is NULL or an NA token (what a pandas read + ``dropna(how='all')`` drops).
+    column is NULL or an NA token (what a pandas read + ``dropna(how='all')`` drops). Rows with a ``corrupt``
+    record stay.
 
     Written as one OR over the raw columns so it stays a small predicate: applied after
     the NA projection instead, the optimizer would push it below that projection and
     then rewrite it once per aliased column (exponential constraint growth)."""
-    cols = list(columns or df.columns)
-    keep = None
+    cols = [c for c in columns or df.columns if c != corrupt]
+    keep = F.col(corrupt).isNotNull() if corrupt else None
     for c in cols:
         e = F.col(c).isNotNull() & ~F.col(c).isin(*tokens)
         keep = e if keep is None else keep | e
@@ -47,14 +47,13 @@ def exclude_categories(df: DataFrame, column: str = "category_id",
 
 
 def mapping_dimension(spark: SparkSession, rows: Sequence[tuple[str | None, str | None]] = tuple(K.TYPE_MAPPING)) -> DataFrame:
-    """The (raw -> std) dimension from literal rows, in their order (last wins)."""
-    schema = T.StructType([
-        T.StructField("raw", T.StringType(), True),
-        T.StructField("std", T.StringType(), True),
-        T.StructField("_row", T.LongType(), False),
-    ])
-    df = literal_frame(spark, [(r, s, i) for i, (r, s) in enumerate(rows)], schema)
-    return build_mapping(df, order_col="_row")
+    """The (key, std) dimension of literal rows, by the rule of ``build_mapping``; resolved when the plan is built,
+    so that plans hold a few literal rows and no aggregate."""
+    found: dict[str, str] = {}
+    for raw, std in rows:
+        if raw is not None and std is not None:
+            found |= {piece.strip(): std for piece in raw.split("\n") if piece.strip()}
+    return literal_frame(spark, list(found.items()), "key string, std string")
 
 
 def build_mapping(mapping: DataFrame, order_col: str | None = None) -> DataFrame:
@@ -74,16 +73,12 @@ def build_mapping(mapping: DataFrame, order_col: str | None = None) -> DataFrame
 
 
 def standardise_type(df: DataFrame, mapping: DataFrame, column: str = "property_type",
-                     out: str = "CPI", default: str = K.DEFAULT_STANDARD_TYPE,
-                     broadcast: bool = True) -> DataFrame:
+                     out: str = "CPI", default: str = K.DEFAULT_STANDARD_TYPE) -> DataFrame:
     """Stripped raw type -> standard type by a left join to the mapping dimension;
     unmatched, blank or NULL -> ``default``. Matching is case-sensitive.
 
-    The dimension is broadcast when ``broadcast`` is set: callers pass it for the literal
-    dimension (30 rows) and after a row-count check for one read from storage."""
+    No hint: Spark broadcasts the dimension when its size is known to be small, as that of the literal one is."""
     m = mapping.select(F.col("key").alias("_map_key"), F.col("std").alias("_map_std"))
-    if broadcast:
-        m = F.broadcast(m)
     keyed = df.withColumn("_type_key", LF.strip(column))
     joined = keyed.join(m, keyed["_type_key"] == m["_map_key"], "left")
     std = F.when(F.col(column).isNull(), F.lit(default)).otherwise(F.coalesce(F.col("_map_std"), F.lit(default)))

@@ -1,8 +1,8 @@
 """Coordinates: lookup by query text, backfill of missing coordinates, sanity box.
 
 The coordinate table ``(query, lat, lon)`` replaces the geocoder and its cache: a row
-with a NULL pair is a cached miss. It holds one row per distinct place text (thousands,
-not billions), and is broadcast only after its row count is checked.
+with a NULL pair is a cached miss. Joins carry no hint: Spark broadcasts the table where its size
+allows and shuffles otherwise.
 """
 
 from __future__ import annotations
@@ -12,15 +12,21 @@ from pyspark.sql import functions as F
 
 from letwise import constants as K
 from letwise import functions as LF
-from letwise.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast
+from letwise.operators.dedup import latest_per_key
 
 
-def lookup_coordinates(df: DataFrame, query_col: str, geo: DataFrame,
-                       max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def one_per_query(geo: DataFrame) -> DataFrame:
+    """One row per query text, so that a lookup never multiplies rows. A hit goes before a cached miss,
+    then the greatest pair; rows without a query are dropped."""
+    return latest_per_key(geo.where(F.col("query").isNotNull()).select(
+        "query", (F.col("lat").isNotNull() & F.col("lon").isNotNull()).alias("_hit"), "lat", "lon"),
+        ["query"], ["_hit", "lat", "lon"]).drop("_hit")
+
+
+def lookup_coordinates(df: DataFrame, query_col: str, geo: DataFrame) -> DataFrame:
     """Add ``latitude``/``longitude`` from the coordinate table; a blank query or a
-    miss gives a NULL pair."""
-    g, _ = checked_broadcast(geo.select(F.col("query").alias("_q"), F.col("lat").alias("_lat"),
-                                        F.col("lon").alias("_lon")), max_broadcast_rows)
+    miss gives a NULL pair. Rows stay one to one."""
+    g = one_per_query(geo).select(F.col("query").alias("_q"), F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
     j = df.join(g, (df[query_col] == g["_q"]) & (df[query_col] != ""), "left")
     return j.withColumn("latitude", F.col("_lat")).withColumn("longitude", F.col("_lon")) \
             .drop("_q", "_lat", "_lon")
@@ -41,42 +47,23 @@ def _candidates(region, state, country: str = K.COUNTRY):
     return q1, q2
 
 
-def backfill_coordinates(table: DataFrame, geo: DataFrame,
-                         max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def backfill_coordinates(table: DataFrame, geo: DataFrame) -> DataFrame:
     """M2: fill both coordinates of rows where either is missing, from the first hit of
     the fallback chain (region+state, then state). Rows without a state are never filled.
 
-    Two routes, chosen by the checked size of the coordinate table:
-    * small table: per-row lookup, two broadcast hash joins, no shuffle of the fact table;
-    * big table: D3 distinct (region, state) of rows to fill -> resolve the chain against
-      the coordinate table -> null-safe equi join back (J5).
+    Only rows with a missing coordinate move: their distinct (region, state) pairs (D3) are resolved against
+    the coordinate table (J4) and joined back to them, NULL equal to NULL (J5). All other rows pass by.
     """
-    geo_ok = geo.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
-    g, small = checked_broadcast(geo_ok.select("query", "lat", "lon"), max_broadcast_rows)
-    cols = table.columns
-    if small:
-        q1, q2 = _candidates(F.col("region"), F.col("state"))
-        t = table.withColumn("_miss", missing_coordinates()) \
-                 .withColumn("_q1", F.when(F.col("_miss"), q1)) \
-                 .withColumn("_q2", F.when(F.col("_miss"), q2))
-        g1 = g.select(F.col("query").alias("_g1q"), F.col("lat").alias("_lat1"), F.col("lon").alias("_lon1"))
-        g2 = g.select(F.col("query").alias("_g2q"), F.col("lat").alias("_lat2"), F.col("lon").alias("_lon2"))
-        j = t.join(g1, t["_q1"] == g1["_g1q"], "left").join(g2, t["_q2"] == g2["_g2q"], "left")
-        hit1 = F.col("_lat1").isNotNull()
-        lat = F.when(F.col("_miss") & hit1, F.col("_lat1")).when(F.col("_miss") & F.col("_lat2").isNotNull(), F.col("_lat2"))
-        lon = F.when(F.col("_miss") & hit1, F.col("_lon1")).when(F.col("_miss") & F.col("_lat2").isNotNull(), F.col("_lon2"))
-        return j.withColumn("latitude", F.coalesce(lat, F.col("latitude"))) \
-                .withColumn("longitude", F.when(lat.isNotNull(), lon).otherwise(F.col("longitude"))) \
-                .select(*cols)
-    pairs = resolve_pairs(table, geo_ok)
+    pairs = resolve_pairs(table, geo)
     p = pairs.select(F.col("region").alias("_pr"), F.col("state").alias("_ps"),
                      F.col("lat").alias("_plat"), F.col("lon").alias("_plon"))
-    j = table.join(p, table["region"].eqNullSafe(p["_pr"]) & table["state"].eqNullSafe(p["_ps"])
-                   & missing_coordinates(), "left")
+    lacking = table.where(missing_coordinates())
+    j = lacking.join(p, lacking["region"].eqNullSafe(p["_pr"]) & lacking["state"].eqNullSafe(p["_ps"]), "left")
     hit = F.col("_plat").isNotNull()
-    return j.withColumn("latitude", F.when(hit, F.col("_plat")).otherwise(F.col("latitude"))) \
-            .withColumn("longitude", F.when(hit, F.col("_plon")).otherwise(F.col("longitude"))) \
-            .select(*cols)
+    filled = (j.withColumn("latitude", F.when(hit, F.col("_plat")).otherwise(F.col("latitude")))
+              .withColumn("longitude", F.when(hit, F.col("_plon")).otherwise(F.col("longitude")))
+              .select(*table.columns))
+    return table.where(~missing_coordinates()).unionByName(filled)
 
 
 def pairs_to_fill(table: DataFrame) -> DataFrame:
@@ -88,6 +75,7 @@ def resolve_pairs(table: DataFrame, geo: DataFrame) -> DataFrame:
     """For each pair to fill, the first hit of the fallback chain; pairs with no hit
     are dropped (they stay missing). Output ``(region, state, lat, lon)``."""
     pairs = pairs_to_fill(table)
+    geo = one_per_query(geo.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()))
     q1, q2 = _candidates(F.col("region"), F.col("state"))
     pq = pairs.withColumn("_q1", q1).withColumn("_q2", q2)
     g1 = geo.select(F.col("query").alias("_g1q"), F.col("lat").alias("_lat1"), F.col("lon").alias("_lon1"))

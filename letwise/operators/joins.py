@@ -1,30 +1,11 @@
-"""Join helpers.
-
-Broadcast is used only behind a size check: either the side is built from fixed
-constants (a handful of rows), or its row count is measured first and compared with a
-limit. Beyond the limit the plain join is kept and Spark shuffles both sides (AQE may
-still convert it at run time from measured sizes).
-"""
+"""Join helpers. No join carries a broadcast hint: Spark broadcasts a side whose size it knows to be small, at
+planning or, through AQE, from what a shuffle has measured."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows we are willing to ship to every executor for a dimension/lookup table.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Return ``(df_or_broadcast_hint, broadcasted)`` after counting the rows of ``df``.
-
-    Use it on lookup tables read from storage (the count of a Parquet scan is answered
-    from footers); never on the big fact side."""
-    n = df.count()
-    if n <= max_rows:
-        return F.broadcast(df), True
-    return df, False
-
 
 def skip_known(incoming: DataFrame, known_ids: DataFrame | None, key: str = "ads_id",
                enabled: bool = True) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from letwise import constants as K
 from letwise import functions as LF
@@ -36,6 +37,16 @@ def type_dimension(spark: SparkSession) -> DataFrame:
     return literal_frame(spark, sorted(K.RESIDENTIAL_PROPERTY_TYPE_IDS.items()), "type_id int, type_name string")
 
 
+def ordered_types(types: DataFrame) -> DataFrame:
+    """L2: a type dimension (type_id, type_name) in the order in which slices run, by id, with its place from 1."""
+    return types.withColumn("place", F.row_number().over(Window.orderBy("type_id"))).orderBy("place")
+
+
+def write_combined(frame: DataFrame, path: str, by: str = "state") -> None:
+    """The combined snapshot as Parquet, a folder a state (the fixed state list bounds their number)."""
+    frame.write.mode("overwrite").partitionBy(by).parquet(path)
+
+
 def select_slices(df: DataFrame, state_col: str = "state", states: Iterable[str] | None = None,
                   type_col: str = "property_type_id", type_ids: Iterable[int] | None = None) -> DataFrame:
     """One state or all; all types or a subset. Literal ``isin`` lists, so Parquet
@@ -50,13 +61,14 @@ def select_slices(df: DataFrame, state_col: str = "state", states: Iterable[str]
 
 def unknown_states(df: DataFrame, state_col: str = "state") -> DataFrame:
     """Distinct normalised state keys that the region dimension does not know."""
-    dim = F.broadcast(region_dimension(df.sparkSession))
+    dim = region_dimension(df.sparkSession)
     keys = df.select(LF.normalise_state(state_col).alias("state_key")).distinct()
     return keys.join(dim, "state_key", "left_anti")
 
 
 def validate_states(df: DataFrame, state_col: str = "state") -> None:
-    """Raise when any state key is unknown (collects at most a few keys)."""
-    bad = [r["state_key"] for r in unknown_states(df, state_col).limit(20).collect()]
-    if bad:
-        raise ValueError(f"Unknown state {bad[0]!r}. Known: {sorted(K.REGION_CODES)}")
+    """Raise when any state key is unknown, with how many there are and the smallest one; the whole
+    report is ``unknown_states``."""
+    row = unknown_states(df, state_col).agg(F.count(F.lit(1)).alias("n"), F.min("state_key").alias("first")).first()
+    if row["n"]:
+        raise ValueError(f"{row['n']} state keys are not in the region table, such as {row['first']!r}")

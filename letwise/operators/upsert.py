@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from letwise import constants as K
 from letwise import functions as LF
 from letwise import schemas as S
-from letwise.operators.dedup import latest_per_key
+from letwise.operators.dedup import pick_per_key
 
 
 class MissingKeyError(ValueError):
@@ -31,7 +31,7 @@ class MissingKeyError(ValueError):
 def require_key(df: DataFrame, key: str = S.KEY) -> None:
     """Fail before any work when the key column is absent."""
     if key not in df.columns:
-        raise MissingKeyError(f"DataFrame missing '{key}' column, cannot upsert.")
+        raise MissingKeyError(f"the batch has no key column {key!r}")
 
 
 def split_quarantine(df: DataFrame, key: str = S.KEY) -> tuple[DataFrame, DataFrame]:
@@ -82,30 +82,42 @@ def evolve_schema(table: DataFrame) -> DataFrame:
     return out
 
 
-def prepare_batch(batch: DataFrame, order_cols: Sequence[str] = ("scrape_date",)) -> DataFrame:
+def prepare_batch(batch: DataFrame, order_cols: Sequence[str] = ("scrape_date", "load_key")) -> DataFrame:
     """Type the batch's own columns, keep the latest row per key (R2), then conform to
-    the scrape columns. ``order_cols`` are columns of the batch (e.g. ``scrape_date``, a
-    source file name, a row position) compared in order; the rest of the row breaks ties
-    so the result never depends on input order. Absent columns are added only after the
+    the scrape columns, with ``_first_day``: the key's earliest scrape day in the batch. ``order_cols`` are
+    columns of the batch (scrape date, then file and position) compared in order; the rest of the row breaks
+    ties so the result never depends on input order. Absent columns are added only after the
     aggregation, so the shuffled rows carry no NULL placeholders."""
     require_key(batch)
     present = [c for c in S.SCRAPE_COLUMNS if c in batch.columns]
     extra = [c for c in order_cols if c not in S.SCRAPE_COLUMNS and c in batch.columns]
     typed = batch.select(*[_typed(batch, c, S.TABLE_TYPES[c]) for c in present], *extra)
-    picked = latest_per_key(typed, [S.KEY], [c for c in order_cols if c in typed.columns])
-    return conform(picked, S.SCRAPE_COLUMNS, S.TABLE_TYPES)
+    day = LF.parse_day("scrape_date") if "scrape_date" in present else F.lit(None).cast("date")
+    picked = pick_per_key(typed, [S.KEY], [c for c in order_cols if c in typed.columns],
+                          also=[F.min(day).alias("_first_day")])
+    return conform(picked, S.SCRAPE_COLUMNS, S.TABLE_TYPES, keep=["_first_day"])
+
+
+def _rank(prefix: str, order_cols: Sequence[str]) -> Column:
+    """The order in which ``prepare_batch`` compares rows, for a conformed row."""
+    first = [c for c in order_cols if c in S.SCRAPE_COLUMNS]
+    rest = [c for c in S.SCRAPE_COLUMNS if c not in first and c != S.KEY]
+    return F.struct(*[F.col(f"{prefix}{c}").alias(f"o{i}") for i, c in enumerate([*first, *rest])])
 
 
 def upsert(table: DataFrame | None, batch: DataFrame,
-           order_cols: Sequence[str] = ("scrape_date",), guard_late: bool = True) -> DataFrame:
+           order_cols: Sequence[str] = ("scrape_date", "load_key"), guard_late: bool = True) -> DataFrame:
     """M1: merge a batch into the table on ``ads_id``.
 
-    * insert: scrape columns from the batch, ``first_seen`` = scrape date, status active.
-    * conflict: every scrape column replaced by the batch's (NULL included, T12); status
-      back to active, ``gone_at`` cleared, ``last_checked_at`` = batch scrape date, and
-      ``first_seen`` untouched (T13).
+    * insert: scrape columns from the batch, ``first_seen`` = the key's earliest scrape day in the batch, status
+      active; ``last_checked_at`` = the row's own day if that is later.
+    * conflict: every scrape column replaced by the batch's (NULL included, T12); ``first_seen`` untouched
+      (T13). A later scrape day moves ``last_checked_at`` on, never back. The listing is active again, with
+      ``gone_at`` cleared, unless it was checked or gone after the scrape day.
     * with ``guard_late``, a batch row whose scrape date is older than the stored one
       leaves the stored row as it is (late data).
+    * rows of one scrape date compare as within a batch: by ``order_cols``, then the rest of the row. The greater one
+      stays, whichever batch it came in, and loading a stored row again changes nothing.
     Blank keys must have been split off (``split_quarantine``); the result has the
     table columns in table order.
     """
@@ -113,35 +125,41 @@ def upsert(table: DataFrame | None, batch: DataFrame,
     b = b.where(F.col(S.KEY).isNotNull())
     if table is None:
         # first load: every row is an insert, no join needed
-        return b.select(*S.SCRAPE_COLUMNS,
-                        LF.parse_day("scrape_date").alias("first_seen"),
-                        F.lit(None).cast("date").alias("last_checked_at"),
+        b = b.withColumn("_b_day", LF.parse_day("scrape_date"))
+        return b.select(*S.SCRAPE_COLUMNS, F.col("_first_day").alias("first_seen"),
+                        F.when(F.col("_b_day") > F.col("_first_day"), F.col("_b_day")).alias("last_checked_at"),
                         F.lit(K.STATUS_ACTIVE).alias("availability_status"),
                         F.lit(None).cast("date").alias("gone_at"))
     t = evolve_schema(table)
 
     tb = t.select(*[F.col(c).alias(f"t_{c}") for c in S.TABLE_COLUMNS])
-    bb = b.select(*[F.col(c).alias(f"b_{c}") for c in S.SCRAPE_COLUMNS])
+    bb = b.select(*[F.col(c).alias(f"b_{c}") for c in S.SCRAPE_COLUMNS], "_first_day")
     j = tb.join(bb, tb[f"t_{S.KEY}"] == bb[f"b_{S.KEY}"], "full_outer")
 
     # flags computed once; the final projection only references them
     j = (j.withColumn("_in_table", F.col(f"t_{S.KEY}").isNotNull())
-          .withColumn("_b_day", LF.parse_day(F.col("b_scrape_date"))))
+          .withColumn("_b_day", LF.parse_day(F.col("b_scrape_date")))
+          .withColumn("_t_day", LF.parse_day(F.col("t_scrape_date"))))
+    in_table, b_day, t_day = F.col("_in_table"), F.col("_b_day"), F.col("_t_day")
     if guard_late:
-        t_day = LF.parse_day(F.col("t_scrape_date"))
-        late = F.col("_in_table") & F.col("_b_day").isNotNull() & t_day.isNotNull() & (F.col("_b_day") < t_day)
+        late = in_table & b_day.isNotNull() & t_day.isNotNull() & (b_day < t_day)
     else:
         late = F.lit(False)
-    j = j.withColumn("_take", F.col(f"b_{S.KEY}").isNotNull() & ~late)
-    take, in_table, b_day = F.col("_take"), F.col("_in_table"), F.col("_b_day")
+    beaten = in_table & b_day.isNotNull() & t_day.isNotNull() & (b_day == t_day) & \
+        ~(_rank("b_", order_cols) > _rank("t_", order_cols))
+    j = j.withColumn("_take", F.col(f"b_{S.KEY}").isNotNull() & ~late & ~beaten)
+    take = F.col("_take")
+    j = j.withColumn("_later", in_table & take & b_day.isNotNull() & (t_day.isNull() | (b_day > t_day)))
+    last_event = F.greatest(F.col("t_last_checked_at"), F.col("t_gone_at"))
+    j = j.withColumn("_revive", take & (~in_table | b_day.isNull() | last_event.isNull() | (b_day >= last_event)))
+    revive = F.col("_revive")
 
     cols = [F.when(take, F.col(f"b_{c}")).otherwise(F.col(f"t_{c}")).alias(c) for c in S.SCRAPE_COLUMNS]
-    cols.append(F.when(take & ~in_table, b_day).otherwise(F.col("t_first_seen")).alias("first_seen"))
+    cols.append(F.when(take & ~in_table, F.col("_first_day")).otherwise(F.col("t_first_seen")).alias("first_seen"))
     cols.append(
-        F.when(take & in_table, b_day)
-        .when(take, F.lit(None).cast("date"))
+        F.when(F.col("_later"), F.greatest(F.col("t_last_checked_at"), b_day))
+        .when(take & ~in_table, F.when(b_day > F.col("_first_day"), b_day))
         .otherwise(F.col("t_last_checked_at")).alias("last_checked_at"))
-    cols.append(
-        F.when(take, F.lit(K.STATUS_ACTIVE)).otherwise(F.col("t_availability_status")).alias("availability_status"))
-    cols.append(F.when(take, F.lit(None).cast("date")).otherwise(F.col("t_gone_at")).alias("gone_at"))
+    cols.append(F.when(revive, F.lit(K.STATUS_ACTIVE)).otherwise(F.col("t_availability_status")).alias("availability_status"))
+    cols.append(F.when(revive, F.lit(None).cast("date")).otherwise(F.col("t_gone_at")).alias("gone_at"))
     return j.select(*cols)

@@ -188,13 +188,14 @@ def order_table_sql() -> str:
 def order_probe_log(spark: SparkSession, d: str) -> DataFrame:
     """Probe log for the order listings: an older probe that saw every listing alive, and
     the latest probe: failed for every 50th key, else the number of lines as items."""
-    t = order_table(spark, d)
-    old = t.select("ads_id", F.lit("2001-07-14 09:00:00").cast("timestamp").alias("checked_at"),
-                   F.lit(True).alias("http_ok"), F.lit(1).cast("bigint").alias("n_items"))
-    new = t.select("ads_id", F.lit("2001-07-15 09:00:00").cast("timestamp").alias("checked_at"),
-                   (F.col("ads_id").cast("bigint") % 50 != 0).alias("http_ok"),
-                   F.col("_n_lines").cast("bigint").alias("n_items"))
-    return old.unionByName(new)
+    o = T(spark, d, "orders").select(F.col("o_orderkey").alias("k"))
+    lines = T(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    j = o.join(lines, o.k == lines.l_orderkey, "left")
+    probe = lambda at, ok, n: F.struct(F.lit(at).cast("timestamp").alias("checked_at"), ok.alias("http_ok"),
+                                       n.cast("bigint").alias("n_items"))
+    both = F.array(probe("2001-07-14 09:00:00", F.lit(True), F.lit(1)),
+                   probe("2001-07-15 09:00:00", F.col("k") % 50 != 0, F.coalesce(F.col("n"), F.lit(0))))
+    return j.select(F.col("k").cast("string").alias("ads_id"), F.explode(both).alias("p")).select("ads_id", "p.*")
 
 
 def order_text_table(spark: SparkSession, d: str) -> DataFrame:

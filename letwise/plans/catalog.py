@@ -27,7 +27,7 @@ from letwise.operators.availability import (
 from letwise.operators.clean import clean_listings, exclude_categories, mapping_dimension, standardise_type
 from letwise.operators.dedup import content_dedup, latest_per_key
 from letwise.operators.flatten import item_to_row
-from letwise.operators.geo import backfill_coordinates, bbox_report
+from letwise.operators.geo import backfill_coordinates, bbox_report, missing_coordinates, resolve_pairs
 from letwise.operators.joins import skip_known
 from letwise.operators.slices import combine_slices
 from letwise.operators.upsert import evolve_schema, upsert
@@ -566,7 +566,10 @@ def snapshot_diff_q(spark: SparkSession, d: str) -> DataFrame:
              .distinct().withColumn("availability_status", F.lit("active"))
     fresh = e.where((F.col("ts") >= cut) & (F.col("user_id") % 4 != 3)) \
              .select(F.col("user_id").cast("string").alias("ads_id"), sl.alias("state"))
-    return snapshot_diff(table, fresh, ["state"])
+    # what the source reported per state; the fourth state's pull failed
+    reported = e.where(F.col("ts") >= cut).groupBy(sl.alias("state")).agg(F.count(F.lit(1)).alias("total_results"))
+    done = A.completed_slices(A.slice_coverage(reported, fresh, ["state"], depth_cap=1 << 60))
+    return snapshot_diff(table, fresh, done, ["state"])
 
 
 # --------------------------------------------------------------------------- geo
@@ -596,7 +599,9 @@ def _geo_inputs(spark: SparkSession, d: str):
     g_region = r.where(rk != 4).select(
         F.concat_ws(", ", "r_name", F.lit(K.COUNTRY)).alias("query"),
         (dbl(4) + rk.cast("double") * dbl(0.5)).alias("lat"), (dbl(110) + rk.cast("double")).alias("lon"))
-    return table, g_nation.unionByName(g_region)
+    # every query a second time, with a smaller pair
+    geo = g_nation.unionByName(g_region)
+    return table, geo.unionByName(geo.select("query", (F.col("lat") - 1).alias("lat"), (F.col("lon") - 1).alias("lon")))
 
 
 _GEO_SQL = """WITH t AS (SELECT CAST(c_custkey AS VARCHAR) AS ads_id,
@@ -612,7 +617,8 @@ g AS (SELECT n_name || ', ' || r_name || ', Malaysia' AS query,
       UNION ALL
       SELECT r_name || ', Malaysia', CAST(4 AS DOUBLE) + CAST(r_regionkey AS DOUBLE) * CAST(0.5 AS DOUBLE),
              CAST(110 AS DOUBLE) + CAST(r_regionkey AS DOUBLE) FROM region WHERE r_regionkey <> 4),
-gv AS (SELECT * FROM g WHERE lat IS NOT NULL AND lon IS NOT NULL),
+gd AS (SELECT * FROM g UNION ALL SELECT query, lat - 1, lon - 1 FROM g),
+gv AS (SELECT query, max(lat) AS lat, max(lon) AS lon FROM gd WHERE lat IS NOT NULL AND lon IS NOT NULL GROUP BY query),
 x AS (SELECT t.*, (latitude IS NULL OR longitude IS NULL) AS miss,
         CASE WHEN region IS NOT NULL AND region <> '' AND state IS NOT NULL AND state <> '' THEN region || ', ' || state || ', Malaysia' END AS q1,
         CASE WHEN state IS NOT NULL AND state <> '' THEN state || ', Malaysia' END AS q2 FROM t)
@@ -624,16 +630,20 @@ FROM x LEFT JOIN gv g1 ON x.q1 = g1.query LEFT JOIN gv g2 ON x.q2 = g2.query"""
 
 @register("geo_fill", _GEO_SQL)
 def geo_fill(spark: SparkSession, d: str) -> DataFrame:
-    """M2 + J4 + J5: fill missing coordinates from the fallback chain."""
+    """M2 + J4 + J5: fill missing coordinates from the fallback chain; queries repeat in the coordinate table."""
     table, geo = _geo_inputs(spark, d)
     return backfill_coordinates(table, geo)
 
 
 @register("geo_fill_shuffle", _GEO_SQL)
 def geo_fill_shuffle(spark: SparkSession, d: str) -> DataFrame:
-    """M2 via the large-lookup route: D3 distinct pairs -> J4 -> null-safe join back."""
+    """D3 -> J4 -> J5 step by step: the distinct pairs to fill, what the chain finds for each, joined back."""
     table, geo = _geo_inputs(spark, d)
-    return backfill_coordinates(table, geo, max_broadcast_rows=0)
+    pairs = resolve_pairs(table, geo).select(F.col("region").alias("pr"), F.col("state").alias("ps"), "lat", "lon")
+    j = table.join(pairs, F.col("region").eqNullSafe(F.col("pr")) & F.col("state").eqNullSafe(F.col("ps"))
+                   & missing_coordinates(), "left")
+    return j.select("ads_id", "region", "state", F.coalesce("lat", "latitude").alias("latitude"),
+                    F.when(F.col("lat").isNotNull(), F.col("lon")).otherwise(F.col("longitude")).alias("longitude"))
 
 
 @register("bbox_check", f"""SELECT state,
@@ -724,9 +734,8 @@ def slice_coverage(spark: SparkSession, d: str) -> DataFrame:
     o = read_table(spark, d, "orders")
     li = read_table(spark, d, "lineitem")
     j = li.join(o, li.l_orderkey == o.o_orderkey).select(F.col("o_orderstatus").alias("slice"), "l_linenumber")
-    reported = j.groupBy("slice").agg(F.count(F.lit(1)).alias("total_results"))
-    fetched = j.where(F.col("l_linenumber") <= 3)
-    return A.slice_coverage(reported, fetched, ["slice"])
+    one = j.groupBy("slice").agg(F.count(F.lit(1)).alias("total"), F.count(F.when(F.col("l_linenumber") <= 3, 1)).alias("got"))
+    return one.select("slice", *A.coverage_columns(F.col("total"), F.col("got")))
 
 
 @register("type_leak", f"""SELECT p_brand AS property_type_id, {B.case_sql('p_type', B.PTYPE_CATEGORY)} AS category_id, count(*) AS n,
@@ -783,16 +792,14 @@ def run_counters(spark: SparkSession, d: str) -> DataFrame:
     li = read_table(spark, d, "lineitem")
     inc = o.select(F.col("o_orderkey").cast("string").alias("ads_id"),
                    F.concat(B.case_col(F.col("o_orderpriority"), B.PRIORITY_CATEGORY), F.lit(", For rent")).alias("category_id"))
-    new = skip_known(inc, li.select(F.col("l_orderkey").cast("string").alias("ads_id")))
-    kept = clean_listings(new)
-    stages = (inc.select(F.lit("in").alias("stage"))
-              .unionByName(new.select(F.lit("new").alias("stage")))
-              .unionByName(kept.select(F.lit("kept").alias("stage"))))
-    n = lambda s: F.count(F.when(F.col("stage") == s, 1))
+    known = li.select(F.col("l_orderkey").cast("string").alias("known")).distinct()
+    marked = inc.join(known, F.col("ads_id") == F.col("known"), "left")
+    new = F.col("known").isNull()
+    out = new & LF.strip_category("category_id").isin(*K.EXCLUDED_CATEGORIES)
+    n = lambda c: F.count(F.when(c, 1))
     return A.run_counters({
-        "n_in": n("in"), "n_skipped": n("in") - n("new"), "n_new": n("new"),
-        "n_excluded": n("new") - n("kept"), "n_kept": n("kept"),
-    }, stages)
+        "n_in": F.count(F.lit(1)), "n_skipped": n(~new), "n_new": n(new), "n_excluded": n(out), "n_kept": n(new & ~out),
+    }, marked)
 
 
 @register("clean_job", f"""SELECT l.ads_id, {Q.clean_rent('l.monthly_rent')} AS monthly_rent, {Q.strip_category('l.category_id')} AS category_id,
@@ -844,17 +851,17 @@ def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
          row_number() OVER (PARTITION BY user_id ORDER BY strftime(ts, '%Y-%m-%d') DESC, value DESC, event_type DESC) AS rn
   FROM events) WHERE rn = 1""")
 def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
-    """ST2: per-user sightings arrive as one file per day; each micro-batch is upserted
+    """ST2: per-user sightings arrive as files of mixed days; each micro-batch is upserted
     into the versioned table through foreachBatch. The final table equals the batch
-    answer: the latest day's row per user."""
+    answer: the latest day's row per user, the greatest of one day."""
     from letwise.sources.snapshot import read_snapshot
     from letwise.streaming.jobs import upsert_stream
     e = read_table(spark, d, "events")
     rows = e.select(F.col("user_id").cast("string").alias("ads_id"), F.col("value").alias("monthly_rent"),
                     F.col("event_type").alias("state"), F.date_format("ts", "yyyy-MM-dd").alias("scrape_date"))
     src, root, ck = (scratch_path(spark, n) for n in ("days", "table", "ckpt"))
-    rows.withColumn("day", F.col("scrape_date")).repartition("day").write.partitionBy("day").parquet(src)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 8).parquet(src)
+    rows.repartition(8, "ads_id", "monthly_rent").write.parquet(src)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 3).parquet(src)
     upsert_stream(stream, root, ck, writer_id="events")
     t = read_snapshot(spark, root)
     return t.select("ads_id", "monthly_rent", "state", "scrape_date", "availability_status")
@@ -888,11 +895,22 @@ def load_job(spark: SparkSession, d: str) -> DataFrame:
                     "CPI", "scrape_date", ymd("first_seen").alias("first_seen"), "availability_status")
 
 
-@register("stream_recheck", _AVAIL_SQL + "\nSELECT * FROM r")
-def stream_recheck(spark: SparkSession, d: str) -> DataFrame:
-    """ST4: the probe log arrives as a file stream and each micro-batch drives the
-    availability transition on the latest table version. With the whole log in one
-    micro-batch the final table equals the batch re-check."""
+def _day_step_sql(source: str, day: str, outcome: str) -> str:
+    """The re-check transition of one day's probes over a table given in SQL."""
+    due = Q.due("first_seen", "last_checked_at", "availability_status", day)
+    return f"""SELECT ads_id, state, first_seen, ad_expiry, o_orderkey, n_lines,
+  CASE WHEN {due} AND {outcome} = 'gone' THEN {Q.classify_gone('ad_expiry', day)} ELSE availability_status END AS availability_status,
+  CASE WHEN {due} AND {outcome} IN ('alive', 'gone') THEN {Q.day(day)} ELSE last_checked_at END AS last_checked_at,
+  CASE WHEN {due} AND {outcome} = 'gone' THEN {Q.day(day)} ELSE gone_at END AS gone_at FROM ({source})"""
+
+
+_SECOND_PROBE = "(CASE WHEN o_orderkey % 50 = 0 THEN 'unknown' WHEN n_lines > 0 THEN 'alive' ELSE 'gone' END)"
+_TWO_DAYS_SQL = f"""SELECT ads_id, state, availability_status, strftime(last_checked_at, '%Y-%m-%d') AS last_checked_at,
+  strftime(gone_at, '%Y-%m-%d') AS gone_at
+FROM ({_day_step_sql(_day_step_sql(B.order_table_sql(), '2001-07-14', "'alive'"), '2001-07-15', _SECOND_PROBE)})"""
+
+
+def _recheck_stream(spark: SparkSession, d: str, files: int | None) -> DataFrame:
     from letwise import schemas as S
     from letwise.sources.snapshot import read_snapshot, write_snapshot
     from letwise.streaming.jobs import recheck_stream
@@ -900,8 +918,25 @@ def stream_recheck(spark: SparkSession, d: str) -> DataFrame:
     t = B.order_table(spark, d).select("ads_id", "state", "first_seen", "last_checked_at", "availability_status",
                                        "gone_at", "ad_expiry")
     write_snapshot(t, root)
-    B.order_probe_log(spark, d).write.parquet(src)
-    recheck_stream(spark.readStream.schema(S.PROBE_SCHEMA).parquet(src), root, ck, writer_id="probes")
+    log = B.order_probe_log(spark, d).withColumn("day", F.to_date("checked_at"))
+    for day in ("2001-07-14", "2001-07-15"):  # landed day by day
+        log.where(F.col("day") == day).drop("day").coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(S.PROBE_SCHEMA)
+    stream = stream.option("maxFilesPerTrigger", files) if files else stream
+    recheck_stream(stream.parquet(src), root, ck, writer_id="probes")
     out = read_snapshot(spark, root)
     return out.select("ads_id", "state", "availability_status", ymd("last_checked_at").alias("last_checked_at"),
                       ymd("gone_at").alias("gone_at"))
+
+
+@register("stream_recheck", _TWO_DAYS_SQL)
+def stream_recheck(spark: SparkSession, d: str) -> DataFrame:
+    """ST4: the probe log arrives as a file stream, all of it in one micro-batch, which drives the
+    availability transition on the latest table version; every probe counts on its own day."""
+    return _recheck_stream(spark, d, None)
+
+
+@register("stream_recheck_days", _TWO_DAYS_SQL)
+def stream_recheck_days(spark: SparkSession, d: str) -> DataFrame:
+    """ST4: the same log, one file a micro-batch; the result is the same."""
+    return _recheck_stream(spark, d, 1)

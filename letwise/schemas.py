@@ -38,6 +38,8 @@ SCRAPE_FIELDS = [
     ("publishedDatetime", S),
     ("scrape_date", S),
     ("adviewUrl", S),
+    # file and position a row was loaded from; decides between rows of one key and scrape date
+    ("load_key", S),
 ]
 
 # Re-check columns, protected from the upsert.

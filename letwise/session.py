@@ -29,7 +29,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("LETWISE_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("LETWISE_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -37,12 +37,15 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; set a scratch one only if unset."""
+    """The shared checkpoint folder of the session. A scratch one is made only where none is set and the
+    master is local; on a cluster a missing setting is an error."""
     conf = spark.sparkContext.getCheckpointDir()
     if conf:
         return conf.rstrip("/")
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="letwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
@@ -54,12 +57,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df):
-    """Reliable checkpoint (written to the shared checkpoint folder)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def literal_frame(spark: SparkSession, rows, schema):
     """A small DataFrame of literal rows built inside the JVM (an inline array of
     literal structs), so using it never needs a Python worker. ``schema`` is a

@@ -6,6 +6,9 @@ column of integers with a gap never turns into ``'3.0'`` text (T4).
 
 from __future__ import annotations
 
+import csv
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,44 +26,94 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
-def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Landed search pages (JSON, one page per line unless ``multi_line``) ->
-    one row per item: ``(page_file, page_total, item)``. Malformed pages land in
-    ``_corrupt_record`` and yield no items."""
+def read_page_log(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Landed search pages (JSON, one page per line unless ``multi_line``), a row a page: ``(page_file,
+    page_total, data, _corrupt_record)``. A page that does not parse, or has no ``data``, keeps its text in
+    ``_corrupt_record``; blank lines are no pages."""
     schema = T.StructType(S.PAGE_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType(), True)])
-    pages = (spark.read.schema(schema)
-             .option("multiLine", multi_line)
-             .option("mode", "PERMISSIVE")
-             .option("columnNameOfCorruptRecord", CORRUPT)
-             .json(path))
-    return pages.select(
-        F.col("_metadata.file_name").alias("page_file"),
-        F.col("meta.`total-results`").alias("page_total"),
-        F.explode("data").alias("item"),
-    )
-
-
-def read_raw_csv(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
-    """Raw or processed listing CSVs with the fixed raw header, every column text.
-
-    Combined snapshots (``_ALL_`` in the file name) are skipped; rows whose every field
-    is missing are dropped (W1); NA tokens become NULL (P10); rows that do not parse are
-    kept apart in ``_corrupt_record`` (S11)."""
+    text = (spark.read.option("wholetext", multi_line).option("recursiveFileLookup", True).text(path)
+            .select(F.col("_metadata.file_name").alias("page_file"), "value").where(F.trim("value") != ""))
+    page = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    text = text.withColumn("_page", page)
+    bad = F.col(f"_page.{CORRUPT}").isNotNull() | F.col("_page.data").isNull()
+    return text.select("page_file", F.col("_page.meta.`total-results`").alias("page_total"), F.col("_page.data").alias("data"),
+                       F.when(bad, F.col("value")).alias(CORRUPT))
+
+
+def page_items(log: DataFrame) -> DataFrame:
+    """One row per item of the good pages: ``(page_file, page_total, item)``."""
+    return (log.where(F.col(CORRUPT).isNull())
+            .select("page_file", "page_total", F.explode("data").alias("item")))
+
+
+def bad_pages(log: DataFrame) -> DataFrame:
+    """The pages to quarantine: ``(page_file, _corrupt_record)``."""
+    return log.where(F.col(CORRUPT).isNotNull()).select("page_file", CORRUPT)
+
+
+def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """The items of landed search pages (see ``read_page_log`` for the pages that are not good)."""
+    return page_items(read_page_log(spark, path, multi_line))
+
+
+def list_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The CSV files under a folder, but for combined snapshots: ``(file, modified)``. Only names and times
+    are read."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+             .load(path).select(F.col("path").alias("file"), F.col("modificationTime").cast("string").alias("modified")))
+    return files.where(~F.element_at(F.split("file", "/"), -1).contains(K.COMBINED_MARKER))
+
+
+def csv_headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """Paths of the files by their header line. Headers are few; the list of paths is as long as the scan's own."""
+    lines = (spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+                                           F.monotonically_increasing_id().alias("n"), "value").where(F.col("at") == 0))
+    found: dict[str, list[str]] = {}
+    for row in lines.groupBy("file").agg(F.min_by("value", "n").alias("header")).collect():
+        found.setdefault(row["header"].lstrip("\ufeff").rstrip("\r"), []).append(unquote(row["file"]))
+    return {h: sorted(found[h]) for h in sorted(found)}
+
+
+def _read_csv_group(spark: SparkSession, header: str, paths: list[str]) -> DataFrame:
+    """Files of one header: every listing column as text, by name (missing ones NULL), the corrupt record, and
+    the file and place of each row. A file without the key column is corrupt row by row."""
+    names = next(csv.reader([header]), [])
+    fields = [f"c{i}" for i in range(len(names))]
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in [*fields, CORRUPT]])
+    df = (spark.read.schema(schema).option("header", True).option("enforceSchema", True)
+          .option("multiLine", True).option("escape", '"').option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", CORRUPT).csv(paths))
+    at = {name.strip(): c for c, name in reversed(list(zip(fields, names)))}
+    corrupt = F.col(CORRUPT)
+    if S.KEY not in at:
+        corrupt = F.coalesce(corrupt, F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in fields]))
+    columns = [(F.col(at[c]) if c in at else F.lit(None).cast("string")).alias(c) for c in CSV_COLUMNS]
+    name = F.element_at(F.split("_metadata.file_path", "/"), -1)
+    place = F.lpad(F.monotonically_increasing_id().cast("string"), 20, "0")
+    return df.select(*columns, corrupt.alias(CORRUPT), name.alias("source_file"),
+                     F.concat(F.col("_metadata.file_path"), F.lit("#"), place).alias("load_key"))
+
+
+CSV_COLUMNS = [*S.RAW_COLUMNS, "CPI"]
+
+
+def read_raw_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Raw or processed listing CSVs (a folder, or a list of files), every column text and found by its
+    header name, whatever the order; missing columns are NULL and unknown ones ignored.
+
+    Files are read in groups of one header, so a file with another header never disturbs the rest. Combined
+    snapshots (``_ALL_`` in the name) are skipped; rows whose every field is missing are dropped (W1); NA
+    tokens become NULL (P10); rows that do not parse, short ones included, and rows of files without a key
+    column are kept apart in ``_corrupt_record``. ``load_key`` has the file and place of each row."""
     from letwise.operators.clean import drop_all_missing
-    schema = T.StructType(S.RAW_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType(), True)])
-    df = (spark.read.schema(schema)
-          .option("header", True)
-          .option("enforceSchema", False)
-          .option("multiLine", True)
-          .option("escape", '"')
-          .option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT)
-          .option("recursiveFileLookup", recursive)
-          .csv(path))
-    df = df.withColumn("source_file", F.element_at(F.split(F.input_file_name(), "/"), -1))
-    df = df.where(~F.col("source_file").contains(K.COMBINED_MARKER))
-    df = drop_all_missing(df, S.RAW_COLUMNS)
-    return df.select(*[LF.na_to_null(c).alias(c) for c in S.RAW_COLUMNS], CORRUPT, "source_file")
+    paths = [r["file"] for r in list_csv(spark, path).collect()] if isinstance(path, str) else list(path)
+    groups = [_read_csv_group(spark, h, files) for h, files in csv_headers(spark, paths).items()] if paths else []
+    schema = ", ".join(f"{c} string" for c in [*CSV_COLUMNS, CORRUPT, "source_file", "load_key"])
+    df = groups[0] if groups else spark.createDataFrame([], schema)
+    for g in groups[1:]:
+        df = df.unionByName(g)
+    df = drop_all_missing(df, [*CSV_COLUMNS, CORRUPT], corrupt=CORRUPT)
+    return df.select(*[LF.na_to_null(c).alias(c) for c in CSV_COLUMNS], CORRUPT, "source_file", "load_key")
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -91,7 +144,7 @@ def read_mapping_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_geo(spark: SparkSession, path: str) -> DataFrame:
-    """Coordinate table (Parquet), one row per query (latest write wins)."""
+    """Coordinate table (Parquet). Lookups take one row per query (``geo.one_per_query``)."""
     return spark.read.schema(S.GEO_SCHEMA).parquet(path)
 
 

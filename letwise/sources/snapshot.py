@@ -46,7 +46,19 @@ def read_snapshot(spark: SparkSession, root: str, version: int | None = None) ->
     v = current_version(spark, root) if version is None else version
     if v is None:
         return None
-    return spark.read.option("mergeSchema", True).parquet(f"{root.rstrip('/')}/v={v:08d}")
+    return spark.read.parquet(f"{root.rstrip('/')}/v={v:08d}")
+
+
+def consumed_files(spark: SparkSession, root: str) -> DataFrame | None:
+    """Files (``file``, ``modified``) that committed versions were loaded from; None before the first."""
+    try:
+        log = spark.read.parquet(f"{root.rstrip('/')}/_consumed")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return None
+        raise
+    done = spark.read.parquet(_commits(root)).select("version").distinct()
+    return log.join(done, "version", "left_semi").select("file", "modified")
 
 
 def commit_state(spark: SparkSession, root: str, writer_id: str, batch_id: int) -> tuple[int | None, bool]:
@@ -63,11 +75,12 @@ def commit_state(spark: SparkSession, root: str, writer_id: str, batch_id: int)
 
 def write_snapshot(df: DataFrame, root: str, partition_by: tuple[str, ...] = (),
                    sort_by: tuple[str, ...] = (S.KEY,), writer_id: str = "",
-                   batch_id: int = -1, base_version: int | None = -1) -> int:
+                   batch_id: int = -1, base_version: int | None = -1, consumed: DataFrame | None = None) -> int:
     """Write ``df`` as the next version and commit it. Returns the new version.
 
-    Rows are sorted by key within each task so Parquet row-group min/max statistics
-    prune key lookups. ``writer_id``/``batch_id`` are recorded in the commit so a
+    Rows are sorted by key within each task, which compresses better; it prunes key lookups only where the
+    rows are partitioned by key. ``consumed`` are the files the version was loaded from, which count as loaded
+    once it is committed. ``writer_id``/``batch_id`` are recorded in the commit so a
     streaming writer can skip a replayed micro-batch. ``base_version`` is the version
     the new one is derived from, when the caller already knows it."""
     spark = df.sparkSession
@@ -80,7 +93,9 @@ def write_snapshot(df: DataFrame, root: str, partition_by: tuple[str, ...] = (),
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{root.rstrip('/')}/v={v:08d}")
-    commit = literal_frame(spark, 
+    if consumed is not None:
+        consumed.coalesce(1).write.mode("overwrite").parquet(f"{root.rstrip('/')}/_consumed/version={v}")
+    commit = literal_frame(spark,
         [(v, _dt.datetime.now(_dt.timezone.utc).isoformat(), writer_id, int(batch_id))],
         "version int, committed_at string, writer_id string, batch_id long")
     commit.write.mode("append").partitionBy("version").parquet(_commits(root))

@@ -17,67 +17,84 @@ cluster's shared checkpoint directory (``letwise.session.scratch_path``).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from letwise import constants as K
-from letwise import functions as LF
 from letwise import schemas as S
-from letwise.operators.availability import probe_outcomes, recheck
-from letwise.operators.clean import clean_listings, drop_all_missing
+from letwise.operators.availability import recheck_by_day
+from letwise.operators.clean import clean_listings
 from letwise.operators.upsert import split_quarantine, upsert
+from letwise.sources.files import read_raw_csv, split_corrupt
 from letwise.sources.snapshot import commit_state, read_snapshot, write_snapshot
 
 
-def raw_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming scan of raw listing CSVs (fixed all-text schema, recursive, combined
-    ``_ALL_`` snapshots skipped, all-missing rows dropped, NA tokens to NULL)."""
-    r = (spark.readStream.schema(S.RAW_SCHEMA)
-         .option("header", True).option("multiLine", True).option("escape", '"')
-         .option("recursiveFileLookup", True))
+def raw_file_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming list of raw listing CSVs (``file``). The stream only says which files are new; each micro-batch
+    reads its files with the batch reader, so both give the same rows."""
+    r = (spark.readStream.schema("value string").option("wholetext", True)
+         .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = r.csv(source_dir)
-    df = df.where(~F.input_file_name().rlike(f"{K.COMBINED_MARKER}[^/]*$"))
-    df = drop_all_missing(df, S.RAW_COLUMNS)
-    return df.select(*[LF.na_to_null(c).alias(c) for c in S.RAW_COLUMNS])
+    files = r.text(source_dir).select(F.col("_metadata.file_path").alias("file"))
+    return files.where(~F.element_at(F.split("file", "/"), -1).contains(K.COMBINED_MARKER))
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the query of a checkpoint. Micro-batch numbers start anew with a new checkpoint,
+    so sinks name their batches by both."""
+    return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
 
 
 def ingest_raw(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,
-               mapping: DataFrame | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """ST1: clean every new raw file once and add it to ``sink_dir`` (Parquet).
+               mapping: DataFrame | None = None, max_files_per_trigger: int | None = None,
+               quarantine_dir: str | None = None) -> StreamingQuery:
+    """ST1: clean every new raw file once and add it to ``sink_dir`` (Parquet). Rows that do not parse go to
+    ``quarantine_dir`` (``<sink>/_quarantine`` by default).
 
     The cleaning runs as batch code on each micro-batch (``foreachBatch``) and writes the
-    batch to its own folder ``batch_id=<n>`` with overwrite, so a replayed micro-batch
-    rewrites the same folder: the sink is exactly-once."""
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        clean_listings(batch, mapping, drop_empty_rows=False).write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/batch_id={batch_id}")
+    batch to its own folder ``query=<id>/batch_id=<n>`` with overwrite, so a replayed micro-batch
+    rewrites the same folder and another checkpoint never meets it: the sink is exactly-once."""
+    root = sink_dir.rstrip("/")
+    bad_root = (quarantine_dir or f"{root}/_quarantine").rstrip("/")
 
-    q = (raw_stream(spark, source_dir, max_files_per_trigger).writeStream.foreachBatch(apply)
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        place = f"query={stream_id(spark, checkpoint)}/batch_id={batch_id}"
+        paths = sorted(unquote(r["file"]) for r in batch.distinct().collect())
+        good, corrupt = split_corrupt(read_raw_csv(spark, paths))
+        corrupt.write.mode("overwrite").parquet(f"{bad_root}/{place}")
+        cleaned = clean_listings(good.drop("source_file", "CPI"), mapping, drop_empty_rows=False)
+        cleaned.write.mode("overwrite").parquet(f"{root}/{place}")
+
+    q = (raw_file_stream(spark, source_dir, max_files_per_trigger).writeStream.foreachBatch(apply)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return q
 
 
 def upsert_stream(source: DataFrame, table_root: str, checkpoint: str, writer_id: str,
-                  order_cols: Sequence[str] = ("scrape_date",),
+                  order_cols: Sequence[str] = ("scrape_date", "load_key"),
                   quarantine_dir: str | None = None) -> StreamingQuery:
     """ST2: merge each micro-batch into the versioned table (read latest snapshot ->
-    upsert -> write next version). Blank keys go to ``quarantine_dir``. A batch id
-    already committed by ``writer_id`` is skipped, so replays after a failure are
-    harmless. Each batch reads the table back from storage, so lineage never grows."""
+    upsert -> write next version). Blank keys go to ``quarantine_dir`` (``<table>/_quarantine`` by default), each
+    batch to a folder of its own. A batch already committed by ``writer_id`` under this checkpoint is skipped, so
+    replays after a failure are harmless. Each batch reads the table back from storage, so lineage never grows."""
+    bad_root = (quarantine_dir or f"{table_root.rstrip('/')}/_quarantine").rstrip("/")
+
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        version, done = commit_state(spark, table_root, writer_id, batch_id)
+        query = stream_id(spark, checkpoint)
+        writer = f"{writer_id}/{query}"
+        version, done = commit_state(spark, table_root, writer, batch_id)
         if done:
             return
         good, bad = split_quarantine(batch)
-        if quarantine_dir:
-            bad.write.mode("append").parquet(quarantine_dir)
+        bad.write.mode("overwrite").parquet(f"{bad_root}/query={query}/batch_id={batch_id}")
         table = None if version is None else read_snapshot(spark, table_root, version)
-        write_snapshot(upsert(table, good, order_cols), table_root, writer_id=writer_id,
+        write_snapshot(upsert(table, good, order_cols), table_root, writer_id=writer,
                        batch_id=batch_id, base_version=version)
 
     q = (source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
@@ -94,19 +111,20 @@ def dedup_sightings(stream: DataFrame, key: str = S.KEY, event_time: str = "seen
 
 def recheck_stream(probes: DataFrame, table_root: str, checkpoint: str, writer_id: str) -> StreamingQuery:
     """ST4: each micro-batch of probe results (``ads_id, checked_at, http_ok, n_items``)
-    is applied to the due listings of the latest table version; "today" is the day of
-    the batch's latest probe."""
+    is applied to the latest table version, every probe on its own day and in time order (``recheck_by_day``), so
+    the result does not depend on how the log is cut into micro-batches. Without a table the query fails
+    before its offsets are recorded, and the probes wait in the source."""
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        version, done = commit_state(spark, table_root, writer_id, batch_id)
-        if done or version is None:
-            return
-        day = batch.agg(F.max(F.to_date("checked_at")).alias("d")).first()["d"]
-        if day is None:
+        writer = f"{writer_id}/{stream_id(spark, checkpoint)}"
+        version, done = commit_state(spark, table_root, writer, batch_id)
+        if done:
             return
+        if version is None:
+            raise ValueError(f"no table at {table_root} yet; its probes stay in the source")
         table = read_snapshot(spark, table_root, version)
-        write_snapshot(recheck(table, probe_outcomes(batch), day), table_root,
-                       writer_id=writer_id, batch_id=batch_id, base_version=version)
+        write_snapshot(recheck_by_day(table, batch), table_root,
+                       writer_id=writer, batch_id=batch_id, base_version=version)
 
     q = (probes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

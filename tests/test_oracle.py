@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from check_oracle import TABLES, rows_of
+from letwise.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,11 +20,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(catalog.QUERIES) - set(E.oracle_sql())
     assert not missing, missing
+    assert set(catalog.QUERIES) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     s_rows = [tuple(r) for r in df.collect()]
