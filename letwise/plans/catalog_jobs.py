@@ -180,7 +180,7 @@ _OUTLIER = "CASE WHEN o_orderkey % 97 = 0 THEN 1e30 WHEN o_orderkey % 89 = 0 THE
 
 
 @register("rent_outliers", f"""SELECT CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderpriority END AS state, count(*) AS n_listings, count(x) AS n_rent,
-  CAST(CAST(sum(CASE WHEN x < 1e24 THEN CAST(x AS DECIMAL(38,8)) END) AS VARCHAR) AS DOUBLE) / count(CASE WHEN x < 1e24 THEN 1 END) AS mean_rent,
+  CAST(CAST(sum(CASE WHEN x < 1e15 THEN CAST(x AS DECIMAL(38,8)) WHEN x < 1e24 THEN CAST(CAST(x AS HUGEINT) AS DECIMAL(38,8)) END) AS VARCHAR) AS DOUBLE) / count(CASE WHEN x < 1e24 THEN 1 END) AS mean_rent,
   median(x) AS median_rent, count(CASE WHEN x >= 1e24 THEN 1 END) AS n_left_out
 FROM (SELECT *, CAST({_OUTLIER} AS DOUBLE) AS x FROM orders) GROUP BY 1""")
 def rent_outliers(spark: SparkSession, d: str) -> DataFrame:
@@ -368,7 +368,7 @@ _PAGE_SQL = {
     "ads_id": "k", "monthly_rent": "CASE WHEN o_orderkey % 10 = 0 THEN '' ELSE 'RM ' || k || ' per month' END",
     "property_type": "'Flat, ' || o_orderstatus", "property_type_id": "CAST(o_orderkey % 7 AS VARCHAR)", "category_id": "'Room, For rent'",
     "state": "o_orderpriority", "region": "CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE 'R' || k END", "subarea_id": "CAST(o_orderkey % 3 AS VARCHAR)",
-    "rooms": "'3'", "bathroom": "CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE '2' END", "size": "k || ' sq.ft.'",
+    "rooms": "'3'", "bathroom": "CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE '2' END", "size": "CASE WHEN k = '0' THEN '' ELSE k || ' sq.ft.' END",
     "address": "CASE WHEN o_orderkey % 4 = 0 THEN o_orderpriority ELSE 'R' || k || ', ' || o_orderpriority END", "seller_name": "o_clerk",
     "company_ad": "'1'", "ad_seller_type": "'agent'", "store_verified": "'a, b'", "ad_expiry": "'2026-09-01 00:00:00'",
     "publishedDatetime": "strftime(o_orderdate, '%Y-%m-%d')", "adviewUrl": "'u/' || k", "scrape_date": "'2026-05-03'",

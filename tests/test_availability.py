@@ -5,10 +5,13 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from letwise.operators.availability import (
+    apply_snapshot,
     availability_summary,
     due_listings,
+    probe_counters,
     probe_outcomes,
     recheck,
+    recheck_by_day,
     snapshot_diff,
 )
 
@@ -72,11 +75,49 @@ def test_snapshot_diff_with_failed_slice(spark):
     t = spark.createDataFrame([("1", "s1", "active"), ("2", "s1", "active"), ("3", "s2", "active"),
                                ("4", "s1", "rented")], "ads_id string, state string, availability_status string")
     fresh = spark.createDataFrame([("1", "s1"), ("9", "s1")], "ads_id string, state string")
-    out = {r.ads_id: r.diff for r in snapshot_diff(t, fresh).collect()}
+    done = spark.createDataFrame([("s1",)], "state string")
+    out = {r.ads_id: r.diff for r in snapshot_diff(t, fresh, done, ["state"]).collect()}
     assert out == {"1": "present", "2": "absent", "3": "unverified"}
-    done = spark.createDataFrame([("s1",), ("s2",)], "state string")
-    out2 = {r.ads_id: r.diff for r in snapshot_diff(t, fresh, completed=done).collect()}
-    assert out2["3"] == "absent"
+    done = spark.createDataFrame([("s1",), ("s2",), ("s2",)], "state string")
+    out2 = {r.ads_id: r.diff for r in snapshot_diff(t, fresh, done, ["state"]).collect()}
+    assert out2 == {"1": "present", "2": "absent", "3": "absent"}
+    none = {r.ads_id: r.diff for r in snapshot_diff(t, fresh, done.limit(0), ["state"]).collect()}
+    assert none == {"1": "present", "2": "unverified", "3": "unverified"}   # having rows of a slice proves nothing
+
+
+def test_snapshot_applied(spark):
+    diff = spark.createDataFrame([("gone1", "absent"), ("alive1", "present"), ("expired1", "unverified"), ("notdue1", "present")],
+                                 "ads_id string, diff string")
+    moved, probes = apply_snapshot(table(spark), diff, "2026-05-25")
+    out = {r.ads_id: r.last_checked_at for r in moved.collect()}
+    assert out["alive1"] == D(2026, 5, 25) and out["expired1"] == D(2026, 5, 20) and out["gone1"] is None
+    assert out["notdue1"] == D(2026, 6, 1)                                    # never back
+    assert [r.ads_id for r in probes.collect()] == ["gone1"]
+
+
+PROBES = "ads_id string, checked_at timestamp, http_ok boolean, n_items long"
+
+
+def test_recheck_by_day_is_the_same_in_one_batch_or_several(spark):
+    at = lambda m, d, h=9: dt.datetime(2026, m, d, h)
+    log = [("gone1", at(6, 1), True, 1), ("gone1", at(6, 20), True, 0), ("gone1", at(6, 25), True, 1), ("alive1", at(6, 1), True, 3),
+           ("alive1", at(6, 2), True, 0), ("failed1", at(6, 1), False, 0), ("failed1", at(6, 3), None, 1), ("rented1", at(6, 1), True, 0),
+           ("expired1", at(6, 20), True, 0), (None, at(6, 1), True, 0), ("notdue1", None, True, 0), ("unknown", at(6, 1), True, 1)]
+    whole = sorted(map(tuple, recheck_by_day(table(spark), spark.createDataFrame(log, PROBES)).collect()), key=repr)
+    t = table(spark)
+    for day in sorted({r[1] for r in log if r[1]}):
+        t = recheck_by_day(t, spark.createDataFrame([r for r in log if r[1] == day], PROBES))
+    assert sorted(map(tuple, t.collect()), key=repr) == whole
+    out = {r[0]: r for r in whole}
+    assert out["gone1"][2:] == (D(2026, 6, 20), "2099-01-01 00:00:00", "rented", D(2026, 6, 20), "s1")
+    assert out["alive1"][2] == D(2026, 6, 1) and out["alive1"][4] == "active"   # not due the day after
+    assert out["failed1"][2] is None and out["rented1"][5] == D(2026, 5, 20) and out["expired1"][4] == "expired"
+
+
+def test_probe_counters(spark):
+    log = spark.createDataFrame([("a", dt.datetime(2026, 6, 1, 9), True, 1), ("b", dt.datetime(2026, 6, 1, 9), True, 0),
+                                 ("c", dt.datetime(2026, 6, 1, 9), None, 1), ("d", dt.datetime(2026, 6, 2, 9), True, None)], PROBES)
+    assert sorted(map(tuple, probe_counters(log).collect())) == [(D(2026, 6, 1), 1, 1, 1), (D(2026, 6, 2), 0, 1, 0)]
 
 
 def test_availability_summary(spark):

@@ -15,10 +15,10 @@ from letwise.sources.files import read_mapping_csv
 RAW_SCHEMA = ("ads_id string, monthly_rent string, size string, category_id string, property_type string, "
               "publishedDatetime string, state string")
 RAW_ROWS = [
-    ("111", "RM 1,200 per month", "850 sq.ft.", "Apartment / Condominium, For rent", "Apartment", "2025-01-01 10:00", "Selangor"),
-    ("222", "RM 2,500 per month", "1,200 sq.ft.", "Condominium, For rent", "Condominium", "2025-02-15 12:30", "Kuala Lumpur"),
-    ("333", None, None, None, "Others", None, None),
-    ("444", "invalid", "unknown", "", None, "bad-date", "Penang"),
+    ("a1", "RM 740 per month", "615 sq.ft.", "House, For rent", "Apartment", "2024-11-30 07:45", "Eastland"),
+    ("a2", "RM 13,900 per month", "2,340 sq.ft.", "Room, For rent", "Condominium", "31/12/2024", "Harbour"),
+    ("a3", None, None, None, "Others", None, None),
+    ("a4", "on request", "large", "", None, "2024-11-30 27:45", "Harbour"),
 ]
 
 
@@ -26,13 +26,13 @@ def test_clean_frame(spark):
     df = spark.createDataFrame(RAW_ROWS, RAW_SCHEMA)
     out = clean_listings(df, mapping_dimension(spark)).orderBy("ads_id").collect()
     assert len(out) == 4
-    assert [r.monthly_rent for r in out] == [1200.0, 2500.0, None, None]
-    assert [r.size for r in out] == [850.0, 1200.0, None, None]
-    assert [r.category_id for r in out] == ["Apartment / Condominium", "Condominium", "", ""]
-    assert [r.publishedDatetime for r in out] == ["01/01/2025", "02/15/2025", "", ""]
+    assert [r.monthly_rent for r in out] == [740.0, 13900.0, None, None]
+    assert [r.size for r in out] == [615.0, 2340.0, None, None]
+    assert [r.category_id for r in out] == ["House", "Room", "", ""]
+    assert [r.publishedDatetime for r in out] == ["11/30/2024", "12/31/2024", "", ""]
     assert [r.CPI for r in out] == ["Apartment", "Condominium", "Other", "Other"]
     # the input frame is not modified
-    assert df.orderBy("ads_id").first().monthly_rent == "RM 1,200 per month"
+    assert df.orderBy("ads_id").first().monthly_rent == "RM 740 per month"
 
 
 def test_category_exclusion_keeps_room_and_missing(spark):

@@ -114,16 +114,16 @@ def test_labels(spark):
 
 def test_address_and_geocode_query(spark):
     df = spark.createDataFrame([
-        ("Hill10 Residence", "Shah Alam", "Selangor"),
-        ("", " Shah Alam ", "Selangor"),
-        (None, None, "Selangor"),
+        ("Quarry Court", "Northfield", "Eastland"),
+        ("", " Northfield ", "Eastland"),
+        (None, None, "Eastland"),
         ("  ", None, None),
     ], "b string, s string, r string")
     out = df.select(LF.address("b", "s", "r"), LF.geocode_query("b", "s", "r")).collect()
     assert [tuple(r) for r in out] == [
-        ("Hill10 Residence, Shah Alam, Selangor", "Hill10 Residence, Shah Alam, Selangor, Malaysia"),
-        (" Shah Alam , Selangor", "Shah Alam, Selangor, Malaysia"),
-        ("Selangor", "Selangor, Malaysia"),
+        ("Quarry Court, Northfield, Eastland", "Quarry Court, Northfield, Eastland, Malaysia"),
+        (" Northfield , Eastland", "Northfield, Eastland, Malaysia"),
+        ("Eastland", "Eastland, Malaysia"),
         ("", ""),
     ]
 

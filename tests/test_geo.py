@@ -1,4 +1,4 @@
-"""Coordinate lookup and backfill (FIXTURES 9), both join routes."""
+"""Coordinate lookup and backfill (FIXTURES 9), duplicates in the coordinate table."""
 
 import pytest
 
@@ -10,29 +10,33 @@ GEO = "query string, lat double, lon double"
 
 def data(spark):
     t = spark.createDataFrame([
-        ("hit_both", "Shah Alam", "Selangor", None, None),
-        ("region_miss", "Nowhere", "Selangor", None, None),
-        ("region_null", None, "Selangor", None, None),
-        ("region_blank", "", "Selangor", None, None),
-        ("state_null", "Shah Alam", None, None, None),
-        ("lon_only", "Shah Alam", "Selangor", 9.0, None),
-        ("negative", "Ghost", "Penang", None, None),
-        ("complete", "Shah Alam", "Selangor", 1.0, 2.0),
+        ("hit_both", "Northfield", "Eastland", None, None),
+        ("region_miss", "Nowhere", "Eastland", None, None),
+        ("region_null", None, "Eastland", None, None),
+        ("region_blank", "", "Eastland", None, None),
+        ("state_null", "Northfield", None, None, None),
+        ("lon_only", "Northfield", "Eastland", 9.0, None),
+        ("negative", "Ghost", "Harbour", None, None),
+        ("complete", "Northfield", "Eastland", 1.0, 2.0),
         ("no_state_hit", "X", "Atlantis", None, None),
     ], TABLE)
     g = spark.createDataFrame([
-        ("Shah Alam, Selangor, Malaysia", 3.07, 101.52),
-        ("Selangor, Malaysia", 3.5, 101.5),
-        ("Ghost, Penang, Malaysia", None, None),
-        ("Penang, Malaysia", 5.4, 100.3),
+        ("Northfield, Eastland, Malaysia", 3.07, 101.52),
+        ("Eastland, Malaysia", 3.5, 101.5),
+        ("Ghost, Harbour, Malaysia", None, None),
+        ("Harbour, Malaysia", 5.4, 100.3),
     ], GEO)
     return t, g
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 0])
-def test_backfill(spark, limit):
+@pytest.mark.parametrize("times", [1, 3])
+def test_backfill(spark, times):
     t, g = data(spark)
-    out = {r.ads_id: (r.latitude, r.longitude) for r in backfill_coordinates(t, g, max_broadcast_rows=limit).collect()}
+    for _ in range(times - 1):  # queries repeat in the coordinate table, with misses and smaller pairs among them
+        g = g.union(g.selectExpr("query", "lat - 1", "lon - 1")).union(g.selectExpr("query", "cast(null as double)", "cast(null as double)"))
+    rows = backfill_coordinates(t, g).collect()
+    assert len(rows) == t.count()
+    out = {r.ads_id: (r.latitude, r.longitude) for r in rows}
     assert out == {
         "hit_both": (3.07, 101.52),
         "region_miss": (3.5, 101.5),
@@ -53,8 +57,10 @@ def test_pairs_to_fill_distinct(spark):
 
 def test_lookup_blank_query(spark):
     _, g = data(spark)
-    df = spark.createDataFrame([("1", "Selangor, Malaysia"), ("2", ""), ("3", "Unknown, Malaysia")], "ads_id string, q string")
-    out = {r.ads_id: (r.latitude, r.longitude) for r in lookup_coordinates(df, "q", g).collect()}
+    df = spark.createDataFrame([("1", "Eastland, Malaysia"), ("2", ""), ("3", "Unknown, Malaysia")], "ads_id string, q string")
+    rows = lookup_coordinates(df, "q", g.union(g)).collect()
+    assert len(rows) == 3
+    out = {r.ads_id: (r.latitude, r.longitude) for r in rows}
     assert out == {"1": (3.5, 101.5), "2": (None, None), "3": (None, None)}
 
 

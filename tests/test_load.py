@@ -60,6 +60,34 @@ def test_late_batch_does_not_overwrite(spark):
     assert t2.monthly_rent == 1200.0 and t2.scrape_date == "2026-05-20"
 
 
+def test_rows_of_one_day_are_order_independent(spark):
+    b = "ads_id string, monthly_rent double, scrape_date string, load_key string"
+    rows = [("1", 9.0, "2026-05-01", "f1#2"), ("1", 5.0, "2026-05-01", "f2#1"), ("1", 7.0, "2026-05-01", "f1#9")]
+    whole = sorted(map(tuple, upsert(None, spark.createDataFrame(rows, b)).collect()))
+    for order in ([0, 1, 2], [1, 2, 0], [2, 1, 0]):
+        t = None
+        for i in order:
+            t = upsert(t, spark.createDataFrame([rows[i]], b))
+        assert sorted(map(tuple, t.collect())) == whole and t.first().monthly_rent == 5.0
+
+
+def test_equal_dated_replay_keeps_history(spark):
+    b = spark.createDataFrame([("1", 9.0, "2026-05-01")], "ads_id string, monthly_rent double, scrape_date string")
+    t = upsert(None, b).withColumn("availability_status", F.lit("rented")).withColumn("gone_at", F.to_date(F.lit("2026-05-10"))) \
+        .withColumn("last_checked_at", F.to_date(F.lit("2026-05-10")))
+    assert sorted(map(tuple, upsert(t, b).collect())) == sorted(map(tuple, t.collect()))
+    other = upsert(t, b.withColumn("monthly_rent", F.lit(10.0))).first()     # a greater row of the same day
+    assert (other.monthly_rent, other.availability_status, str(other.gone_at)) == (10.0, "rented", "2026-05-10")
+
+
+def test_several_days_in_one_batch_equal_several_batches(spark):
+    b = "ads_id string, monthly_rent double, scrape_date string"
+    rows = [("1", 1.0, "2026-05-01"), ("1", 2.0, "2026-05-03")]
+    one = upsert(None, spark.createDataFrame(rows, b)).first()
+    two = upsert(upsert(None, spark.createDataFrame(rows[:1], b)), spark.createDataFrame(rows[1:], b)).first()
+    assert tuple(one) == tuple(two) and str(one.last_checked_at) == "2026-05-03"
+
+
 def test_missing_key_raises(spark):
     with pytest.raises(MissingKeyError, match="ads_id"):
         upsert(None, spark.createDataFrame([(1.0,)], "monthly_rent double"))

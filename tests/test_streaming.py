@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from letwise.operators.clean import mapping_dimension
@@ -42,11 +43,37 @@ def test_upsert_stream_matches_batch_and_skips_replay(spark):
     # batch answer is the same
     batch = {r.ads_id: r.monthly_rent for r in upsert(None, rows.where("ads_id IS NOT NULL")).collect()}
     assert got == batch
+    # one file a batch in the other order gives the same table
+    other = scratch_path(spark, "table")
+    for day in ("2026-05-03", "2026-05-02", "2026-05-01"):
+        upsert_stream(spark.readStream.schema(rows.schema).parquet(f"{src}/day={day}"), other, scratch_path(spark, "ck"), writer_id="w")
+    assert {r.ads_id: r.monthly_rent for r in read_snapshot(spark, other).collect()} == got   # three checkpoints, none skipped
+    assert spark.read.parquet(f"{other}/_quarantine").count() == 1
     # a rerun from the same checkpoint changes nothing
     upsert_stream(spark.readStream.schema(rows.schema).parquet(src), root, ck, writer_id="w")
     assert current_version(spark, root) == v
 
 
+def test_new_checkpoint_never_overwrites(spark):
+    sink = scratch_path(spark, "sink")
+    for name in ("1", "2"):
+        src = scratch_path(spark, "raw")
+        write_raw(spark.createDataFrame([(name, "s1", "2")], "ads_id string, state string, property_type_id string"), src)
+        ingest_raw(spark, src, sink, scratch_path(spark, "ck"))
+    assert sorted(r.ads_id for r in spark.read.parquet(sink).collect()) == ["1", "2"]
+
+
+def test_probes_wait_for_the_table(spark):
+    root, src, ck = (scratch_path(spark, n) for n in ("table", "probes", "ck"))
+    schema = "ads_id string, checked_at timestamp, http_ok boolean, n_items long"
+    spark.createDataFrame([("a", dt.datetime(2026, 6, 1, 9), True, 0)], schema).write.parquet(src)
+    with pytest.raises(Exception, match="no table"):
+        recheck_stream(spark.readStream.schema(schema).parquet(src), root, ck, writer_id="p")
+    write_snapshot(upsert(None, spark.createDataFrame([("a", "2026-05-01")], "ads_id string, scrape_date string")), root)
+    recheck_stream(spark.readStream.schema(schema).parquet(src), root, ck, writer_id="p")
+    assert read_snapshot(spark, root).first().availability_status == "expired"
+
+
 def test_dedup_sightings(spark):
     src = scratch_path(spark, "sightings")
     spark.createDataFrame([("a", dt.datetime(2026, 5, 1, 10)), ("a", dt.datetime(2026, 5, 1, 11)),
