@@ -87,7 +87,7 @@ def _medians(counted: DataFrame, group: list[str]) -> DataFrame:
     at = lambda r: F.max(F.when((F.col("_to") - F.col("_c") < F.col(r)) & (F.col(r) <= F.col("_to")), v))
     low, high = F.col("_low"), F.col("_high")
     return (some.groupBy(*group).agg(at("_lo").alias("_low"), at("_hi").alias("_high"))
-            .select(*group, F.when(low == high, low).otherwise(low + (high - low) * 0.5).alias("median_rent")))
+            .select(*group, F.when(low == high, low).otherwise(low * 0.5 + high * 0.5).alias("median_rent")))
 
 
 def rank_groups(summary: DataFrame, value: str = "mean_rent", out: str = "rank_desc") -> DataFrame:
