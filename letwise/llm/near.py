@@ -51,7 +51,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> tup
     hashes, count = words.hashes(), np.diff(words.first)
     n = len(offsets) - 1
     every = tk.grams(hashes, k)
-    at = np.flatnonzero(tk.starts_within(words.first, k, len(every)))
+    at = np.flatnonzero(tk.starts_within(words.first, k, len(hashes)))
     doc = np.searchsorted(words.first, at, "right") - 1
     found = every[at]
     short = np.flatnonzero((count > 0) & (count < k))

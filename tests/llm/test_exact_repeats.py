@@ -177,6 +177,15 @@ def test_groups_of_similar_but_mostly_unlinked_texts(spark, monkeypatch):
     assert Counter(map(tuple, got)) == want
 
 
+@pytest.mark.parametrize("texts", [["a b c d e f g", "a b"], ["", ""], ["x"], ["a b c d e f", "", None], ["a b c d", "q"], []])
+def test_chunks_that_end_in_short_texts(texts):
+    import numpy as np
+    raw = [(t or "").encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
+    sets, bounds = near.shingle_sets(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    assert [int(n) for n in np.diff(bounds)] == [len(shingles(t)) for t in texts]
+
+
 def test_long_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
     got = {r["cid"]: r["label"] for r in near.connected(edges).collect()}
