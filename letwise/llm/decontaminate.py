@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from letwise.llm import textkit as tk
+
 WINDOW = 13
 ITEM_CHARS = 500_000
 _FOLD = bytes(
@@ -160,10 +162,10 @@ def _merged(a: list, b: list) -> list:
     return out
 
 
-def _pass(frame: DataFrame, text_col: str, automaton, schema: T.StructType, more: bool) -> DataFrame:
+def _pass(frame: DataFrame, text_col: str, automaton, schema: T.StructType, more: bool, cut: bool) -> DataFrame:
     def matched(batches):
         machine = automaton.value
-        for batch in batches:
+        for batch in tk.returning_memory(batches):
             old = batch.column("__hits").to_pylist() if more else None
             rows = []
             for i, text in enumerate(batch.column(text_col)):
@@ -175,8 +177,11 @@ def _pass(frame: DataFrame, text_col: str, automaton, schema: T.StructType, more
                 rows.append({"n_words": len(words), "n_hit": sum(b - a for a, b in spans), "longest": longest,
                              "hits": spans, "items": sorted(items)})
             names = [x for x in batch.schema.names if x != "__hits"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(rows, _ARROW)],
-                                             [*names, "__hits"])
+            columns = [*(batch.column(x) for x in names), pa.array(rows, _ARROW)]
+            if cut:
+                clean = [_without(t.as_py(), r["hits"], machine.window) for t, r in zip(batch.column(text_col), rows)]
+                columns.append(pa.array(clean, pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return frame.mapInArrow(matched, schema)
 
@@ -186,25 +191,30 @@ _ARROW = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("longest",
 
 
 def match_items(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id",
-                item_text: str = "text", window: int = WINDOW, item_chars: int = ITEM_CHARS) -> DataFrame:
+                item_text: str = "text", window: int = WINDOW, item_chars: int = ITEM_CHARS,
+                cut: bool = False) -> DataFrame:
     """``docs`` with a struct column ``__hits``: n_words, n_hit, longest (match length in words), hits
     (spans of hit words, ``[first, last)``) and items (ids of items with an occurring window, sorted as strings).
 
     A window is ``window`` consecutive words of an item, or a shorter item as a whole. Null or empty texts
     have no words and no hits; items without words have no window; items repeated under one id count once,
-    a null id is the string ``null``. Rows stay one to one with ``docs``.
+    a null id is the string ``null``. Rows stay one to one with ``docs``. With ``cut``, ``__clean`` is the text without
+    its hit spans of ``window`` words or more.
     """
     spark = docs.sparkSession
+    tk.small_batches(spark)
     named = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("id"),
                          F.col(item_text).cast("string").alias("text")).where("text is not null")
     total = named.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = max(1, -(-total // item_chars))
-    schema = T.StructType([*docs.schema.fields, T.StructField("__hits", HITS)])
+    fields = [*docs.schema.fields, T.StructField("__hits", HITS)]
     out = docs
     for k in range(parts):
         rows = named.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == k).collect()
         machine = Automaton([(r["id"], normalised_words(r["text"])) for r in rows], window)
-        out = _pass(out, text_col, spark.sparkContext.broadcast(machine), schema, k > 0)
+        last = cut and k == parts - 1
+        schema = T.StructType([*fields, T.StructField("__clean", T.StringType())] if last else fields)
+        out = _pass(out, text_col, spark.sparkContext.broadcast(machine), schema, k > 0, last)
     return out
 
 
@@ -217,23 +227,15 @@ def remove_contamination(docs: DataFrame, items: DataFrame, text_col: str = "tex
     word's last byte); shorter spans, which only items shorter than a window make, stay. Texts without hits
     are unchanged, null texts too.
     """
-    found = match_items(docs, items, text_col, item_id, item_text, window)
+    found = match_items(docs, items, text_col, item_id, item_text, window, cut=True)
     kept = found.where((F.col("__hits.n_hit") == 0) | (F.col("__hits.n_hit") < coverage * F.col("__hits.n_words")))
-    schema = docs.schema
-
-    def cut(batches):
-        for batch in batches:
-            texts = []
-            for text, hit in zip(batch.column(text_col).to_pylist(), batch.column("__hits").to_pylist()):
-                spans = [x for x in hit["hits"] if x[1] - x[0] >= window]
-                texts.append(_without(text, spans) if spans else text)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(texts, pa.string()) if x == text_col else batch.column(x) for x in schema.names], schema.names)
-
-    return kept.mapInArrow(cut, schema)
+    return kept.select(*[F.col("__clean").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
 
 
-def _without(text: str, spans: list) -> str:
+def _without(text: str | None, hits: list, least: int) -> str | None:
+    spans = [x for x in hits if x[1] - x[0] >= least]
+    if not spans:
+        return text
     data = text.encode()
     at = [m.span() for m in re.finditer(rb"\S+", data.translate(_FOLD))]
     out, last = [], 0

@@ -104,7 +104,7 @@ def _sets_of(column: pa.Array, k: int):
 def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, cid (class: hash of the whole set; null for an empty set) and keys of every row."""
     def sketched(batches):
-        for batch in batches:
+        for batch in tk.returning_memory(batches):
             n = batch.num_rows
             size, cid, keys = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros((n, SYMBOLS), np.int64)
             for i, sets, bounds in _sets_of(batch.column("text"), k):
@@ -143,7 +143,7 @@ def class_sets(cids: DataFrame, reps: DataFrame, docs: DataFrame, id_col: str, t
              .join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi"))
 
     def collected(batches):
-        for batch in batches:
+        for batch in tk.returning_memory(batches):
             found, blobs = [np.zeros(0, np.int64)], []
             for _, sets, bounds in _sets_of(batch.column("text"), k):
                 full = np.flatnonzero(np.diff(bounds))
@@ -162,7 +162,7 @@ def common(pairs: DataFrame, sets: DataFrame) -> DataFrame:
               .join(sets.select(F.col("cid").alias("a"), F.col("shingles").alias("sa")), "a"))
 
     def compared(batches):
-        for batch in batches:
+        for batch in tk.returning_memory(batches):
             out = np.zeros((3, batch.num_rows), np.int64)
             for i, (x, y) in enumerate(zip(batch.column("sa"), batch.column("sb"))):
                 x, y = _numbers(x), _numbers(y)
@@ -290,6 +290,7 @@ def near_groups(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text
     a null id take part; their component is named by its smallest other id, or null. Rows that repeat an id get the
     same component if their texts link, and each its own row. An empty table gives an empty result.
     """
+    tk.small_batches(docs.sparkSession)
     every = _written(sketch(docs, id_col, text_col, k), "sketch")
     member = every.where("cid is not null").select(F.explode("keys").alias("key"), "cid", F.col("n_shingles").alias("n"))
     heads = (member.groupBy("key").agg(F.min("cid").alias("head"), F.max("cid").alias("last"))

@@ -110,13 +110,14 @@ def score_texts(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str
 
     A null or empty text has the score of the bias alone. Columns already called so are replaced.
     """
+    tk.small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     plain = docs.select(*[f"`{c}`" for c in docs.columns if c.lower() not in ("score", "predicted")])
     schema = T.StructType([*plain.schema.fields, T.StructField("score", T.DoubleType())])
 
     def scored(batches):
         weights, bias = shared.value
-        for batch in batches:
+        for batch in tk.returning_memory(batches):
             data, offsets = tk.utf8(batch.column(text_col))
             out = np.empty(batch.num_rows)
             for i, j in tk.chunks(offsets):

@@ -8,10 +8,15 @@ equal numbers in every task.
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 CHUNK_BYTES = 1 << 18
+BATCH_ROWS = 1000
 _BASE = 0x9E3779B97F4A7C55 | 1
 _M64 = (1 << 64) - 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
@@ -21,6 +26,24 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's rows per Arrow batch to ``BATCH_ROWS``: rows that hold whole texts are long, and a batch is
+    held several times over in the JVM and in Python."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
+def returning_memory(batches: Iterable) -> Iterator:
+    """The batches of a task; afterwards the worker, which Spark keeps for later tasks, gives free memory back."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least ``n`` of each."""
     if len(_power["up"]) < n:
