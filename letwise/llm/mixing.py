@@ -4,9 +4,12 @@ A classifier fitted on the labelled table gives every document posteriors over d
 least squares then finds nonnegative document rates whose expected tokens in each domain match the
 targets. Built-in functions only.
 
-* Classifier: document frequencies of hashed words per domain, over a bounded sample of labelled rows
-  (``SAMPLE_ROWS``). Only buckets whose share in a domain differs from the rest by ``Z`` standard errors count.
-  The model is at most 2**``BUCKET_BITS`` numbers a domain whatever the input, and scores documents in the row.
+* Classifier, fitted on a bounded sample of labelled rows (``SAMPLE_ROWS``): hashed words are counted per domain; the
+  telling words of a domain are those that ``DOCUMENTS`` documents hold and that it has clearly more often than all
+  documents together, by ``Z`` standard errors and ``LEAST`` in the logarithm of the (smoothed) ratio. A document's
+  evidence is the class of its share of telling words for each domain (none, or up to the ``SHARES``), and its
+  posteriors are the domains' shares among the labelled rows of the same evidence, smoothed by the priors. The
+  sample bounds the telling words, and documents are scored in the row.
 * Rates: posteriors are kept in steps of 1/``STEPS``, so that documents of equal posteriors share a
   rate, and one pre-aggregated pass leaves at most a few thousand groups (fixed by STEPS and the number of
   domains). Each gradient round is an aggregate over the groups that returns one number a domain.
@@ -22,9 +25,12 @@ from pyspark.sql import functions as F
 from letwise.session import scratch_path
 
 SAMPLE_ROWS = 4000
-BUCKET_BITS = 14
-Z = 4.0
-MOST = 8.0
+BUCKET_BITS = 20
+Z = 5.0
+LEAST = 0.7
+SHARES = (0.0, 0.01, 0.05)
+DOCUMENTS = 20
+SMOOTH = 10.0
 STEPS = 32
 ROUNDS = 60
 MOST_RATE = 2.0
@@ -63,73 +69,87 @@ def _prepared(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def fit_domains(docs: DataFrame, labels: DataFrame, domains: list[str], domain: Column, id_col: str = "doc_id",
-                text_col: str = "text", rows: int = SAMPLE_ROWS) -> tuple[list[float], dict[int, list[float]]]:
-    """Log priors, and the weight of each telling bucket for each domain. Labelled rows are taken in the order of
-    a hash of the id; rows without a domain or a document are left out. Without rows, priors are even."""
+                text_col: str = "text", rows: int = SAMPLE_ROWS) -> tuple[list[list[int]], list[list[int]]]:
+    """The telling buckets of each domain, and for each evidence the posteriors in whole steps of 1/STEPS. Labelled
+    rows are taken in the order of a hash of the id; rows without a domain or a document are left out. Without
+    rows, posteriors are even."""
     some = (labels.select(F.col(id_col).alias("__id"), domain.alias("__domain"))
             .where(F.col("__id").isNotNull() & F.col("__domain").isin(*domains))
             .orderBy(F.xxhash64("__id"), "__id", "__domain").limit(rows))
-    held = (docs.select(F.col(id_col).alias("__d"), F.col(text_col))
-            .join(F.broadcast(some), F.col("__d") == F.col("__id")))
-    marked = _prepared(held, text_col).select(
-        "__domain", F.explode(F.concat(F.array_distinct("__buckets"), F.array(F.lit(-1).cast("long")))).alias("b"))
-    table: dict[int, list[int]] = {}
-    for r in marked.groupBy("b", "__domain").agg(F.count(F.lit(1)).alias("n")).collect():
-        table.setdefault(r["b"], [0] * len(domains))[domains.index(r["__domain"])] = r["n"]
-    sizes = table.pop(-1, [0] * len(domains))
+    texts = (docs.select(F.col(id_col).alias("__d"), F.col(text_col))
+             .join(F.broadcast(some), F.col("__d") == F.col("__id")))
+    prepared = _written(_prepared(texts, text_col).select("__d", "__domain", "__buckets"), "labelled")
+    names = {f"n{k}": name for k, name in enumerate(domains)}
+
+    def per_domain(column: Column) -> list[Column]:
+        return [F.sum(F.when(F.col("__domain") == name, column).otherwise(0)).alias(n) for n, name in names.items()]
+
+    seen = prepared.select("__d", "__domain", F.explode("__buckets").alias("b")).groupBy("b", "__d", "__domain").count()
+    # shares are of a domain's words, not of its documents: longer documents hold more of every word
+    sizes = [x or 0 for x in seen.agg(*per_domain(F.col("count"))).first()]
     total = sum(sizes)
-    priors = [math.log((n + 1) / (total + len(domains))) for n in sizes]
-    weights = {}
-    for b, counts in sorted(table.items()):
-        row = []
-        for n, size in zip(counts, sizes):
-            rest, others = sum(counts) - n, total - size
-            if not size or not others:
-                row.append(0.0)
-                continue
-            p, q, both = (n + 0.5) / (size + 1), (rest + 0.5) / (others + 1), sum(counts) / total
-            z = abs(p - q) / math.sqrt(max(both * (1 - both), 0.25 / total) * (1 / size + 1 / others))
-            row.append(round(max(-MOST, min(MOST, math.log(p / q))), 2) if z >= Z else 0.0)
-        if any(row):
-            weights[b] = row
-    return priors, weights
-
-
-def posteriors(docs: DataFrame, domains: list[str], model: tuple[list[float], dict[int, list[float]]],
-               text_col: str = "text") -> DataFrame:
+    common = (seen.groupBy("b").agg(F.count(F.lit(1)).alias("documents"), *per_domain(F.col("count")))
+              .where(F.col("documents") >= DOCUMENTS))
+    telling: list[list[int]] = [[] for _ in domains]
+    for r in common.orderBy("b").collect():
+        counts = [r[n] for n in names]
+        share = sum(counts) / total
+        for n, size, found in zip(counts, sizes, telling):
+            due = size * share
+            z = (n - due) / math.sqrt(max(due * (1 - share), 1.0))
+            if z >= Z and math.log((n + SMOOTH) / (due + SMOOTH)) >= LEAST:
+                found.append(r["b"])
+    held: dict[int, list[int]] = {}
+    for r in prepared.groupBy(evidence(F.col("__buckets"), telling).alias("e")).agg(*per_domain(F.lit(1))).collect():
+        held[r["e"]] = [r[n] for n in names]
+    every = [sum(c[k] for c in held.values()) for k in range(len(domains))]
+    priors = [(n + 1) / (sum(every) + len(domains)) for n in every]
+    table = []
+    for e in range((len(SHARES) + 1) ** len(domains)):
+        counts = held.get(e, [0] * len(domains))
+        table.append(steps([(n + SMOOTH * p) / (sum(counts) + SMOOTH) for n, p in zip(counts, priors)]))
+    return telling, table
+
+
+def steps(shares: list[float]) -> list[int]:
+    """Shares of 1 in whole steps that sum to STEPS; what rounding down leaves goes to the largest."""
+    out = [int(x * STEPS + 1e-9) for x in shares]
+    out[shares.index(max(shares))] += STEPS - sum(out)
+    return out
+
+
+def evidence(buckets: Column, telling: list[list[int]]) -> Column:
+    """Number of a document's evidence: for each domain the class of the share of its buckets that tell of it."""
+    number = F.lit(0)
+    for k, known in enumerate(telling):
+        literal = F.split(F.lit(",".join(map(str, known)) or "-1"), ",").cast("array<long>")
+        share = F.size(F.array_intersect(buckets, literal)) / F.size(buckets)
+        level = sum((F.when(share > low, 1).otherwise(0) for low in SHARES[1:]), F.when(share > SHARES[0], 1).otherwise(0))
+        number = number + level * (len(SHARES) + 1) ** k
+    return number
+
+
+def posteriors(docs: DataFrame, model: tuple[list[list[int]], list[list[int]]], text_col: str = "text") -> DataFrame:
     """``docs`` with ``n_tokens`` (words) and ``__q``: for each domain its posterior in whole steps of 1/STEPS,
-    which sum to STEPS (rounding goes to the largest). Null and empty texts have the priors."""
-    priors, weights = model
-    known = F.split(F.lit(",".join(map(str, weights)) or "-1"), ",").cast("array<long>")
-    tables = [F.map_from_arrays(known, F.split(F.lit(",".join(str(w[k]) for w in weights.values()) or "0"), ",")
-                                .cast("array<double>")) for k in range(len(domains))]
-    hit = F.array_intersect(F.col("__buckets"), known)
-    scored = _prepared(docs, text_col).withColumn("__hit", hit).drop("__buckets")
-
-    def log_odds(k: int) -> Column:
-        return F.aggregate("__hit", F.lit(priors[k]), lambda a, b: a + F.element_at(tables[k], b))
-
-    sums = [log_odds(k) for k in range(len(domains))]
-    scored = scored.withColumn("__s", F.array(*sums)).drop("__hit")
-    scored = scored.withColumn("__e", F.transform("__s", lambda x: F.exp(x - F.array_max("__s")))).drop("__s")
-    scored = scored.withColumn("__p", F.transform("__e", lambda x: F.floor(
-        x / F.aggregate("__e", F.lit(0.0), lambda a, b: a + b) * STEPS).cast("int"))).drop("__e")
-    top = F.array_position("__p", F.array_max("__p")) - 1
-    rest = F.lit(STEPS) - F.aggregate("__p", F.lit(0), lambda a, b: a + b)
-    return scored.withColumn("__q", F.transform("__p", lambda x, i: F.when(i == top, x + rest).otherwise(x))).drop("__p")
+    which sum to STEPS. Null and empty texts have the posteriors of no evidence."""
+    telling, table = model
+    literal = F.split(F.lit(";".join(",".join(map(str, row)) for row in table)), ";")
+    scored = _prepared(docs, text_col)
+    scored = scored.withColumn("__e", evidence(F.col("__buckets"), telling)).drop("__buckets")
+    return scored.withColumn("__q", F.split(F.get(literal, F.col("__e")), ",").cast("array<int>")).drop("__e")
 
 
 def _rate(q: Column, history: list[list[float]], domains: int) -> Column:
     """Rate after the gradient steps in ``history`` from 1, never below 0."""
     if not history:
         return F.lit(1.0)
-    steps = F.array(*[F.array(*[F.lit(float(x)) for x in h]) for h in history])
+    taken = F.array(*[F.array(*[F.lit(float(x)) for x in h]) for h in history])
 
     def step(rate, h):
         slope = sum((q[k] / F.lit(float(STEPS)) * h[k] for k in range(1, domains)), q[0] / F.lit(float(STEPS)) * h[0])
         return F.greatest(F.lit(0.0), rate - slope)
 
-    return F.aggregate(steps, F.lit(1.0), step)
+    return F.aggregate(taken, F.lit(1.0), step)
 
 
 def reachable(targets: list[float], shares: list[float], most: float = MOST_RATE) -> list[float]:
@@ -198,7 +218,7 @@ def mix_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float]
     plain = docs.select(*[f"`{c}`" for c in docs.columns if c.lower() not in new])
     model = fit_domains(plain, labels, domains, label_domain() if domain is None else domain, id_col, text_col)
     kept = [c for c in plain.columns if columns is None or c in columns]
-    scored = _written(posteriors(plain, domains, model, text_col)
+    scored = _written(posteriors(plain, model, text_col)
                       .select(*[f"`{c}`" for c in kept], "n_tokens", "__q"), "scored")
     history = fit_rates(scored, [t / whole for t in targets.values()])
     return scored.select(*[f"`{c}`" for c in kept], "n_tokens",
