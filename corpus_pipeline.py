@@ -13,6 +13,8 @@ from letwise.llm import decontaminate, lines, mixing, near, quality
 from letwise.session import scratch_path
 
 SIMILARITY = 80
+# of a source's pages: in the test tables lines of chance sentences reach 0.048, boilerplate begins at 0.086
+LINE_RATIO = 0.05
 ORACLE_SQL = None
 
 
@@ -27,8 +29,9 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the boilerplate lines of their source; n_chars follows the text."""
-    found = lines.drop_boilerplate(docs).withColumn(
+    """All documents, without the boilerplate lines of their source; n_chars follows the text. Copies count as one
+    page, so that the near-copy stage finds them whole and one of them stays."""
+    found = lines.drop_boilerplate(docs, ratio=LINE_RATIO, copies_once=True).withColumn(
         "n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return found.select(*docs.columns)
 

@@ -6,6 +6,10 @@ page's repeats are folded in the row, so the counting shuffle is pre-aggregated
 costs a row per task. The texts themselves are never shuffled when the table of boilerplate lines is
 small: a host has at most (lines per page) / ratio such lines. That table is written to the shared
 folder first, so that Spark knows its size and broadcasts it or not by its own threshold.
+
+With ``copies_once`` copies of a page are not evidence of boilerplate: pages of a host with equal sets of lines
+count once, and all pages of which ``CROWDED`` or more of the text is lines that many pages hold (near copies of
+each other) count once together.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from letwise.session import scratch_path
 
 RATIO = 0.01
 MIN_PAGES = 3
+CROWDED = 0.5
 
 
 def _key(line: Column) -> Column:
@@ -46,16 +51,58 @@ def boilerplate_lines(docs: DataFrame, host_col: str = "source", text_col: str =
             .groupBy("host").agg(F.sort_array(F.collect_list("line")).alias("lines")))
 
 
+def boilerplate_beside_copies(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO,
+                              min_pages: int = MIN_PAGES) -> DataFrame:
+    """As ``boilerplate_lines``, with copies of a page counted once.
+
+    The sets of lines of the distinct pages are written to the shared folder, not their texts. Lines that many of
+    these hold make a page a crowded one; the count is then taken again with all crowded pages of a host as one.
+    """
+    spark = docs.sparkSession
+    host = F.struct(F.col(host_col).cast("string").alias("h"))
+    bare = F.array_distinct(F.filter(F.transform(_lines(F.col(text_col)), _bare), lambda x: x != ""))
+    lines = F.transform(bare, lambda x: F.struct(_key(x).alias("line"), F.length(x).alias("size")))
+    each = (docs.where(F.col(text_col).isNotNull()).select(host.alias("host"), F.array_sort(lines).alias("lines"))
+            .where(F.size("lines") > 0))
+    page = F.struct(F.xxhash64("lines").alias("a"), F.xxhash64(F.lit(17), "lines").alias("b"))
+    path = scratch_path(spark, "pages")
+    each.groupBy("host", page.alias("page")).agg(F.first("lines").alias("lines")).write.parquet(path)
+    pages = spark.read.parquet(path)
+
+    def common(weighed: DataFrame) -> DataFrame:
+        """``weighed``: pages with ``crowded``."""
+        own, shared = F.sum(F.when(~F.col("crowded"), 1).otherwise(0)), F.max(F.col("crowded").cast("int"))
+        total = weighed.groupBy("host").agg((own + shared).alias("pages"))
+        held = (weighed.select("host", "crowded", F.explode("lines.line").alias("line"))
+                .groupBy("host", "line").agg((own + shared).alias("held")).where(F.col("held") >= min_pages))
+        found = (held.join(total, "host").where(F.col("held") > ratio * F.col("pages"))
+                 .groupBy("host").agg(F.sort_array(F.collect_list("line")).alias("lines")))
+        path = scratch_path(spark, "common")
+        found.write.parquet(path)
+        return spark.read.parquet(path)
+
+    many = common(pages.withColumn("crowded", F.lit(False))).select(F.col("host").alias("__host"), F.col("lines").alias("__many"))
+
+    def size(lines: Column) -> Column:
+        return F.aggregate(lines, F.lit(0).cast("long"), lambda n, x: n + x["size"])
+
+    shared = size(F.filter("lines", lambda x: F.array_contains(F.col("__many"), x["line"])))
+    weighed = pages.join(many, F.col("host") == F.col("__host"), "left").select(
+        "host", "lines", F.coalesce(shared >= CROWDED * size(F.col("lines")), F.lit(False)).alias("crowded"))
+    return common(weighed)
+
+
 def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO,
-                     min_pages: int = MIN_PAGES) -> DataFrame:
+                     min_pages: int = MIN_PAGES, copies_once: bool = False) -> DataFrame:
     """``docs`` with its boilerplate lines taken out of the text, and ``n_lines``, ``n_dropped`` (long) added.
 
     Every occurrence of a boilerplate line goes; what stays keeps its bytes and order, joined by newlines. A
     null text stays null (no lines), an empty text has one blank line and stays. Repeated rows are pages of
-    their own. Columns that are already called n_lines or n_dropped are replaced.
+    their own unless ``copies_once``. Columns that are already called n_lines or n_dropped are replaced.
     """
     path = scratch_path(docs.sparkSession, "boilerplate")
-    boilerplate_lines(docs, host_col, text_col, ratio, min_pages).write.parquet(path)
+    count = boilerplate_beside_copies if copies_once else boilerplate_lines
+    count(docs, host_col, text_col, ratio, min_pages).write.parquet(path)
     found = docs.sparkSession.read.parquet(path).select(F.col("host").alias("__host"), F.col("lines").alias("__lines"))
     host = F.struct(F.col(host_col).cast("string").alias("h"))
     lines = _lines(F.col(text_col))

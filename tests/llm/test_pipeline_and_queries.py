@@ -76,6 +76,24 @@ def test_stages_keep_columns_and_clean_documents(spark):
     assert {r["doc_id"] for r in mixed} == {r[0] for r in rows} and all(r["mix_rate"] > 0 for r in mixed)
 
 
+def test_a_group_of_copies_keeps_one_whole_document(spark):
+    def page(tag, changed=None):
+        return "\n".join(words(f"{tag}{j}x", 12) + (" changed" if j == changed else "") for j in range(10))
+
+    rows = [(i, f"site menu\n{page(f'own{i}')}", "hot") for i in range(200)]
+    rows += [(1000 + i, page("exact"), "hot") for i in range(100)]
+    rows += [(2000 + i, page("near", i % 11), "hot") for i in range(60)]
+    rows += [(3000 + i, page("few"), "small") for i in range(3)] + [(3100, page("other"), "small")]
+    docs = documents(spark, rows)
+    for k in (1, 2):
+        docs = stage(k)(spark, docs, SF)
+    got = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert set(got) == {*range(200), 1000, 2000, 3000, 3100}
+    assert all(got[i] == page(f"own{i}") for i in range(200))
+    assert got[1000] == page("exact") and got[2000] == page("near", 0)
+    assert got[3000] == page("few") and got[3100] == page("other")
+
+
 def test_stages_take_empty_tables(spark):
     none = documents(spark, [])
     for _, run in corpus_pipeline.STAGES:
