@@ -49,8 +49,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_rates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a positive mixing rate, with tokens, posteriors and the rate."""
-    return mixing.mix_documents(docs, _table(spark, sf_dir, "labels")).where("mix_rate > 0")
+    """All documents with tokens, posteriors and the mixing rate. The rate is a weight of an evidence class and may
+    be 0; no document is dropped for the class it is in."""
+    return mixing.mix_documents(docs, _table(spark, sf_dir, "labels"))
 
 
 STAGES = [("quality classifier", quality_filter), ("line dedup", line_dedup), ("MinHash near-dedup", near_dedup),
