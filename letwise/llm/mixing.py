@@ -7,7 +7,8 @@ targets. Built-in functions only.
 * Classifier, fitted on a bounded sample of labelled rows (``SAMPLE_ROWS``): hashed words are counted per domain; the
   telling words of a domain are those that ``DOCUMENTS`` documents hold and that it has clearly more often than all
   documents together, by ``Z`` standard errors and ``LEAST`` in the logarithm of the (smoothed) ratio. A document's
-  evidence is the class of its share of telling words for each domain (none, or up to the ``SHARES``), and its
+  evidence is the class of its share of telling words for each domain (none, or up to the ``SHARES``), every
+  occurrence counted, so that it does not fall with the document's length, and its
   posteriors are the domains' shares among the labelled rows of the same evidence, smoothed by the priors. The
   sample bounds the telling words, and documents are scored in the row.
 * Rates: posteriors are kept in steps of 1/``STEPS``, so that documents of equal posteriors share a
@@ -119,14 +120,22 @@ def steps(shares: list[float]) -> list[int]:
 
 
 def evidence(buckets: Column, telling: list[list[int]]) -> Column:
-    """Number of a document's evidence: for each domain the class of the share of its buckets that tell of it."""
-    number = F.lit(0)
-    for k, known in enumerate(telling):
-        literal = F.split(F.lit(",".join(map(str, known)) or "-1"), ",").cast("array<long>")
-        share = F.size(F.array_intersect(buckets, literal)) / F.size(buckets)
-        level = sum((F.when(share > low, 1).otherwise(0) for low in SHARES[1:]), F.when(share > SHARES[0], 1).otherwise(0))
-        number = number + level * (len(SHARES) + 1) ** k
-    return number
+    """Number of a document's evidence: for each domain the class of the share of its buckets, with repeats, that
+    tell of it."""
+    def number(told: Column) -> Column:
+        out = F.lit(0)
+        for k, known in enumerate(telling):
+            found = F.size(F.filter(told, lambda x: x.isin(known))) if known else F.lit(0)
+            share = found / F.size(buckets)
+            level = sum((F.when(share > low, 1).otherwise(0) for low in SHARES[1:]), F.when(share > SHARES[0], 1).otherwise(0))
+            out = out + level * (len(SHARES) + 1) ** k
+        return out
+
+    every = sorted({b for known in telling for b in known})
+    if not every:
+        return F.lit(0)
+    told = F.filter(buckets, lambda x: x.isin(every))
+    return F.get(F.transform(F.array(told), number), F.lit(0))
 
 
 def posteriors(docs: DataFrame, model: tuple[list[list[int]], list[list[int]]], text_col: str = "text") -> DataFrame:

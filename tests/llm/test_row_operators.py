@@ -251,6 +251,22 @@ def test_scarce_domains_do_not_drive_the_others_out(spark):
     assert min(r["mix_rate"] for r in out) > 0.9 and max(r["mix_rate"] for r in out) < 2.01
 
 
+def test_evidence_does_not_fall_with_length(spark):
+    rnd = random.Random(3)
+    plain = [f"w{k}" for k in range(300)]
+
+    def text(n, toxic):
+        return " ".join(rnd.choice(["scum", "filth"]) if toxic and rnd.random() < 0.03 else rnd.choice(plain) for _ in range(n))
+
+    sizes = [1000, 1200, 2000, 20000]
+    rows = [(i, text(400, i % 5 == 0), i % 5 == 0) for i in range(500)]
+    rows += [(1000 + 2 * k + t, text(n, t), bool(t)) for k, n in enumerate(sizes) for t in (0, 1)]
+    labels = spark.createDataFrame([(i, 1, int(t)) for i, _, t in rows if i < 500], "doc_id long, quality int, toxic int")
+    out = mixing.mix_documents(frame(spark, [(i, t, "s") for i, t, _ in rows]), labels).collect()
+    got = {r["doc_id"]: r["p_toxic"] for r in out}
+    assert all(got[i] > 0.9 if t else got[i] < 0.1 for i, _, t in rows if i >= 1000)
+
+
 def test_mixing_without_labels_or_documents(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = mixing.mix_documents(frame(spark, [(1, "a b c", "s")]), labels).first()
