@@ -11,15 +11,16 @@ targets. Built-in functions only.
   occurrence counted, so that it does not fall with the document's length, and its
   posteriors are the domains' shares among the labelled rows of the same evidence, smoothed by the priors. The
   sample bounds the telling words, and documents are scored in the row.
-* Rates: posteriors are kept in steps of 1/``STEPS``, so that documents of equal posteriors share a
-  rate, and one pre-aggregated pass leaves at most a few thousand groups (fixed by STEPS and the number of
-  domains). Each gradient round is an aggregate over the groups that returns one number a domain.
+* Rates: documents of equal evidence share exact posteriors and a rate, and one pre-aggregated pass leaves
+  the tokens of each evidence class: (classes of share) ** (domains) numbers, 64 for three domains. The gradient
+  rounds need nothing else and run on the driver.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +33,6 @@ LEAST = 0.7
 SHARES = (0.0, 0.01, 0.05)
 DOCUMENTS = 20
 SMOOTH = 10.0
-STEPS = 32
 ROUNDS = 60
 MOST_RATE = 2.0
 TOLERANCE = 1e-4
@@ -70,8 +70,8 @@ def _prepared(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def fit_domains(docs: DataFrame, labels: DataFrame, domains: list[str], domain: Column, id_col: str = "doc_id",
-                text_col: str = "text", rows: int = SAMPLE_ROWS) -> tuple[list[list[int]], list[list[int]]]:
-    """The telling buckets of each domain, and for each evidence the posteriors in whole steps of 1/STEPS. Labelled
+                text_col: str = "text", rows: int = SAMPLE_ROWS) -> tuple[list[list[int]], list[list[float]]]:
+    """The telling buckets of each domain, and for each evidence the posteriors. Labelled
     rows are taken in the order of a hash of the id; rows without a domain or a document are left out. Without
     rows, posteriors are even."""
     some = (labels.select(F.col(id_col).alias("__id"), domain.alias("__domain"))
@@ -108,17 +108,10 @@ def fit_domains(docs: DataFrame, labels: DataFrame, domains: list[str], domain:
     table = []
     for e in range((len(SHARES) + 1) ** len(domains)):
         counts = held.get(e, [0] * len(domains))
-        table.append(steps([(n + SMOOTH * p) / (sum(counts) + SMOOTH) for n, p in zip(counts, priors)]))
+        table.append([(n + SMOOTH * p) / (sum(counts) + SMOOTH) for n, p in zip(counts, priors)])
     return telling, table
 
 
-def steps(shares: list[float]) -> list[int]:
-    """Shares of 1 in whole steps that sum to STEPS; what rounding down leaves goes to the largest."""
-    out = [int(x * STEPS + 1e-9) for x in shares]
-    out[shares.index(max(shares))] += STEPS - sum(out)
-    return out
-
-
 def evidence(buckets: Column, telling: list[list[int]]) -> Column:
     """Number of a document's evidence: for each domain the class of the share of its buckets, with repeats, that
     tell of it."""
@@ -138,27 +131,15 @@ def evidence(buckets: Column, telling: list[list[int]]) -> Column:
     return F.get(F.transform(F.array(told), number), F.lit(0))
 
 
-def posteriors(docs: DataFrame, model: tuple[list[list[int]], list[list[int]]], text_col: str = "text") -> DataFrame:
-    """``docs`` with ``n_tokens`` (words) and ``__q``: for each domain its posterior in whole steps of 1/STEPS,
-    which sum to STEPS. Null and empty texts have the posteriors of no evidence."""
-    telling, table = model
-    literal = F.split(F.lit(";".join(",".join(map(str, row)) for row in table)), ";")
+def scored_documents(docs: DataFrame, telling: list[list[int]], text_col: str = "text") -> DataFrame:
+    """``docs`` with ``n_tokens`` (words) and ``__e``, the number of its evidence. Null and empty texts have none."""
     scored = _prepared(docs, text_col)
-    scored = scored.withColumn("__e", evidence(F.col("__buckets"), telling)).drop("__buckets")
-    return scored.withColumn("__q", F.split(F.get(literal, F.col("__e")), ",").cast("array<int>")).drop("__e")
-
-
-def _rate(q: Column, history: list[list[float]], domains: int) -> Column:
-    """Rate after the gradient steps in ``history`` from 1, never below 0."""
-    if not history:
-        return F.lit(1.0)
-    taken = F.array(*[F.array(*[F.lit(float(x)) for x in h]) for h in history])
+    return scored.withColumn("__e", evidence(F.col("__buckets"), telling)).drop("__buckets")
 
-    def step(rate, h):
-        slope = sum((q[k] / F.lit(float(STEPS)) * h[k] for k in range(1, domains)), q[0] / F.lit(float(STEPS)) * h[0])
-        return F.greatest(F.lit(0.0), rate - slope)
 
-    return F.aggregate(taken, F.lit(1.0), step)
+def _of_evidence(values: list[float]) -> Column:
+    """The value of the row's evidence."""
+    return F.get(F.split(F.lit(",".join(repr(float(x)) for x in values)), ",").cast("array<double>"), F.col("__e"))
 
 
 def reachable(targets: list[float], shares: list[float], most: float = MOST_RATE) -> list[float]:
@@ -175,33 +156,28 @@ def reachable(targets: list[float], shares: list[float], most: float = MOST_RATE
         out = [most * shares[k] if k in capped else (targets[k] * left / free if free else 0.0) for k in range(len(out))]
 
 
-def fit_rates(scored: DataFrame, targets: list[float], rounds: int = ROUNDS) -> list[list[float]]:
-    """Gradient steps of min over rates r >= 0 of sum over domains (expected tokens - target)^2 / domain tokens.
+def fit_rates(tokens: list[float], table: list[list[float]], targets: list[float], rounds: int = ROUNDS) -> list[float]:
+    """Rate of each evidence: projected gradient from 1 on min over rates r >= 0 of sum over domains (expected tokens -
+    target)^2 / domain tokens. ``tokens``: of each evidence, which has the posteriors in ``table``.
 
     The step of a document is taken per token, so that the rate does not depend on a document's length.
     Targets are first made ``reachable``, so that a scarce domain is not bought by dropping all else; domains
     without expected tokens are left out. No tokens at all: no steps.
     """
-    d = len(targets)
-    groups = _written(scored.groupBy("__q").agg(F.sum("n_tokens").alias("n")).coalesce(1), "groups")
-    history: list[list[float]] = []
-    shares: list[float] = []
-    total = 0.0
-    for _ in range(rounds + 1):
-        rate = _rate(F.col("__q"), history, d)
-        row = groups.agg(F.sum("n").alias("all"), *[F.sum(rate * F.col("n") * F.col("__q")[k] / STEPS).alias(f"t{k}")
-                                                    for k in range(d)]).first()
-        if not row["all"]:
-            return []
-        total = float(row["all"])
-        now = [row[f"t{k}"] / total for k in range(d)]
-        if not shares:
-            shares, targets = now, reachable(targets, now)
-        gap = [(now[k] - targets[k]) / shares[k] if shares[k] else 0.0 for k in range(d)]
-        if len(history) == rounds or max(abs(g) * s for g, s in zip(gap, shares)) < TOLERANCE:
+    q, n = np.array(table, float), np.array(tokens, float)
+    rates = np.ones(len(n))
+    if not n.sum():
+        return rates.tolist()
+    weight = n / n.sum()
+    shares = weight @ q
+    aim = np.array(reachable(targets, shares.tolist()))
+    per = np.divide(1.0, shares, out=np.zeros(len(aim)), where=shares > 0)
+    for _ in range(rounds):
+        off = (rates * weight) @ q - aim
+        if np.abs(np.where(shares > 0, off, 0.0)).max() < TOLERANCE:
             break
-        history.append(gap)
-    return history
+        rates = np.maximum(0.0, rates - q @ (off * per))
+    return rates.tolist()
 
 
 def _written(frame: DataFrame, name: str) -> DataFrame:
@@ -225,11 +201,12 @@ def mix_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float]
     whole = sum(targets.values())
     new = {"n_tokens", "mix_rate", *(f"p_{k}" for k in domains)}
     plain = docs.select(*[f"`{c}`" for c in docs.columns if c.lower() not in new])
-    model = fit_domains(plain, labels, domains, label_domain() if domain is None else domain, id_col, text_col)
+    telling, table = fit_domains(plain, labels, domains, label_domain() if domain is None else domain, id_col, text_col)
     kept = [c for c in plain.columns if columns is None or c in columns]
-    scored = _written(posteriors(plain, model, text_col)
-                      .select(*[f"`{c}`" for c in kept], "n_tokens", "__q"), "scored")
-    history = fit_rates(scored, [t / whole for t in targets.values()])
+    scored = _written(scored_documents(plain, telling, text_col)
+                      .select(*[f"`{c}`" for c in kept], "n_tokens", "__e"), "scored")
+    tokens = {r["__e"]: r["n"] for r in scored.groupBy("__e").agg(F.sum("n_tokens").alias("n")).collect()}
+    rates = fit_rates([tokens.get(e, 0) for e in range(len(table))], table, [t / whole for t in targets.values()])
     return scored.select(*[f"`{c}`" for c in kept], "n_tokens",
-                         *[(F.col("__q")[k] / F.lit(float(STEPS))).alias(f"p_{name}") for k, name in enumerate(domains)],
-                         _rate(F.col("__q"), history, len(domains)).alias("mix_rate"))
+                         *[_of_evidence([row[k] for row in table]).alias(f"p_{name}") for k, name in enumerate(domains)],
+                         _of_evidence(rates).alias("mix_rate"))

@@ -267,6 +267,13 @@ def test_evidence_does_not_fall_with_length(spark):
     assert all(got[i] > 0.9 if t else got[i] < 0.1 for i, _, t in rows if i >= 1000)
 
 
+def test_scarce_domains_keep_their_posterior(spark):
+    rows = [(i, "meadow river of the " * 5, "s") for i in range(400)] + [(1000 + i, "meadow river of the " * 5, "s") for i in range(8)]
+    labels = spark.createDataFrame([(i, int(i < 1000), 0) for i, _, _ in rows], "doc_id long, quality int, toxic int")
+    out = mixing.mix_documents(frame(spark, rows), labels, {"clean": 0.95, "junk": 0.05}).collect()
+    assert all(r["p_junk"] == pytest.approx(8 / 408, rel=0.02) for r in out)
+
+
 def test_mixing_without_labels_or_documents(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = mixing.mix_documents(frame(spark, [(1, "a b c", "s")]), labels).first()
