@@ -274,6 +274,22 @@ def test_scarce_domains_keep_their_posterior(spark):
     assert all(r["p_junk"] == pytest.approx(8 / 408, rel=0.02) for r in out)
 
 
+@pytest.mark.parametrize("tokens, met", [([160, 190, 30, 20], False), ([160, 190, 5, 45], False), ([60, 30, 5, 5], True)])
+def test_rates_are_fitted_to_the_end(tokens, met):
+    table = [[0.86, 0.08, 0.06], [0.80, 0.09, 0.11], [0.45, 0.50, 0.05], [0.40, 0.10, 0.50]]
+    if met:
+        table = [[0.97, 0.02, 0.01], [0.93, 0.06, 0.01], [0.45, 0.50, 0.05], [0.40, 0.10, 0.50]]
+    rates = mixing.fit_rates(tokens, table, [0.93, 0.05, 0.02])
+    weight = [n / sum(tokens) for n in tokens]
+    shares = [sum(w * t[k] for w, t in zip(weight, table)) for k in range(3)]
+    aim = mixing.reachable([0.93, 0.05, 0.02], shares)
+    off = [sum(r * w * t[k] for r, w, t in zip(rates, weight, table)) - aim[k] for k in range(3)]
+    slope = [sum(t[k] * off[k] / shares[k] for k in range(3)) for t in table]
+    still = all(abs(g) < 1e-6 if r > 0 else g > -1e-6 for r, g in zip(rates, slope))
+    assert max(map(abs, off)) < mixing.TOLERANCE if met else still and max(map(abs, off)) > mixing.TOLERANCE
+    assert min(rates) >= 0
+
+
 def test_mixing_without_labels_or_documents(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = mixing.mix_documents(frame(spark, [(1, "a b c", "s")]), labels).first()
