@@ -13,7 +13,7 @@ from letwise.llm import decontaminate, lines, mixing, near, quality
 from letwise.session import scratch_path
 
 SIMILARITY = 80
-# of a source's pages: in the test tables lines of chance sentences reach 0.048, boilerplate begins at 0.086
+# of a source's pages: on sf0.1 lines of chance sentences reach 0.048, boilerplate begins at 0.086
 LINE_RATIO = 0.05
 ORACLE_SQL = None
 
