@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -57,6 +59,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per Spark context, so that their functions import wherever they
+    run and whenever the session was made. Spark itself serves the file from the driver."""
+    sc = spark.sparkContext
+    if getattr(sc, "_letwise_shipped", False):
+        return
+    here = Path(__file__).resolve().parent
+    packed = Path(tempfile.mkdtemp(prefix="letwise-ship-")) / f"{here.name}.zip"
+    with zipfile.ZipFile(packed, "w") as z:
+        for p in sorted(here.rglob("*.py")):
+            z.write(p, p.relative_to(here.parent))
+    sc.addPyFile(str(packed))
+    sc._letwise_shipped = True
+
+
 def literal_frame(spark: SparkSession, rows, schema):
     """A small DataFrame of literal rows built inside the JVM (an inline array of
     literal structs), so using it never needs a Python worker. ``schema`` is a
