@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from letwise.llm import decontaminate, lines, mixing, near, pii, quality, recompress, suffixes, topk, urls
+from letwise.llm import decontaminate, lexical, lines, mixing, near, negatives, pii, quality, recompress, sharding, suffixes, topk, urls
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -88,9 +88,31 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(docs, _read(spark, sf_dir, "labels"), columns=["doc_id"])
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard of eight equal ones by its id, its place there, and its shard if there were nine."""
+    docs = sharding.measure(_read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    placed = sharding.number(sharding.place(docs), ties=("size", "text_crc32"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit(sharding.LAW).alias("law"), "shard", "slot", "grown_shard")
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical.rank_documents(docs, _read(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five positives of each anchor, a vector whose id is divisible by 100, and five hard negatives of each."""
+    vec, label = F.col("vec_id"), F.col("label")
+    rows = negatives.labelled_vectors(_read(spark, sf_dir, "embeddings"),
+                                      label=F.when(vec % 7 == 0, (label + 1) % 10).otherwise(label))
+    return negatives.mine(rows, rows.where(F.col("id") % 100 == 0))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filters, op2_decontamination, op3_topk_search, op4_suffix_dedup, op5_line_dedup,
-    op6_minhash_dedup, op7_substring_dedup, op8_pii, op9_quality, op10_mixing)}
+    op6_minhash_dedup, op7_substring_dedup, op8_pii, op9_quality, op10_mixing, op11_sharding, op12_lexical_search,
+    op13_hard_negatives)}
 
 ORACLE = {
     "op1_url_filters": """
@@ -121,4 +143,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 20
 """,
     "op5_line_dedup": lines.boilerplate_sql(),
+    "op11_sharding": sharding.shards_sql(),
+    "op12_lexical_search": lexical.RANKED_SQL,
+    "op13_hard_negatives": negatives.NEGATIVES_SQL,
 }
