@@ -13,7 +13,7 @@ move. ``build_index`` groups them by stratum (large ones in pieces) into blocks
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +30,7 @@ SLICE_BYTES = 4 << 20
 BLOCK_POSTINGS = 2_000_000
 CHUNK = 4 << 20
 FIRST_DOCS = 256
+SALTS = 64
 UNIT = 1_000_000_000
 
 _SEPARATOR = np.zeros(256, bool)
@@ -162,7 +163,10 @@ def build_index(docs: DataFrame, vocabulary: list[str], id_col: str = "doc_id",
     held = counted.where(F.col("id").isNotNull() & (F.size("terms") > 0)).select("*", m.alias("m"))
     sizes = held.groupBy("m").agg(F.ceil(F.sum(F.size("terms")) / F.lit(max(1, block_postings // 8))).alias("pieces"))
     blocks = max(1, -(-total["postings"] // block_postings))
-    dealt = (held.withColumn("spread", F.xxhash64("id", F.monotonically_increasing_id())).join(sizes, "m")
+    # a length that many documents share would be one hot key of the join; salted, it is many
+    salted = sizes.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    dealt = (held.withColumn("spread", F.xxhash64("id", F.monotonically_increasing_id()))
+             .withColumn("salt", F.pmod(F.shiftright("spread", 32), F.lit(SALTS)).cast("int")).join(salted, ["m", "salt"])
              .select("m", "id", "terms", "tfs", F.pmod("spread", "pieces").alias("piece"))
              .withColumn("block", F.pmod(F.xxhash64("m", "piece"), F.lit(blocks)).cast("int")))
 
