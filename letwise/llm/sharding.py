@@ -104,7 +104,7 @@ def write_shards(placed: DataFrame, path: str, rows_per_file: int = 1 << 20) ->
     """The numbered rows as Parquet, a folder a shard and files of ``rows_per_file`` places each, in order."""
     file = F.floor(F.col("slot") / rows_per_file)
     (placed.withColumn("file", file).repartition("shard", "file").sortWithinPartitions("shard", "slot")
-     .drop("file").write.partitionBy("shard").parquet(path))
+     .drop("file").write.option("maxRecordsPerFile", rows_per_file).partitionBy("shard").parquet(path))
 
 
 def shards_sql() -> str:
