@@ -122,7 +122,13 @@ def upsert(table: DataFrame | None, batch: DataFrame,
     table columns in table order.
     """
     b = prepare_batch(batch, order_cols)
-    b = b.where(F.col(S.KEY).isNotNull())
+    return merge_prepared(table, b.where(F.col(S.KEY).isNotNull()), order_cols, guard_late)
+
+
+def merge_prepared(table: DataFrame | None, b: DataFrame,
+                   order_cols: Sequence[str] = ("scrape_date", "load_key"), guard_late: bool = True) -> DataFrame:
+    """``upsert`` of a batch that ``prepare_batch`` has reduced to one row a key, so that a caller who also needs the
+    reduced batch makes it once."""
     if table is None:
         # first load: every row is an insert, no join needed
         b = b.withColumn("_b_day", LF.parse_day("scrape_date"))

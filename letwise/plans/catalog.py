@@ -423,10 +423,9 @@ SELECT CASE WHEN take THEN b_id ELSE ads_id END AS ads_id,
 FROM j"""
 
 
-@register("upsert", _UPSERT_SQL)
-def upsert_q(spark: SparkSession, d: str) -> DataFrame:
-    """M1 + J7: a batch (every 2nd key, new prices, no state column, some rows late)
-    merged into a table (keys not divisible by 3, some rented)."""
+def upsert_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """A table (keys not divisible by 3, some rented) and a batch (every 2nd key, new prices, no state column, some
+    rows late)."""
     o = read_table(spark, d, "orders")
     k = F.col("o_orderkey")
     base = o.where(k % 3 != 0).select(
@@ -440,7 +439,13 @@ def upsert_q(spark: SparkSession, d: str) -> DataFrame:
         k.cast("string").alias("ads_id"), (F.col("o_totalprice") * 2).alias("monthly_rent"),
         F.col("o_orderstatus").alias("CPI"),
         F.when(k % 22 == 0, F.lit("2026-04-20")).otherwise(F.lit("2026-05-20")).alias("scrape_date"))
-    out = upsert(base, batch)
+    return base, batch
+
+
+@register("upsert", _UPSERT_SQL)
+def upsert_q(spark: SparkSession, d: str) -> DataFrame:
+    """M1 + J7: a batch merged into a table."""
+    out = upsert(*upsert_inputs(spark, d))
     return out.select("ads_id", "monthly_rent", "state", "CPI", "scrape_date", ymd("first_seen").alias("first_seen"),
                       ymd("last_checked_at").alias("last_checked_at"), "availability_status", ymd("gone_at").alias("gone_at"))
 

@@ -1,8 +1,9 @@
 """Structured Streaming forms of the repeated incremental runs.
 
-* ST1 ``ingest_raw``: new raw CSV files are cleaned and added exactly once (file
+* ST1 ``ingest_raw``: new raw CSV files are cleaned and added exactly once (native CSV file
   source + checkpoint + one output folder per micro-batch; ``availableNow`` processes
-  what is there and stops).
+  what is there and stops). ``load_stream`` merges them into the table by state instead. Both can archive
+  the files they loaded (S12) and count what every micro-batch did (A10).
 * ST2 ``upsert_stream``: each micro-batch is merged into the versioned table through
   ``foreachBatch``; a replayed batch id is skipped, so the sink is idempotent.
 * ST3 ``dedup_sightings``: repeated sightings of a listing across slices within a
@@ -17,62 +18,118 @@ cluster's shared checkpoint directory (``letwise.session.scratch_path``).
 from __future__ import annotations
 
 from collections.abc import Sequence
-from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from letwise import constants as K
 from letwise import schemas as S
 from letwise.operators.availability import recheck_by_day
 from letwise.operators.clean import clean_listings
 from letwise.operators.upsert import split_quarantine, upsert
-from letwise.sources.files import read_raw_csv, split_corrupt
+from letwise.plans.pipeline import stage
+from letwise.plans.state_load import merge_states
+from letwise.session import literal_frame
+from letwise.sources.files import split_corrupt
+from letwise.sources.records import named_rows, record_stream, staged_records
 from letwise.sources.snapshot import commit_state, read_snapshot, write_snapshot
 
 
-def raw_file_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming list of raw listing CSVs (``file``). The stream only says which files are new; each micro-batch
-    reads its files with the batch reader, so both give the same rows."""
-    r = (spark.readStream.schema("value string").option("wholetext", True)
-         .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv"))
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    files = r.text(source_dir).select(F.col("_metadata.file_path").alias("file"))
-    return files.where(~F.element_at(F.split("file", "/"), -1).contains(K.COMBINED_MARKER))
-
-
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
     """The id that Spark gave the query of a checkpoint. Micro-batch numbers start anew with a new checkpoint,
     so sinks name their batches by both."""
     return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
 
 
+def _place(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
+    return f"query={stream_id(spark, checkpoint)}/batch_id={batch_id}"
+
+
+def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def _landed(batch: DataFrame, mapping: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame, Observation]:
+    """A micro-batch of landed records, staged once: its listing rows, the cleaned ones, the corrupt ones, and the
+    records that came."""
+    batch, records = _counted(batch, "records")
+    rows = stage(batch.sparkSession, named_rows(staged_records(batch)), "rows")
+    good, corrupt = split_corrupt(rows)
+    return rows, clean_listings(good.drop("source_file", "CPI"), mapping, drop_empty_rows=False), corrupt, records
+
+
+def _run(stream: DataFrame, apply, checkpoint: str) -> StreamingQuery:
+    q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
+def _write_counters(spark: SparkSession, root: str, place: str, counters: dict[str, int]) -> None:
+    """A10: one row of counters a micro-batch, in a folder of its own, so that a replay replaces it."""
+    names = sorted(counters)
+    literal_frame(spark, [tuple(int(counters[c]) for c in names)], ", ".join(f"{c} long" for c in names)) \
+        .write.mode("overwrite").parquet(f"{root}/_counters/{place}")
+
+
+def read_counters(spark: SparkSession, root: str) -> DataFrame:
+    """A10: the counters of every micro-batch: ``query``, ``batch_id`` and one column a counter."""
+    return spark.read.parquet(f"{root.rstrip('/')}/_counters")
+
+
 def ingest_raw(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,
                mapping: DataFrame | None = None, max_files_per_trigger: int | None = None,
-               quarantine_dir: str | None = None) -> StreamingQuery:
+               quarantine_dir: str | None = None, archive_dir: str | None = None) -> StreamingQuery:
     """ST1: clean every new raw file once and add it to ``sink_dir`` (Parquet). Rows that do not parse go to
-    ``quarantine_dir`` (``<sink>/_quarantine`` by default).
+    ``quarantine_dir`` (``<sink>/_quarantine`` by default); with ``archive_dir`` loaded files move there (S12).
 
-    The cleaning runs as batch code on each micro-batch (``foreachBatch``) and writes the
-    batch to its own folder ``query=<id>/batch_id=<n>`` with overwrite, so a replayed micro-batch
-    rewrites the same folder and another checkpoint never meets it: the sink is exactly-once."""
+    The records come through the file source itself and are staged once a micro-batch; no path is read again and
+    nothing is collected. The cleaning runs as batch code on the staged records and writes the batch to its own
+    folder ``query=<id>/batch_id=<n>`` with overwrite, so a replayed micro-batch rewrites the same folder and another
+    checkpoint never meets it: the sink is exactly-once. Counters (A10): pulled = corrupt + excluded + kept."""
     root = sink_dir.rstrip("/")
     bad_root = (quarantine_dir or f"{root}/_quarantine").rstrip("/")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        place = f"query={stream_id(spark, checkpoint)}/batch_id={batch_id}"
-        paths = sorted(unquote(r["file"]) for r in batch.distinct().collect())
-        good, corrupt = split_corrupt(read_raw_csv(spark, paths))
+        place = _place(spark, checkpoint, batch_id)
+        rows, cleaned, corrupt, records = _landed(batch, mapping)
+        corrupt, bad = _counted(corrupt, "corrupt")
         corrupt.write.mode("overwrite").parquet(f"{bad_root}/{place}")
-        cleaned = clean_listings(good.drop("source_file", "CPI"), mapping, drop_empty_rows=False)
+        cleaned, kept = _counted(cleaned, "kept")
         cleaned.write.mode("overwrite").parquet(f"{root}/{place}")
+        pulled = rows.count()
+        _write_counters(spark, root, place, {
+            "records": records.get["rows"], "pulled": pulled, "corrupt": bad.get["rows"], "kept": kept.get["rows"],
+            "excluded": pulled - bad.get["rows"] - kept.get["rows"]})
 
-    q = (raw_file_stream(spark, source_dir, max_files_per_trigger).writeStream.foreachBatch(apply)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q
+    return _run(record_stream(spark, source_dir, max_files_per_trigger, archive_dir), apply, checkpoint)
+
+
+def load_stream(spark: SparkSession, source_dir: str, table_root: str, checkpoint: str, mapping: DataFrame | None = None,
+                max_files_per_trigger: int | None = None, archive_dir: str | None = None) -> StreamingQuery:
+    """ST1 + ST2 + S12: new raw files are cleaned and merged into the table by state, which rewrites only the states
+    that a micro-batch touches (``merge_states``); a replayed micro-batch changes nothing. Loaded files move to
+    ``archive_dir``; those of a batch that fails stay. Corrupt rows and blank keys go to ``<table>/_quarantine``.
+    Counters: pulled = corrupt + excluded + blank_key + kept, and the folders rewritten."""
+    root = table_root.rstrip("/")
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        place = _place(spark, checkpoint, batch_id)
+        rows, cleaned, corrupt, records = _landed(batch, mapping)
+        good, blank = split_quarantine(cleaned)
+        corrupt, bad = _counted(corrupt, "corrupt")
+        corrupt.write.mode("overwrite").parquet(f"{root}/_quarantine/kind=corrupt/{place}")
+        blank, keyless = _counted(blank, "blank")
+        blank.write.mode("overwrite").parquet(f"{root}/_quarantine/kind=blank_key/{place}")
+        good, kept = _counted(good, "kept")
+        done = merge_states(spark, good, root)
+        pulled = rows.count()
+        _write_counters(spark, root, place, {
+            "records": records.get["rows"], "pulled": pulled, "corrupt": bad.get["rows"], "blank_key": keyless.get["rows"],
+            "kept": kept.get["rows"], "excluded": pulled - bad.get["rows"] - keyless.get["rows"] - kept.get["rows"],
+            "keys": done["batch_keys"], "parts": len(done["parts"]), "dedup_removed": done["dedup_removed"]})
+
+    return _run(record_stream(spark, source_dir, max_files_per_trigger, archive_dir), apply, checkpoint)
 
 
 def upsert_stream(source: DataFrame, table_root: str, checkpoint: str, writer_id: str,
