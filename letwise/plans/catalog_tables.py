@@ -8,15 +8,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from letwise import schemas as S
 from letwise.operators.clean import mapping_dimension
 from letwise.plans import bindings as B
 from letwise.plans import sqlfrag as Q
-from letwise.plans.catalog import _UPSERT_SQL, EXCLUDED_SQL, register, upsert_inputs, ymd
+from letwise.plans.catalog import (
+    _SECOND_PROBE, _TWO_DAYS_SQL, _UPSERT_SQL, EXCLUDED_SQL, _day_step_sql, register, upsert_inputs, ymd,
+)
 from letwise.plans.state_load import merge_states
 from letwise.session import scratch_path
 from letwise.sources.buckets import create, merge_buckets, read_buckets
 from letwise.sources.files import list_csv, read_table, write_raw
 from letwise.sources.states import read_states
+from letwise.streaming.expiry import apply_changes, track_availability
 from letwise.streaming.jobs import load_stream, read_counters
 
 # --------------------------------------------------------------------------- four loads by state
@@ -109,3 +113,44 @@ def stream_load_archive(spark: SparkSession, d: str) -> DataFrame:
         ymd("last_checked_at").alias("last_checked_at"), "availability_status", F.lit(c["pulled"]).alias("pulled"), F.lit(c["kept"]).alias("kept"),
         F.lit(c["pulled"] - c["corrupt"] - c["excluded"] - c["blank_key"] - c["kept"]).alias("not_accounted_for"),
         F.lit(left).cast("bigint").alias("first_files_left"))
+
+
+# --------------------------------------------------------------------------- timers
+_EXPIRY = "try_strptime(ad_expiry, '%Y-%m-%d %H:%M:%S')"
+_AT = {"2001-07-14": "2001-07-14 09:00:00", "2001-07-15": "2001-07-15 09:00:00"}
+
+
+def _expire_sql(source: str, day: str) -> str:
+    """Listings whose expiry has passed by the probes of a day are expired on the day of their expiry."""
+    past = f"({_EXPIRY} <= TIMESTAMP '{_AT[day]}' AND availability_status NOT IN ('rented', 'expired'))"
+    return f"""SELECT * REPLACE (CASE WHEN {past} THEN CAST({_EXPIRY} AS DATE) ELSE gone_at END AS gone_at,
+  CASE WHEN {past} THEN 'expired' ELSE availability_status END AS availability_status) FROM ({source})"""
+
+
+def _timer_sql() -> str:
+    unasked = "CASE WHEN o_orderkey % 9 = 0 THEN 'unknown' ELSE {} END"
+    one = _day_step_sql(_expire_sql(B.order_table_sql(), "2001-07-14"), "2001-07-14", f"({unasked.format(repr('alive'))})")
+    return _day_step_sql(_expire_sql(one, "2001-07-15"), "2001-07-15", f"({unasked.format(_SECOND_PROBE)})")
+
+
+@register("stream_timers", f"""SELECT 'probes' AS driven_by, * FROM ({_TWO_DAYS_SQL})
+UNION ALL SELECT 'probes and expiry', ads_id, state, availability_status, strftime(last_checked_at, '%Y-%m-%d'), strftime(gone_at, '%Y-%m-%d') FROM ({_timer_sql()})""")
+def stream_timers(spark: SparkSession, d: str) -> DataFrame:
+    """ST4: two days of probes through the stateful stream, a file a micro-batch. Without timers the table equals that
+    of ``stream_recheck_days``; with them, listings expire at their expiry, those among them that nobody probes."""
+    table_dir = scratch_path(spark, "table")
+    B.order_table(spark, d).select("ads_id", "state", "first_seen", "last_checked_at", "availability_status", "gone_at", "ad_expiry") \
+        .write.parquet(table_dir)
+    table, out = spark.read.parquet(table_dir), None
+    log = B.order_probe_log(spark, d).withColumn("day", F.to_date("checked_at"))
+    for name, asked, expire in (("probes", F.lit(True), False), ("probes and expiry", F.col("ads_id").cast("bigint") % 9 != 0, True)):
+        src, sink, ck = (scratch_path(spark, n) for n in ("probes", "changes", "ckpt"))
+        for day in _AT:
+            log.where((F.col("day") == day) & asked).drop("day").coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(S.PROBE_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+        track_availability(spark, stream, table, sink, ck, expire=expire)
+        now = apply_changes(table, spark.read.parquet(sink)).select(
+            F.lit(name).alias("driven_by"), "ads_id", "state", "availability_status", ymd("last_checked_at").alias("last_checked_at"),
+            ymd("gone_at").alias("gone_at"))
+        out = now if out is None else out.unionByName(now)
+    return out

@@ -1,13 +1,12 @@
-"""ST4 with state and timers: availability kept per listing in the stream itself.
+"""ST4 with state and timers: availability kept per listing in the stream itself, so that nothing is rewritten per
+micro-batch.
 
-``expiry_stream`` takes events of two kinds, sightings (a listing as loaded) and probes, and emits a row for every
-change of a listing: first seen, checked, gone, and, from an event-time timer, expired: once the watermark passes a
-listing's expiry it is expired without any probe. State is one small row a listing, hashed by ``ads_id`` by Spark and
-kept in its state store, so nothing is rewritten per micro-batch; it is dropped once a listing is terminal and its
-timer has fired.
-
-The rules are those of ``recheck_by_day``: a probe counts only if the listing is not terminal and is due on the probe's
-day; a failed probe changes nothing; a listing that is gone is expired or rented by its expiry.
+``availability_changes`` turns a stream of probes into a stream of changes. Every listing's state is one small row,
+hashed by ``ads_id`` and kept in Spark's state store; it starts from the table. The rules are those of
+``recheck_by_day``: a probe counts only if the listing is not terminal and is due on the probe's day, and a failed probe
+changes nothing. With ``expire`` an event-time timer stands at each listing's expiry: once the watermark passes it, a
+listing that is still there expires on that day without any probe. A probe later than the expiry finds it expired,
+whether the timer has fired yet or not, so the result does not depend on how the log is cut into micro-batches.
 """
 
 from __future__ import annotations
@@ -16,17 +15,142 @@ import datetime as dt
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
-from pyspark.sql.window import Window
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from letwise import constants as K
 from letwise import schemas as S
-from letwise.operators.availability import non_terminal  # noqa: F401  (same rules, see there)
+from letwise.operators.availability import ALIVE, GONE
+from letwise.operators.dedup import latest_per_key
 from letwise.session import ship_package
 
-EVENT = "ads_id string, at timestamp, kind string, first_seen date, last_checked_at date, ad_expiry string, availability_status string, http_ok boolean, n_items long"
-STATE = "status string, first_seen date, last_checked_at date, gone_at date, ad_expiry string"
-CHANGE = "ads_id string, at timestamp, seq long, cause string, availability_status string, last_checked_at date, gone_at date"
-SIGHTING, PROBE = "sighting", "probe"
+# days as yyyy-MM-dd, which compare as text; the expiry also as milliseconds for the timer (-1: none)
+STATE = "status string, first_seen string, last_checked string, gone_at string, expiry_day string, expires long, n_changes long"
+CHANGE = "ads_id string, change_no long, cause string, availability_status string, last_checked_at string, gone_at string"
+BY_PROBE, BY_TIMER = "probe", "expiry"
+_PROVIDER = ("spark.sql.streaming.stateStore.providerClass",
+             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def is_due(status: str | None, first_seen: str | None, last_checked: str | None, day: str) -> bool:
+    """W3 + W4 for one listing: not terminal, and never checked or not since the interval of its age."""
+    if status in K.TERMINAL_STATUSES:
+        return False
+    if last_checked is None:
+        return True
+    today = dt.date.fromisoformat(day)
+    age = (today - dt.date.fromisoformat(first_seen)).days if first_seen else 0
+    interval = next(days for below, days in K.RECHECK_DECAY if below is None or age < below)
+    return (today - dt.date.fromisoformat(last_checked)).days >= interval
+
+
+class Availability(StatefulProcessor):
+    """The state machine of one listing."""
+
+    def __init__(self, expire: bool):
+        self.expire = expire
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.listing = handle.getValueState("listing", STATE)
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        row = initialState.iloc[0]
+        text = [None if pd.isna(row[c]) else str(row[c]) for c in ("status", "first_seen", "last_checked", "gone_at", "expiry_day")]
+        self.listing.update((*text, int(row["expires"]), 0))
+        if self.expire and text[0] not in K.TERMINAL_STATUSES and row["expires"] >= 0:
+            self.handle.registerTimer(int(row["expires"]))
+
+    def _expired(self, state: list) -> dict:
+        """The change at a listing's expiry; its day is that of the expiry."""
+        state[0], state[3] = K.STATUS_EXPIRED, state[4]
+        return self._change(state, BY_TIMER)
+
+    def _change(self, state: list, cause: str) -> dict:
+        state[6] += 1
+        return {"change_no": state[6], "cause": cause, "availability_status": state[0], "last_checked_at": state[2], "gone_at": state[3]}
+
+    def _emit(self, key, state: list, changes: list[dict]) -> Iterator[pd.DataFrame]:
+        if changes:
+            self.listing.update(tuple(state))
+            out = pd.DataFrame(changes)
+            out.insert(0, "ads_id", key[0])
+            yield out
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        probes = sorted({(int(a), o, d) for r in rows for a, o, d in zip(r["at"], r["outcome"], r["day"])})
+        if not self.listing.exists():  # not a listing of the table
+            return
+        state, changes = list(self.listing.get()), []
+        for at, outcome, day in probes:
+            if self.expire and 0 <= state[5] <= at and state[0] not in K.TERMINAL_STATUSES:
+                changes.append(self._expired(state))
+            if not is_due(state[0], state[1], state[2], day):
+                continue
+            state[2] = day
+            if outcome == GONE:
+                state[0] = K.STATUS_RENTED if state[4] is not None and day < state[4] else K.STATUS_EXPIRED
+                state[3] = day
+            changes.append(self._change(state, BY_PROBE))
+        yield from self._emit(key, state, changes)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        state = list(self.listing.get()) if self.listing.exists() else [K.STATUS_EXPIRED]
+        if state[0] not in K.TERMINAL_STATUSES:
+            yield from self._emit(key, state, [self._expired(state)])
+
+    def close(self) -> None:
+        pass
+
+
+def _start_state(table: DataFrame) -> DataFrame:
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    expiry = F.try_to_timestamp(F.col("ad_expiry").cast("string"), F.lit(K.AD_EXPIRY_FORMAT))
+    return table.where(F.col(S.KEY).isNotNull()).select(
+        S.KEY, F.col("availability_status").alias("status"), day("first_seen").alias("first_seen"), day("last_checked_at").alias("last_checked"),
+        day("gone_at").alias("gone_at"), day(expiry).alias("expiry_day"), F.coalesce(F.unix_millis(expiry), F.lit(-1)).alias("expires"))
+
+
+def availability_changes(probes: DataFrame, table: DataFrame, delay: str = "0 seconds", expire: bool = True) -> DataFrame:
+    """A stream of changes (``CHANGE``) from a stream of probes and the table they start from (unique ``ads_id``). Probes
+    that failed, or lack an id or a time, change nothing; those later than ``delay`` behind the newest are late and
+    dropped by the watermark. Probes of listings that the table does not hold are ignored."""
+    ship_package(probes.sparkSession)
+    outcome = F.when(F.col("n_items") > 0, F.lit(ALIVE)).otherwise(F.lit(GONE))
+    # failed probes pass the watermark like all others: time goes on
+    seen = probes.withWatermark("checked_at", delay).where(F.col(S.KEY).isNotNull() & F.col("checked_at").isNotNull() & F.col("http_ok"))
+    seen = seen.select(S.KEY, "checked_at", F.unix_millis("checked_at").alias("at"), F.date_format("checked_at", "yyyy-MM-dd").alias("day"),
+                       outcome.alias("outcome"))
+    return seen.groupBy(S.KEY).transformWithStateInPandas(Availability(expire), CHANGE, "Append", "EventTime",
+                                                          initialState=_start_state(table).groupBy(S.KEY))
+
+
+def track_availability(spark: SparkSession, probes: DataFrame, table: DataFrame, sink_dir: str, checkpoint: str,
+                       delay: str = "0 seconds", expire: bool = True) -> StreamingQuery:
+    """ST4: run ``availability_changes`` over what has arrived and append the changes to ``sink_dir`` (Parquet, exactly
+    once). Timers need Spark's RocksDB state store, which is set for this query only."""
+    before = spark.conf.get(_PROVIDER[0], None)
+    spark.conf.set(*_PROVIDER)
+    try:
+        q = (availability_changes(probes, table, delay, expire).writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(sink_dir))
+    finally:
+        if before is None:
+            spark.conf.unset(_PROVIDER[0])
+        else:
+            spark.conf.set(_PROVIDER[0], before)
+    q.awaitTermination()
+    return q
+
+
+def apply_changes(table: DataFrame, changes: DataFrame) -> DataFrame:
+    """The table with the last change of every listing applied; all other columns and rows as they are."""
+    last = latest_per_key(changes, [S.KEY], ["change_no"]).select(
+        F.col(S.KEY).alias("_changed"), F.col("availability_status").alias("_status"), F.to_date("last_checked_at").alias("_last"),
+        F.to_date("gone_at").alias("_gone"))
+    j = table.join(last, table[S.KEY] == last["_changed"], "left")
+    new = {"availability_status": "_status", "last_checked_at": "_last", "gone_at": "_gone"}
+    changed = F.col("_changed").isNotNull()
+    return j.select(*[F.when(changed, F.col(new[c])).otherwise(table[c]).alias(c) if c in new else table[c] for c in table.columns])
