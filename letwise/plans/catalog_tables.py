@@ -13,12 +13,13 @@ from letwise.operators.clean import mapping_dimension
 from letwise.plans import bindings as B
 from letwise.plans import sqlfrag as Q
 from letwise.plans.catalog import (
-    _SECOND_PROBE, _TWO_DAYS_SQL, _UPSERT_SQL, EXCLUDED_SQL, _day_step_sql, register, upsert_inputs, ymd,
+    _SECOND_PROBE, _UPSERT_SQL, EXCLUDED_SQL, _day_step_sql, register, upsert_inputs, ymd,
 )
 from letwise.plans.state_load import merge_states
 from letwise.session import scratch_path
 from letwise.sources.buckets import create, merge_buckets, read_buckets
 from letwise.sources.files import list_csv, read_table, write_raw
+from letwise.sources.lookups import append_lookups, compact_lookups, open_queries, outcome, read_lookups, with_coordinates
 from letwise.sources.states import read_states
 from letwise.streaming.expiry import apply_changes, track_availability
 from letwise.streaming.jobs import load_stream, read_counters
@@ -133,24 +134,51 @@ def _timer_sql() -> str:
     return _day_step_sql(_expire_sql(one, "2001-07-15"), "2001-07-15", f"({unasked.format(_SECOND_PROBE)})")
 
 
-@register("stream_timers", f"""SELECT 'probes' AS driven_by, * FROM ({_TWO_DAYS_SQL})
-UNION ALL SELECT 'probes and expiry', ads_id, state, availability_status, strftime(last_checked_at, '%Y-%m-%d'), strftime(gone_at, '%Y-%m-%d') FROM ({_timer_sql()})""")
+@register("stream_timers", f"""SELECT ads_id, state, availability_status, strftime(last_checked_at, '%Y-%m-%d') AS last_checked_at,
+  strftime(gone_at, '%Y-%m-%d') AS gone_at FROM ({_timer_sql()})""")
 def stream_timers(spark: SparkSession, d: str) -> DataFrame:
-    """ST4: two days of probes through the stateful stream, a file a micro-batch. Without timers the table equals that
-    of ``stream_recheck_days``; with them, listings expire at their expiry, those among them that nobody probes."""
-    table_dir = scratch_path(spark, "table")
+    """ST4: two days of probes through the stateful stream, a file a micro-batch; listings expire at their expiry, those
+    among them that nobody probes."""
+    table_dir, src, sink, ck = (scratch_path(spark, n) for n in ("table", "probes", "changes", "ckpt"))
     B.order_table(spark, d).select("ads_id", "state", "first_seen", "last_checked_at", "availability_status", "gone_at", "ad_expiry") \
         .write.parquet(table_dir)
-    table, out = spark.read.parquet(table_dir), None
-    log = B.order_probe_log(spark, d).withColumn("day", F.to_date("checked_at"))
-    for name, asked, expire in (("probes", F.lit(True), False), ("probes and expiry", F.col("ads_id").cast("bigint") % 9 != 0, True)):
-        src, sink, ck = (scratch_path(spark, n) for n in ("probes", "changes", "ckpt"))
-        for day in _AT:
-            log.where((F.col("day") == day) & asked).drop("day").coalesce(1).write.mode("append").parquet(src)
-        stream = spark.readStream.schema(S.PROBE_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
-        track_availability(spark, stream, table, sink, ck, expire=expire)
-        now = apply_changes(table, spark.read.parquet(sink)).select(
-            F.lit(name).alias("driven_by"), "ads_id", "state", "availability_status", ymd("last_checked_at").alias("last_checked_at"),
-            ymd("gone_at").alias("gone_at"))
-        out = now if out is None else out.unionByName(now)
-    return out
+    table = spark.read.parquet(table_dir)
+    log = B.order_probe_log(spark, d).where(F.col("ads_id").cast("bigint") % 9 != 0).withColumn("day", F.to_date("checked_at"))
+    for day in _AT:
+        log.where(F.col("day") == day).drop("day").coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(S.PROBE_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+    track_availability(spark, stream, table, sink, ck)
+    return apply_changes(table, spark.read.parquet(sink)).select(
+        "ads_id", "state", "availability_status", ymd("last_checked_at").alias("last_checked_at"), ymd("gone_at").alias("gone_at"))
+
+
+# --------------------------------------------------------------------------- lookups that can fail
+@register("geo_lookups", """WITH p AS (SELECT p_partkey, p_brand || ', ' || p_type AS query FROM part),
+q AS (SELECT query, CASE WHEN bool_or(p_partkey % 2 = 0) THEN 1 ELSE 2 END AS first FROM p GROUP BY query),
+s AS (SELECT query, first, (length(query) + first) % 3 AS h FROM q),
+f AS (SELECT query, CASE WHEN h = 1 THEN 'miss' ELSE 'hit' END AS lookup_status, CASE WHEN h = 2 THEN 2 ELSE 1 END AS n_lookups,
+        CASE h WHEN 0 THEN 100 + first WHEN 2 THEN 101 + first END AS lon FROM s)
+SELECT p_partkey, lookup_status, CASE WHEN lookup_status = 'hit' THEN CAST(length(query) AS DOUBLE) END AS latitude, CAST(lon AS DOUBLE) AS longitude,
+  CAST(n_lookups AS BIGINT) AS n_lookups FROM p JOIN f USING (query)""")
+def geo_lookups(spark: SparkSession, d: str) -> DataFrame:
+    """S6 + J3 + T15: three rounds of lookups of places, a third of which fail each time. An error is asked again in the
+    next round, a miss is not; the log is appended to, compacted after the second round, and read by its final state."""
+    p = read_table(spark, d, "part").select("p_partkey", F.concat_ws(", ", "p_brand", "p_type").alias("query"))
+    log_dir, compact, counts = scratch_path(spark, "lookups"), scratch_path(spark, "lookups"), []
+    for no in (1, 2, 3):
+        wanted = p.where("p_partkey % 2 = 0") if no == 1 else p
+        h = (F.length("query") + no) % 3
+        at = F.to_timestamp(F.lit(f"2026-05-0{no} 10:00:00"))
+        asked = open_queries(wanted, read_lookups(spark, log_dir)).select(
+            "query", F.when(h == 0, F.length("query").cast("double")).alias("lat"), F.when(h == 0, F.lit(100.0 + no)).alias("lon"),
+            (h == 2).alias("failed"), at.alias("looked_up_at"))
+        path = scratch_path(spark, "asked")
+        asked.withColumn("status", outcome(F.col("lat"), F.col("lon"), F.col("failed"))).write.parquet(path)
+        counts.append(spark.read.parquet(path).select("query"))
+        append_lookups(spark.read.parquet(path), log_dir)
+        if no == 2:
+            compact_lookups(spark, log_dir, compact)
+            log_dir = compact
+    n = counts[0].unionByName(counts[1]).unionByName(counts[2]).groupBy(F.col("query").alias("asked")).agg(F.count(F.lit(1)).alias("n_lookups"))
+    found = with_coordinates(p, "query", read_lookups(spark, log_dir))
+    return found.join(n, F.col("query") == F.col("asked")).select("p_partkey", "lookup_status", "latitude", "longitude", "n_lookups")

@@ -64,24 +64,33 @@ def list_csv(spark: SparkSession, path: str) -> DataFrame:
     return files.where(~F.element_at(F.split("file", "/"), -1).contains(K.COMBINED_MARKER))
 
 
-def csv_headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
-    """Paths of the files by their header line. Headers are few; the list of paths is as long as the scan's own."""
-    lines = (spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
-                                           F.monotonically_increasing_id().alias("n"), "value").where(F.col("at") == 0))
-    found: dict[str, list[str]] = {}
-    for row in lines.groupBy("file").agg(F.min_by("value", "n").alias("header")).collect():
-        found.setdefault(row["header"].lstrip("\ufeff").rstrip("\r"), []).append(unquote(row["file"]))
+def csv_layouts(spark: SparkSession, paths: list[str]) -> dict[tuple[str, bool], list[str]]:
+    """Paths of the files by their header line and by whether a line is always a record. It is unless a line has an odd
+    number of quotes, as where a quoted field holds a line break, or a carriage return inside. Layouts are few; the list
+    of paths is as long as the scan's own. One pass over the text, of which a row a file is kept."""
+    text = spark.read.option("lineSep", "\n").text(paths)
+    line, first = F.col("value"), F.col("_metadata.file_block_start") == 0
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    broken = (quotes % 2 == 1) | F.rtrim(F.regexp_replace(line, "\r$", "")).contains("\r")
+    lines = text.select(F.col("_metadata.file_path").alias("file"), F.when(first, F.monotonically_increasing_id()).alias("n"),
+                        F.when(first, line).alias("value"), broken.alias("broken"))
+    found: dict[tuple[str, bool], list[str]] = {}
+    for row in lines.groupBy("file").agg(F.min_by("value", "n").alias("header"), F.max("broken").alias("broken")).collect():
+        header = row["header"].lstrip("\ufeff").rstrip("\r")
+        found.setdefault((header, not row["broken"]), []).append(unquote(row["file"]))
     return {h: sorted(found[h]) for h in sorted(found)}
 
 
-def _read_csv_group(spark: SparkSession, header: str, paths: list[str]) -> DataFrame:
+def _read_csv_group(spark: SparkSession, header: str, paths: list[str], by_line: bool = False) -> DataFrame:
     """Files of one header: every listing column as text, by name (missing ones NULL), the corrupt record, and
-    the file and place of each row. A file without the key column is corrupt row by row."""
+    the file and place of each row. A file without the key column is corrupt row by row. Files of which every line is a
+    record (``by_line``) are split into many tasks; a file with line breaks in fields is one task."""
     names = next(csv.reader([header]), [])
     fields = [f"c{i}" for i in range(len(names))]
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in [*fields, CORRUPT]])
     df = (spark.read.schema(schema).option("header", True).option("enforceSchema", True)
-          .option("multiLine", True).option("escape", '"').option("mode", "PERMISSIVE")
+          .option("multiLine", not by_line).option("escape", '"').option("mode", "PERMISSIVE")
+          .option("columnPruning", False)  # a row is short or not whatever columns are asked for
           .option("columnNameOfCorruptRecord", CORRUPT).csv(paths))
     at = {name.strip(): c for c, name in reversed(list(zip(fields, names)))}
     corrupt = F.col(CORRUPT)
@@ -89,9 +98,10 @@ def _read_csv_group(spark: SparkSession, header: str, paths: list[str]) -> DataF
         corrupt = F.coalesce(corrupt, F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in fields]))
     columns = [(F.col(at[c]) if c in at else F.lit(None).cast("string")).alias(c) for c in CSV_COLUMNS]
     name = F.element_at(F.split("_metadata.file_path", "/"), -1)
-    place = F.lpad(F.monotonically_increasing_id().cast("string"), 20, "0")
-    return df.select(*columns, corrupt.alias(CORRUPT), name.alias("source_file"),
-                     F.concat(F.col("_metadata.file_path"), F.lit("#"), place).alias("load_key"))
+    # splits of a file may be read in any order, the rows of a split come in theirs
+    place = F.concat_ws("#", "_metadata.file_path", F.lpad(F.col("_metadata.file_block_start").cast("string"), 15, "0"),
+                        F.lpad(F.monotonically_increasing_id().cast("string"), 20, "0"))
+    return df.select(*columns, corrupt.alias(CORRUPT), name.alias("source_file"), place.alias("load_key"))
 
 
 CSV_COLUMNS = [*S.RAW_COLUMNS, "CPI"]
@@ -101,13 +111,14 @@ def read_raw_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Raw or processed listing CSVs (a folder, or a list of files), every column text and found by its
     header name, whatever the order; missing columns are NULL and unknown ones ignored.
 
-    Files are read in groups of one header, so a file with another header never disturbs the rest. Combined
+    Files are read in groups of one header, so a file with another header never disturbs the rest, and apart by whether
+    fields hold line breaks, so that all others are split. Combined
     snapshots (``_ALL_`` in the name) are skipped; rows whose every field is missing are dropped (W1); NA
     tokens become NULL (P10); rows that do not parse, short ones included, and rows of files without a key
     column are kept apart in ``_corrupt_record``. ``load_key`` has the file and place of each row."""
     from letwise.operators.clean import drop_all_missing
     paths = [r["file"] for r in list_csv(spark, path).collect()] if isinstance(path, str) else list(path)
-    groups = [_read_csv_group(spark, h, files) for h, files in csv_headers(spark, paths).items()] if paths else []
+    groups = [_read_csv_group(spark, h, files, by_line) for (h, by_line), files in csv_layouts(spark, paths).items()] if paths else []
     schema = ", ".join(f"{c} string" for c in [*CSV_COLUMNS, CORRUPT, "source_file", "load_key"])
     df = groups[0] if groups else spark.createDataFrame([], schema)
     for g in groups[1:]:

@@ -22,7 +22,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from letwise import constants as K
 from letwise import schemas as S
-from letwise.operators.availability import ALIVE, GONE
+from letwise.operators.availability import ALIVE, GONE, non_terminal
 from letwise.operators.dedup import latest_per_key
 from letwise.session import ship_package
 
@@ -81,9 +81,10 @@ class Availability(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         probes = sorted({(int(a), o, d) for r in rows for a, o, d in zip(r["at"], r["outcome"], r["day"])})
-        if not self.listing.exists():  # not a listing of the table
+        state, changes = self.listing.get(), []
+        if state is None:  # not a listing of the table, or gone before the stream began
             return
-        state, changes = list(self.listing.get()), []
+        state = list(state)
         for at, outcome, day in probes:
             if self.expire and 0 <= state[5] <= at and state[0] not in K.TERMINAL_STATUSES:
                 changes.append(self._expired(state))
@@ -97,8 +98,9 @@ class Availability(StatefulProcessor):
         yield from self._emit(key, state, changes)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        state = list(self.listing.get()) if self.listing.exists() else [K.STATUS_EXPIRED]
-        if state[0] not in K.TERMINAL_STATUSES:
+        state = self.listing.get()
+        if state is not None and state[0] not in K.TERMINAL_STATUSES:
+            state = list(state)
             yield from self._emit(key, state, [self._expired(state)])
 
     def close(self) -> None:
@@ -108,7 +110,7 @@ class Availability(StatefulProcessor):
 def _start_state(table: DataFrame) -> DataFrame:
     day = lambda c: F.date_format(c, "yyyy-MM-dd")
     expiry = F.try_to_timestamp(F.col("ad_expiry").cast("string"), F.lit(K.AD_EXPIRY_FORMAT))
-    return table.where(F.col(S.KEY).isNotNull()).select(
+    return table.where(F.col(S.KEY).isNotNull() & non_terminal()).select(   # terminal ones never change here
         S.KEY, F.col("availability_status").alias("status"), day("first_seen").alias("first_seen"), day("last_checked_at").alias("last_checked"),
         day("gone_at").alias("gone_at"), day(expiry).alias("expiry_day"), F.coalesce(F.unix_millis(expiry), F.lit(-1)).alias("expires"))
 
@@ -116,7 +118,7 @@ def _start_state(table: DataFrame) -> DataFrame:
 def availability_changes(probes: DataFrame, table: DataFrame, delay: str = "0 seconds", expire: bool = True) -> DataFrame:
     """A stream of changes (``CHANGE``) from a stream of probes and the table they start from (unique ``ads_id``). Probes
     that failed, or lack an id or a time, change nothing; those later than ``delay`` behind the newest are late and
-    dropped by the watermark. Probes of listings that the table does not hold are ignored."""
+    dropped by the watermark. Probes of listings that the table does not hold, or holds as terminal, are ignored."""
     ship_package(probes.sparkSession)
     outcome = F.when(F.col("n_items") > 0, F.lit(ALIVE)).otherwise(F.lit(GONE))
     # failed probes pass the watermark like all others: time goes on
