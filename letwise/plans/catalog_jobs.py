@@ -15,7 +15,7 @@ from letwise import constants as K
 from letwise.operators import audits as A
 from letwise.operators.availability import apply_snapshot, probe_counters, recheck, snapshot_diff
 from letwise.operators.clean import build_mapping, category_purge, clean_listings, drop_all_missing, mapping_dimension, standardise_type
-from letwise.operators.flatten import item_to_row, stamp_run
+from letwise.operators.flatten import item_to_row, stamp_run, variant_to_row
 from letwise.operators.geo import lookup_coordinates
 from letwise.operators.slices import combine_slices, ordered_types, select_slices, unknown_states, write_combined
 from letwise.operators.upsert import conform, upsert
@@ -25,7 +25,7 @@ from letwise.plans.catalog import _DEDUP_PART, EXCLUDED_SQL, _geo_inputs, regist
 from letwise.plans.pipeline import full_run, load_processed, load_raw
 from letwise.session import scratch_path
 from letwise.sources.files import (
-    read_geo, read_mapping_csv, read_pages, read_raw_csv, read_table, split_corrupt, write_geo, write_raw,
+    read_geo, read_mapping_csv, read_pages, read_raw_csv, read_table, split_corrupt, variant_items, write_geo, write_raw,
 )
 from letwise.sources.snapshot import read_snapshot, write_snapshot
 
@@ -375,10 +375,12 @@ _PAGE_SQL = {
 }
 
 
-@register("page_flatten_all", "SELECT " + ", ".join(f"{e} AS {c}" for c, e in _PAGE_SQL.items()) +
-          " FROM (SELECT *, CAST(o_orderkey AS VARCHAR) AS k, 'C' || CAST(o_custkey AS VARCHAR) AS o_clerk FROM orders)")
-def page_flatten_all(spark: SparkSession, d: str) -> DataFrame:
-    """P1 + P2 + P7: all 19 listing fields of landed pages, lists among them, stamped with the run date."""
+_PAGES_SQL = ("SELECT " + ", ".join(f"{e} AS {c}" for c, e in _PAGE_SQL.items()) +
+              " FROM (SELECT *, CAST(o_orderkey AS VARCHAR) AS k, 'C' || CAST(o_custkey AS VARCHAR) AS o_clerk FROM orders)")
+
+
+def landed_pages(spark: SparkSession, d: str) -> str:
+    """A folder of search pages whose items hold every attribute, some as lists."""
     o = read_table(spark, d, "orders")
     k, text = F.col("o_orderkey"), F.col("o_orderkey").cast("string")
     attrs = F.struct(
@@ -394,7 +396,20 @@ def page_flatten_all(spark: SparkSession, d: str) -> DataFrame:
     items = o.select(F.floor(k / K.PAGE_SIZE).alias("page_no"), F.struct(k.alias("id"), attrs.alias("attributes")).alias("item"))
     path = scratch_path(spark, "pages")
     items.groupBy("page_no").agg(F.to_json(F.struct(F.collect_list("item").alias("data"))).alias("value")).select("value").write.text(path)
-    return stamp_run(item_to_row(read_pages(spark, path)), "2026-05-03").select(*_PAGE_SQL)
+    return path
+
+
+@register("page_flatten_all", _PAGES_SQL)
+def page_flatten_all(spark: SparkSession, d: str) -> DataFrame:
+    """P1 + P2 + P7: all 19 listing fields of landed pages, lists among them, stamped with the run date."""
+    return stamp_run(item_to_row(read_pages(spark, landed_pages(spark, d))), "2026-05-03").select(*_PAGE_SQL)
+
+
+@register("page_variants", _PAGES_SQL)
+def page_variants(spark: SparkSession, d: str) -> DataFrame:
+    """S1 + P1 + P2: the same pages through Variant items."""
+    items, _ = variant_items(spark, landed_pages(spark, d))
+    return stamp_run(variant_to_row(items), "2026-05-03").select(*_PAGE_SQL)
 
 
 @register("stream_sightings", "SELECT DISTINCT CAST(user_id AS VARCHAR) AS ads_id FROM events")
@@ -410,3 +425,26 @@ def stream_sightings(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(sink).select("ads_id")
 
 
+@register("stream_sightings_again", """WITH e AS (SELECT CAST(user_id AS VARCHAR) AS ads_id, event_id % 5 AS slot FROM events),
+w AS (SELECT ads_id, bool_or(slot = 0) AS d1, bool_or(slot = 1) AS d2, bool_or(slot = 2) AS d20, bool_or(slot = 3) AS d21 FROM e GROUP BY ads_id)
+SELECT ads_id, '2026-01-01' AS passed FROM w WHERE d1 UNION ALL SELECT ads_id, '2026-01-02' FROM w WHERE d2 AND NOT d1
+UNION ALL SELECT ads_id, '2026-01-20' FROM w WHERE d20 UNION ALL SELECT ads_id, '2026-01-21' FROM w WHERE d21 AND NOT d20""")
+def stream_sightings_again(spark: SparkSession, d: str) -> DataFrame:
+    """ST3 with eviction: within two days a listing passes once; a sighting after the watermark has passed its first one
+    passes again; a late one, behind the watermark, is dropped. Sightings land day by day, a file a micro-batch."""
+    from letwise.streaming.jobs import dedup_sightings
+    src, sink, ck = (scratch_path(spark, n) for n in ("sightings", "first", "ckpt"))
+    day = F.create_map(*[x for i, t in enumerate(("2026-01-01", "2026-01-02", "2026-01-20", "2026-01-21", "2026-01-03")) for x in (F.lit(i), F.lit(t))])
+    e = read_table(spark, d, "events").select(F.col("user_id").cast("string").alias("ads_id"), (F.col("event_id") % 5).cast("int").alias("slot"),
+                                              (F.col("event_id") % 36000).alias("second"))
+    at = F.to_timestamp(day[F.col("slot")]) + F.make_dt_interval(secs=F.col("second"))
+    seen = e.select("ads_id", at.alias("seen_at"), "slot")
+    # two days of other listings let the watermark pass the first ones before they come again
+    marks = [spark.range(1).select(F.lit(f"mark {x}").alias("ads_id"), F.to_timestamp(F.lit(x)).alias("seen_at")) for x in ("2026-01-15", "2026-01-16")]
+    days = [seen.where(f"slot = {i}").drop("slot") for i in (0, 1, 2, 3, 4)]
+    for frame in (days[0], days[1], *marks, days[2], days[3], days[4]):
+        frame.coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema("ads_id string, seen_at timestamp").option("maxFilesPerTrigger", 1).parquet(src)
+    (dedup_sightings(stream, delay="2 days").writeStream.format("parquet").option("checkpointLocation", ck)
+     .trigger(availableNow=True).start(sink).awaitTermination())
+    return spark.read.parquet(sink).where(~F.col("ads_id").startswith("mark")).select("ads_id", F.date_format("seen_at", "yyyy-MM-dd").alias("passed"))

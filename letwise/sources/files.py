@@ -56,6 +56,19 @@ def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> Data
     return page_items(read_page_log(spark, path, multi_line))
 
 
+def variant_items(spark: SparkSession, path: str, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """S1 with Variant: ``(items, bad pages)`` of landed pages. Items are ``(page_file, page_total, item)`` with the item
+    as a Variant, whatever its fields; a page that does not parse, or has no list ``data``, is bad. The page is parsed
+    once, and no schema of the attributes is needed."""
+    text = (spark.read.option("wholetext", multi_line).option("recursiveFileLookup", True).text(path)
+            .select(F.col("_metadata.file_name").alias("page_file"), "value").where(F.trim("value") != ""))
+    page = text.withColumn("page", F.try_parse_json("value"))
+    page = page.withColumn("data", F.try_variant_get("page", "$.data", "array<variant>"))
+    items = page.where(F.col("data").isNotNull()).select(
+        "page_file", F.try_variant_get("page", "$.meta['total-results']", "long").alias("page_total"), F.explode("data").alias("item"))
+    return items, page.where(F.col("data").isNull()).select("page_file", F.col("value").alias(CORRUPT))
+
+
 def list_csv(spark: SparkSession, path: str) -> DataFrame:
     """The CSV files under a folder, but for combined snapshots: ``(file, modified)``. Only names and times
     are read."""
