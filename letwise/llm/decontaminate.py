@@ -199,9 +199,10 @@ def match_items(docs: DataFrame, items: DataFrame, text_col: str = "text", item_
     A window is ``window`` consecutive words of an item, or a shorter item as a whole. Null or empty texts
     have no words and no hits; items without words have no window; items repeated under one id count once,
     a null id is the string ``null``. Rows stay one to one with ``docs``. With ``cut``, ``__clean`` is the text without
-    its hit spans of ``window`` words or more.
+    its hit spans of ``window`` words or more. Columns already called so are replaced.
     """
     spark = docs.sparkSession
+    docs = docs.select(*[f"`{c}`" for c in docs.columns if c.lower() not in ("__hits", "__clean")])
     tk.small_batches(spark)
     named = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("id"),
                          F.col(item_text).cast("string").alias("text")).where("text is not null")
@@ -227,9 +228,10 @@ def remove_contamination(docs: DataFrame, items: DataFrame, text_col: str = "tex
     word's last byte); shorter spans, which only items shorter than a window make, stay. Texts without hits
     are unchanged, null texts too.
     """
-    found = match_items(docs, items, text_col, item_id, item_text, window, cut=True)
+    plain, names = tk.plainly_named(docs)
+    found = match_items(plain, items, names[text_col], item_id, item_text, window, cut=True)
     kept = found.where((F.col("__hits.n_hit") == 0) | (F.col("__hits.n_hit") < coverage * F.col("__hits.n_words")))
-    return kept.select(*[F.col("__clean").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    return kept.select(*tk.named_back(names, **{names[text_col]: F.col("__clean")}))
 
 
 def _without(text: str | None, hits: list, least: int) -> str | None:

@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from letwise.llm.textkit import named_back, plainly_named
 from letwise.session import scratch_path
 
 RATIO = 0.01
@@ -100,6 +101,8 @@ def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str =
     null text stays null (no lines), an empty text has one blank line and stays. Repeated rows are pages of
     their own unless ``copies_once``. Columns that are already called n_lines or n_dropped are replaced.
     """
+    docs, names = plainly_named(docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]))
+    host_col, text_col = names[host_col], names[text_col]
     path = scratch_path(docs.sparkSession, "boilerplate")
     count = boilerplate_beside_copies if copies_once else boilerplate_lines
     count(docs, host_col, text_col, ratio, min_pages).write.parquet(path)
@@ -108,11 +111,10 @@ def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str =
     lines = _lines(F.col(text_col))
     kept = F.when(F.col("__lines").isNull(), lines).otherwise(
         F.filter(lines, lambda x: ~F.array_contains(F.col("__lines"), _key(_bare(x)))))
-    plain = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
+    whole = F.when(F.col(text_col).isNotNull(), F.array_join("__kept", "\n"))
     return (docs.withColumn("__key", host).join(found, F.col("__key") == F.col("__host"), "left")
             .withColumn("__kept", kept)
-            .select(*[F.col(f"`{c}`") if c != text_col else
-                      F.when(F.col(text_col).isNotNull(), F.array_join("__kept", "\n")).alias(text_col) for c in plain],
+            .select(*named_back(names, **{text_col: whole}),
                     F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
                     F.coalesce(F.size(lines) - F.size("__kept"), F.lit(0)).cast("long").alias("n_dropped")))
 

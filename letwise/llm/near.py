@@ -329,4 +329,5 @@ def drop_near_copies(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     """
     gone = _written(near_groups(docs, percent, id_col, text_col, k).where("doc_id <> component_id")
                     .select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+    plain, names = tk.plainly_named(docs)
+    return plain.join(gone, F.col(names[id_col]).cast("long") == F.col("__gone"), "left_anti").select(*tk.named_back(names))

@@ -13,7 +13,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from letwise.session import ship_package
 
 CHUNK_BYTES = 1 << 18
 BATCH_ROWS = 1000
@@ -28,7 +31,9 @@ _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 def small_batches(spark: SparkSession) -> None:
     """Lower the session's rows per Arrow batch to ``BATCH_ROWS``: rows that hold whole texts are long, and a batch is
-    held several times over in the JVM and in Python."""
+    held several times over in the JVM and in Python. Every operator with Python workers comes through here, so the
+    package is shipped to them as well."""
+    ship_package(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, BATCH_ROWS)
@@ -37,6 +42,11 @@ def small_batches(spark: SparkSession) -> None:
 def returning_memory(batches: Iterable) -> Iterator:
     """The batches of a task; afterwards the worker, which Spark keeps for later tasks, gives free memory back."""
     yield from batches
+    return_memory()
+
+
+def return_memory() -> None:
+    """Give this process's free memory back to the machine."""
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -44,6 +54,17 @@ def returning_memory(batches: Iterable) -> Iterator:
         pass
 
 
+def plainly_named(frame: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``frame`` with columns ``c0, c1, ...``, which no name of an operator clashes with, and these by their old names."""
+    names = {c: f"c{i}" for i, c in enumerate(frame.columns)}
+    return frame.toDF(*names.values()), names
+
+
+def named_back(names: dict[str, str], **instead: Column) -> list[Column]:
+    """The columns of a plainly named frame under their old names; ``instead`` are columns to take for some of them."""
+    return [instead.get(new, F.col(new)).alias(old) for old, new in names.items()]
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least ``n`` of each."""
     if len(_power["up"]) < n:

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from letwise.llm.textkit import named_back, plainly_named
 from letwise.session import literal_frame
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -56,7 +57,8 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, url_col: str = "url", defau
     ``://`` have an empty host and path, no rule and the default verdict. Rules with a null host, path or
     verdict, an empty host or a path that does not start with a slash are ignored. Repeated pages get a row each.
     """
-    url = F.col(url_col).cast("string")
+    pages, names = plainly_named(pages)
+    url = F.col(names[url_col]).cast("string")
     clean = (rules.where("host != '' and (path = '' or path like '/%') and verdict is not null")
              .select(F.translate("host", UPPER, LOWER).alias("host"), "path", "verdict")
              .withColumn("rule", F.concat("host", "path"))
@@ -77,7 +79,7 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, url_col: str = "url", defau
              .groupBy("u")
              .agg(F.min(F.struct((-F.col("size")).alias("a"), "rule", "verdict")).alias("best"))
              .select(F.col("u").alias("__u"), F.col("best.rule").alias("__rule"), F.col("best.verdict").alias("__verdict")))
-    keep = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
+    keep = {c: new for c, new in names.items() if c.lower() not in ("host", "path", "rule", "verdict")}
     return (pages.withColumn("__key", url).join(found, F.col("__key") == F.col("__u"), "left")
-            .select(*[F.col(f"`{c}`") for c in keep], url_host(F.col("__key")).alias("host"), url_path(F.col("__key")).alias("path"),
+            .select(*named_back(keep), url_host(F.col("__key")).alias("host"), url_path(F.col("__key")).alias("path"),
                     F.col("__rule").alias("rule"), F.coalesce("__verdict", F.lit(default)).alias("verdict")))
