@@ -25,6 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from letwise.llm.textkit import named_back, plainly_named
 from letwise.session import scratch_path
 
 SAMPLE_ROWS = 4000
@@ -40,6 +41,8 @@ STILL = 1e-9
 MOST_RATE = 2.0
 TOLERANCE = 1e-4
 TARGETS = {"clean": 0.93, "junk": 0.05, "toxic": 0.02}
+# with the targets above: pull of the rates towards 1, and the least and the greatest rate
+RIDGE, LEAST_RATE, MOST_WEIGHT = 0.01, 0.05, 4.0
 
 
 def label_domain() -> Column:
@@ -73,11 +76,11 @@ def _prepared(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def fit_domains(docs: DataFrame, labels: DataFrame, domains: list[str], domain: Column, id_col: str = "doc_id",
-                text_col: str = "text", rows: int = SAMPLE_ROWS) -> tuple[list[list[int]], list[list[float]]]:
+                text_col: str = "text", rows: int = SAMPLE_ROWS, label_id: str | None = None) -> tuple[list[list[int]], list[list[float]]]:
     """The telling buckets of each domain, and for each evidence the posteriors. Labelled
     rows are taken in the order of a hash of the id; rows without a domain or a document are left out. Without
     rows, posteriors are even."""
-    some = (labels.select(F.col(id_col).alias("__id"), domain.alias("__domain"))
+    some = (labels.select(F.col(label_id or id_col).alias("__id"), domain.alias("__domain"))
             .where(F.col("__id").isNotNull() & F.col("__domain").isin(*domains))
             .orderBy(F.xxhash64("__id"), "__id", "__domain").limit(rows))
     texts = (docs.select(F.col(id_col).alias("__d"), F.col(text_col))
@@ -159,9 +162,15 @@ def reachable(targets: list[float], shares: list[float], most: float = MOST_RATE
         out = [most * shares[k] if k in capped else (targets[k] * left / free if free else 0.0) for k in range(len(out))]
 
 
-def fit_rates(tokens: list[float], table: list[list[float]], targets: list[float], rounds: int = ROUNDS) -> list[float]:
-    """Rate of each evidence: projected gradient from 1 on min over rates r >= 0 of sum over domains (expected tokens -
-    target)^2 / domain tokens. ``tokens``: of each evidence, which has the posteriors in ``table``.
+def fit_rates(tokens: list[float], table: list[list[float]], targets: list[float], rounds: int = ROUNDS,
+              ridge: float = 0.0, least: float = 0.0, most: float = math.inf) -> list[float]:
+    """Rate of each evidence: projected gradient from 1 on min over rates ``least`` <= r <= ``most`` of sum over domains
+    (expected tokens - target)^2 / domain tokens, plus ``ridge`` times the token-weighted sum of (r - 1)^2.
+    ``tokens``: of each evidence, which has the posteriors in ``table``.
+
+    Where posteriors are soft, targets can often be met only by a few of the purest documents. The ridge and the
+    bounds give up a little of the targets so that nearly all documents stay in the mix; without a ridge the targets
+    come first.
 
     The step of a document is taken per token, so that the rate does not depend on a document's length.
     Targets are first made ``reachable``, so that a scarce domain is not bought by dropping all else; domains
@@ -183,12 +192,12 @@ def fit_rates(tokens: list[float], table: list[list[float]], targets: list[float
         return np.where(shares > 0, (r * weight) @ q - aim, 0.0)
 
     def moved(r: np.ndarray) -> np.ndarray:
-        return np.maximum(0.0, r - q @ (off(r) * per))
+        return np.clip(r - (q @ (off(r) * per) + ridge * (r - 1)) / (1 + ridge), least, most)
 
     last, pace = rates, 1.0
     for turn in range(rounds + MORE_ROUNDS):
         left, after = off(rates), moved(rates)
-        if np.abs(left).max() < TOLERANCE:
+        if not ridge and np.abs(left).max() < TOLERANCE:
             return rates.tolist()
         if np.abs(after - rates)[n > 0].max() < STILL:
             break
@@ -217,22 +226,26 @@ def mix_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float]
                   columns: list[str] | None = None) -> DataFrame:
     """``docs`` (or some of its ``columns``) with n_tokens, ``p_<domain>`` for each domain, and ``mix_rate`` >= 0: the weight at which a document
     enters the mix, so that rate-weighted expected tokens of each domain have the target shares of all tokens.
+    The default targets come with a ridge towards 1 and bounds of the rates (``RIDGE``, ``LEAST_RATE``,
+    ``MOST_WEIGHT``), and are approached as far as these allow; targets that are given are met as nearly as rates of 0
+    and more can.
     Documents are scored once, into a table in the shared folder; the rates are found and applied on that.
 
     Null and empty texts have the prior posteriors and 0 tokens; repeated rows count each; an empty table stays
     empty; without usable labels the posteriors are even. Columns already called so are replaced.
     """
+    bounds = {"ridge": RIDGE, "least": LEAST_RATE, "most": MOST_WEIGHT} if targets is None else {}
     targets = TARGETS if targets is None else targets
     domains = list(targets)
     whole = sum(targets.values())
     new = {"n_tokens", "mix_rate", *(f"p_{k}" for k in domains)}
-    plain = docs.select(*[f"`{c}`" for c in docs.columns if c.lower() not in new])
-    telling, table = fit_domains(plain, labels, domains, label_domain() if domain is None else domain, id_col, text_col)
-    kept = [c for c in plain.columns if columns is None or c in columns]
-    scored = _written(scored_documents(plain, telling, text_col)
-                      .select(*[f"`{c}`" for c in kept], "n_tokens", "__e"), "scored")
+    plain, names = plainly_named(docs.select(*[f"`{c}`" for c in docs.columns if c.lower() not in new]))
+    id_name, text_name = names[id_col], names[text_col]
+    telling, table = fit_domains(plain, labels, domains, label_domain() if domain is None else domain, id_name, text_name, label_id=id_col)
+    kept = {c: name for c, name in names.items() if columns is None or c in columns}
+    scored = _written(scored_documents(plain, telling, text_name).select(*kept.values(), "n_tokens", "__e"), "scored")
     tokens = {r["__e"]: r["n"] for r in scored.groupBy("__e").agg(F.sum("n_tokens").alias("n")).collect()}
-    rates = fit_rates([tokens.get(e, 0) for e in range(len(table))], table, [t / whole for t in targets.values()])
-    return scored.select(*[f"`{c}`" for c in kept], "n_tokens",
+    rates = fit_rates([tokens.get(e, 0) for e in range(len(table))], table, [t / whole for t in targets.values()], **bounds)
+    return scored.select(*named_back(kept), "n_tokens",
                          *[_of_evidence([row[k] for row in table]).alias(f"p_{name}") for k, name in enumerate(domains)],
                          _of_evidence(rates).alias("mix_rate"))
