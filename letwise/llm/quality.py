@@ -136,4 +136,6 @@ def score_texts(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Train on the labelled sample of ``docs`` and score all of ``docs``."""
-    return score_texts(docs, train(labelled_sample(docs, labels, id_col, text_col)), text_col)
+    model = train(labelled_sample(docs, labels, id_col, text_col))
+    tk.return_memory()  # the sample and its features, which the driver held for the training
+    return score_texts(docs, model, text_col)
