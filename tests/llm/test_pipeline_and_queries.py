@@ -15,9 +15,9 @@ SF = "/root/testdata/sf0.001"
 NATIVE = ["op1_url_filters", "op5_line_dedup", "op8_pii", "op10_mixing"]
 
 
-def test_all_ten_operators_and_the_pipeline_are_registered():
+def test_all_thirteen_operators_and_the_pipeline_are_registered():
     names = [n for n in E.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert E.queries()["pipeline"] is corpus_pipeline.run
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "line dedup", "MinHash near-dedup", "benchmark decontamination",
