@@ -72,7 +72,8 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = tuple(k.name for k in pii.KINDS if k.base)
     return found.select("doc_id", *[pii.count_of(spans, k).alias(f"n_{k}") for k in base],
                         F.sha2(pii.span_list(spans, base), 256).alias("base_sha256"),
-                        pii.span_list(spans).alias("spans"))
+                        pii.span_list(spans).alias("spans"), F.size(spans).cast("long").alias("n_spans"),
+                        pii.count_of(spans, "secret").alias("n_secret"), pii.score_list(spans).alias("scores"))
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

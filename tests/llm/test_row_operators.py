@@ -159,6 +159,34 @@ def test_personal_data(spark):
     assert pii.find_pii(frame(spark, [])).count() == 0
 
 
+def test_secrets_need_length_alphabet_entropy_and_context(spark):
+    hexes = "c80fd45a66f8564ae70609f7b2a26100e64e830e"
+    texts = [f'token = "{hexes}"', f"commit {hexes}", f"x {hexes} y", f"{hexes} is the api key", f"PASSWORD: {hexes.upper()};",
+             "token how-to-get-an-api-key-in-2024-guide", "token " + "a1" * 20, "token " + "a" * 30000, f"secret {hexes}@b.co",
+             "token aK3x9QpL0zRt7VwY2mNc", "token aK3x9QpL0zRt7VwY2mN", "shared thing. token " + hexes]
+    out = pii.find_pii(frame(spark, [(i, t, "s") for i, t in enumerate(texts)])).select("doc_id", F.filter(
+        "spans", lambda x: x["kind"] == "secret").alias("s")).collect()
+    got = {r["doc_id"]: [(x["start"], x["end"], x["score"]) for x in r["s"]] for r in out}
+    assert got == {0: [(9, 49, 0.7)], 1: [], 2: [], 3: [(0, 40, 0.7)], 4: [(10, 50, 0.7)], 5: [], 6: [], 7: [], 8: [],
+                   9: [(6, 26, 0.7)], 10: [], 11: [(20, 60, 0.7)]}
+
+
+def test_context_raises_and_lowers_scores(spark):
+    texts = ["server 1.2.3.4", "1.2.3.4 is the host", "release 1.2.3.4", "1.2.3.4", "host release 1.2.3.4", "order 123-45-6789 tax"]
+    got = {r["doc_id"]: [x["score"] for x in r["spans"]] for r in
+           pii.find_pii(frame(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()}
+    assert got == {0: [0.9], 1: [0.9], 2: [0.3], 3: [0.6], 4: [0.6], 5: []}
+
+
+@pytest.mark.parametrize("n", [1, 31, 32, 33, 1024, 5000])
+def test_places_of_many_matches(spark, n):
+    rnd = random.Random(n)
+    text = "".join(rnd.choice(["a@b.co ", "é😀 x@y.z, ", "1.2.3.4 ", "999.1.1.1 ", "+49 123 4567 89;"]) for _ in range(n))
+    spans = pii.find_pii(frame(spark, [(1, text, "s")])).select(
+        pii.span_list(F.col("spans"), ("email", "ip", "card", "phone")).alias("s")).first()["s"]
+    assert spans == brute_pii(text)
+
+
 # ------------------------------------------------------------------ quality
 def quality_rows():
     rnd = random.Random(9)
