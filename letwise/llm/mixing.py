@@ -7,12 +7,12 @@ targets. Built-in functions only.
 * Classifier, fitted on a bounded sample of labelled rows (``SAMPLE_ROWS``): hashed words are counted per domain; the
   telling words of a domain are those that ``DOCUMENTS`` documents hold and that it has clearly more often than all
   documents together, by ``Z`` standard errors and ``LEAST`` in the logarithm of the (smoothed) ratio. A document's
-  evidence is the class of its share of telling words for each domain (none, or up to the ``SHARES``), every
-  occurrence counted, so that it does not fall with the document's length, and its
-  posteriors are the domains' shares among the labelled rows of the same evidence, smoothed by the priors. The
-  sample bounds the telling words, and documents are scored in the row.
-* Rates: documents of equal evidence share exact posteriors and a rate, and one pre-aggregated pass leaves
-  the tokens of each evidence class: (classes of share) ** (domains) numbers, 64 for three domains. The gradient
+  evidence is its share of telling words for each domain, every occurrence counted, so that it does not fall with the
+  document's length, on a logarithmic scale of ``levels`` steps from ``LOW`` to ``HIGH``. Posteriors are those of
+  a multinomial logistic regression on the evidence (for each domain whether there is any, and how much), so
+  they follow each domain's share. The sample bounds the telling words; documents are scored in the row.
+* Rates: documents of equal evidence have equal posteriors, so one pre-aggregated pass leaves the tokens of each
+  evidence, ``CLASSES`` numbers at most whatever the number of documents. The gradient
   rounds need nothing else and run on the driver until the targets are met or no rate moves any more.
 """
 
@@ -32,7 +32,9 @@ SAMPLE_ROWS = 4000
 BUCKET_BITS = 20
 Z = 5.0
 LEAST = 0.7
-SHARES = (0.0, 0.01, 0.05)
+CLASSES = 4096
+LOW, HIGH = 0.002, 0.2
+PULL = 0.1
 DOCUMENTS = 20
 SMOOTH = 10.0
 ROUNDS = 60
@@ -109,25 +111,80 @@ def fit_domains(docs: DataFrame, labels: DataFrame, domains: list[str], domain:
     held: dict[int, list[int]] = {}
     for r in prepared.groupBy(evidence(F.col("__buckets"), telling).alias("e")).agg(*per_domain(F.lit(1))).collect():
         held[r["e"]] = [r[n] for n in names]
-    every = [sum(c[k] for c in held.values()) for k in range(len(domains))]
-    priors = [(n + 1) / (sum(every) + len(domains)) for n in every]
-    table = []
-    for e in range((len(SHARES) + 1) ** len(domains)):
-        counts = held.get(e, [0] * len(domains))
-        table.append([(n + SMOOTH * p) / (sum(counts) + SMOOTH) for n, p in zip(counts, priors)])
-    return telling, table
+    k = len(domains)
+    seen_rows = _features(np.array(sorted(held), int), k)
+    weights = _regression(seen_rows, np.array([held[e] for e in sorted(held)], float).reshape(len(held), k))
+    return telling, _softmax(_features(np.arange((levels(k) + 1) ** k), k) @ weights).tolist()
+
+
+def levels(domains: int) -> int:
+    """Steps of a domain's evidence above none: as many as leave at most ``CLASSES`` combinations, one at least."""
+    n = 1
+    while (n + 2) ** domains <= CLASSES:
+        n += 1
+    return n
+
+
+def _features(numbers: np.ndarray, domains: int) -> np.ndarray:
+    """Rows of the regression for evidence numbers: 1, then for each domain whether it has evidence, its step and that squared."""
+    steps, columns = levels(domains), [np.ones(len(numbers))]
+    for k in range(domains):
+        step = numbers // (steps + 1) ** k % (steps + 1)
+        columns += [(step > 0).astype(float), step / steps, (step / steps) ** 2]
+    return np.stack(columns, axis=1)
+
+
+def _softmax(scores: np.ndarray) -> np.ndarray:
+    e = np.exp(scores - scores.max(axis=1, keepdims=True))
+    return e / e.sum(axis=1, keepdims=True)
+
+
+def _regression(rows: np.ndarray, counts: np.ndarray, turns: int = 100) -> np.ndarray:
+    """Weights (features x domains) of a multinomial logistic regression by damped Newton steps. ``counts``: labelled
+    documents of each row by domain. ``PULL`` draws the weights towards 0, the intercepts by a thousandth of it."""
+    width, domains = rows.shape[1], counts.shape[1]
+    pull = np.full((width, 1), PULL)
+    pull[0] = PULL / 1000
+    weights = np.zeros((width, domains))
+    if not counts.sum():
+        return weights
+
+    def loss(w: np.ndarray) -> float:
+        return float(-(counts * np.log(np.maximum(_softmax(rows @ w), 1e-300))).sum() + 0.5 * (pull * w * w).sum())
+
+    size, now = counts.sum(axis=1, keepdims=True), loss(weights)
+    for _ in range(turns):
+        p = _softmax(rows @ weights)
+        slope = rows.T @ (size * p - counts) + pull * weights
+        bend = np.zeros((domains, width, domains, width))
+        for i in range(domains):
+            for j in range(domains):
+                bend[i, :, j, :] = rows.T @ (rows * (size[:, 0] * p[:, i] * ((i == j) - p[:, j]))[:, None])
+        flat = bend.reshape(domains * width, -1) + np.diag(np.tile(pull[:, 0], domains))
+        step = np.linalg.solve(flat, slope.T.reshape(-1)).reshape(domains, width).T
+        pace = 1.0
+        while pace > 1e-6 and loss(weights - pace * step) > now:
+            pace /= 2
+        weights, last = weights - pace * step, now
+        now = loss(weights)
+        if last - now < 1e-9 * max(1.0, abs(last)):
+            break
+    return weights
 
 
 def evidence(buckets: Column, telling: list[list[int]]) -> Column:
-    """Number of a document's evidence: for each domain the class of the share of its buckets, with repeats, that
+    """Number of a document's evidence: for each domain the step of the share of its buckets, with repeats, that
     tell of it."""
+    steps = levels(len(telling))
+    span = math.log(HIGH / LOW)
+
     def number(told: Column) -> Column:
         out = F.lit(0)
         for k, known in enumerate(telling):
             found = F.size(F.filter(told, lambda x: x.isin(known))) if known else F.lit(0)
-            share = found / F.size(buckets)
-            level = sum((F.when(share > low, 1).otherwise(0) for low in SHARES[1:]), F.when(share > SHARES[0], 1).otherwise(0))
-            out = out + level * (len(SHARES) + 1) ** k
+            depth = F.round(F.ln(found / F.size(buckets) / LOW) / span * (steps - 1)).cast("int") + 1
+            step = F.when(found > 0, F.greatest(F.lit(1), F.least(F.lit(steps), depth))).otherwise(0)
+            out = out + step * (steps + 1) ** k
         return out
 
     every = sorted({b for known in telling for b in known})
@@ -245,7 +302,11 @@ def mix_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float]
     kept = {c: name for c, name in names.items() if columns is None or c in columns}
     scored = _written(scored_documents(plain, telling, text_name).select(*kept.values(), "n_tokens", "__e"), "scored")
     tokens = {r["__e"]: r["n"] for r in scored.groupBy("__e").agg(F.sum("n_tokens").alias("n")).collect()}
-    rates = fit_rates([tokens.get(e, 0) for e in range(len(table))], table, [t / whole for t in targets.values()], **bounds)
+    seen = sorted(tokens)
+    rates = [1.0] * len(table)
+    for e, rate in zip(seen, fit_rates([tokens[e] or 0 for e in seen], [table[e] for e in seen],
+                                       [t / whole for t in targets.values()], **bounds) if seen else []):
+        rates[e] = rate
     return scored.select(*named_back(kept), "n_tokens",
                          *[_of_evidence([row[k] for row in table]).alias(f"p_{name}") for k, name in enumerate(domains)],
                          _of_evidence(rates).alias("mix_rate"))

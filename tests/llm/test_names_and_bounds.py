@@ -89,12 +89,34 @@ def test_production_weights_keep_the_corpus(spark):
     assert rate.min() >= mixing.LEAST_RATE and rate.max() <= mixing.MOST_WEIGHT
     share = {k: (n * rows[f"p_{k}"]).sum() / n.sum() for k in mixing.TARGETS}
     mixed = {k: (rate * n * rows[f"p_{k}"]).sum() / (rate * n).sum() for k in mixing.TARGETS}
+    assert len(set(rows["p_toxic"])) >= 50          # posteriors follow the evidence
     gap = lambda x: sum(abs(x[k] - t) for k, t in mixing.TARGETS.items())
     assert gap(mixed) < 0.35 * gap(share)
     clean = {r.doc_id for r in labels.where("quality = 1 and toxic = 0").collect()}
     assert (rows[rows["doc_id"].isin(clean)]["mix_rate"] < 0.05).mean() < 0.01
 
 
+def test_posteriors_solve_the_regression():
+    """The slope of the penalised loss, computed anew row by row, is nought at the weights."""
+    rng = np.random.default_rng(5)
+    rows = mixing._features(rng.integers(0, (mixing.levels(3) + 1) ** 3, 200), 3)
+    counts = rng.integers(0, 9, (200, 3)).astype(float)
+    w = mixing._regression(rows, counts)
+    slope = mixing.PULL * w * np.array([0.001] + [1.0] * (rows.shape[1] - 1))[:, None]
+    for x, c in zip(rows, counts):
+        e = np.exp(x @ w)
+        slope += np.outer(x, c.sum() * e / e.sum() - c)
+    assert np.abs(slope).max() < 1e-2
+    assert not mixing._regression(rows, counts * 0).any()
+    one = mixing._regression(rows, counts * [1, 0, 0])          # domains without a labelled row
+    assert (mixing._softmax(rows @ one)[:, 0] > 0.99).all()
+
+
+@pytest.mark.parametrize("domains", range(1, 13))
+def test_evidence_is_bounded(domains):
+    assert (mixing.levels(domains) + 1) ** domains <= mixing.CLASSES and mixing.levels(domains) >= 1
+
+
 # --------------------------------------------------------------------------- other
 def test_workers_import_the_package_in_a_session_made_first():
     code = """
