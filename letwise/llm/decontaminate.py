@@ -3,8 +3,9 @@
 The automaton holds every run of words of every item. Documents stream through it in one pass
 without a shuffle; at each word it knows the longest run of item words that ends there, so windows
 of items show up as match lengths. An automaton holds ``item_chars`` characters of items at most
-(plus one item); more items make more automata, and the documents pass through each of them in turn,
-so what is broadcast is bounded while no item is left out.
+(plus one item); more items make more automata, and the documents pass through each of them in turn.
+Between passes the documents are written to the shared folder and the automaton is dropped, so one
+automaton at a time is in memory, whatever the number of items, while no item is left out.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from letwise.llm import textkit as tk
+from letwise.session import scratch_path
 
 WINDOW = 13
 ITEM_CHARS = 500_000
@@ -199,7 +201,8 @@ def match_items(docs: DataFrame, items: DataFrame, text_col: str = "text", item_
     A window is ``window`` consecutive words of an item, or a shorter item as a whole. Null or empty texts
     have no words and no hits; items without words have no window; items repeated under one id count once,
     a null id is the string ``null``. Rows stay one to one with ``docs``. With ``cut``, ``__clean`` is the text without
-    its hit spans of ``window`` words or more. Columns already called so are replaced.
+    its hit spans of ``window`` words or more. Columns already called so are replaced. Items that need several automata
+    make this call run all passes but the last.
     """
     spark = docs.sparkSession
     docs = docs.select(*[f"`{c}`" for c in docs.columns if c.lower() not in ("__hits", "__clean")])
@@ -215,7 +218,13 @@ def match_items(docs: DataFrame, items: DataFrame, text_col: str = "text", item_
         machine = Automaton([(r["id"], normalised_words(r["text"])) for r in rows], window)
         last = cut and k == parts - 1
         schema = T.StructType([*fields, T.StructField("__clean", T.StringType())] if last else fields)
-        out = _pass(out, text_col, spark.sparkContext.broadcast(machine), schema, k > 0, last)
+        sent = spark.sparkContext.broadcast(machine)
+        out = _pass(out, text_col, sent, schema, k > 0, last)
+        if k < parts - 1:
+            path = scratch_path(spark, "pass")
+            out.write.parquet(path)
+            sent.destroy()
+            out = spark.read.schema(out.schema).parquet(path)
     return out
 
 

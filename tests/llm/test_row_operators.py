@@ -95,6 +95,14 @@ def test_decontamination_matches_brute_force(spark, item_chars):
         == {(i, n, h, tuple(f)) for i, t, _ in docs for n, h, f in [brute_hits(t, items, 4)]}
 
 
+def test_one_automaton_at_a_time(spark):
+    items = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(6))) for i in range(20)], "item_id long, text string")
+    docs = frame(spark, [(i, f"a w{i}x0 w{i}x1 w{i}x2 w{i}x3 b", "s") for i in range(20)])
+    out = decontaminate.match_items(docs, items, window=4, item_chars=100)
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {(r["doc_id"], r["__hits"]["n_hit"], *r["__hits"]["items"]) for r in out.collect()} == {(i, 4, str(i)) for i in range(20)}
+
+
 def test_contamination_is_cut_or_dropped(spark):
     item = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
     long_ = " ".join(f"w{i}" for i in range(400))
