@@ -55,31 +55,39 @@ def probe_outcomes(probe_log: DataFrame) -> DataFrame:
     return latest.select("ads_id", outcome.alias("outcome"))
 
 
+def split_open(table: DataFrame, changes: Column) -> tuple[DataFrame, DataFrame]:
+    """The rows that a re-check may change, and all others. The latter need no join: they go from scan to writer,
+    so only the former are shuffled."""
+    c = F.coalesce(changes, F.lit(False))
+    return table.where(c), table.where(~c)
+
+
 def recheck(table: DataFrame, outcomes: DataFrame, today, limit: int | None = None) -> DataFrame:
     """M3: apply probe outcomes to the due listings.
 
     * alive: ``last_checked_at`` = today.
     * gone: status from the expiry (F9), ``gone_at`` = ``last_checked_at`` = today.
     * unknown or no probe: unchanged (stays due).
-    Rows that are terminal or not due are never changed. ``outcomes`` has
+    Rows that are terminal or not due are never changed and never joined. ``outcomes`` has
     ``(ads_id, outcome)`` with one row per id (see ``probe_outcomes``)."""
-    t = with_due_flag(table, today)
+    due = non_terminal() & LF.due_for_check("first_seen", "last_checked_at", today)
+    t, rest = split_open(table, due)
+    counts = F.lit(True)
     if limit:
         capped = due_listings(table, today, limit, columns=("ads_id",))
-        capped = capped.select(F.col("ads_id").alias("_cap_id"))
-        t = t.join(capped, t["ads_id"] == capped["_cap_id"], "left") \
-             .withColumn("_due", F.col("_due") & F.col("_cap_id").isNotNull()).drop("_cap_id")
+        t = t.join(capped.select(F.col("ads_id").alias("_cap_id")), F.col("ads_id") == F.col("_cap_id"), "left")
+        counts = F.col("_cap_id").isNotNull()
     o = outcomes.select(F.col("ads_id").alias("_probe_id"), F.col("outcome").alias("_outcome"))
-    j = t.join(o, t["ads_id"] == o["_probe_id"], "left")
+    j = t.join(o, F.col("ads_id") == F.col("_probe_id"), "left")
     today_d = LF.day_lit(today)
-    alive = F.col("_due") & (F.col("_outcome") == ALIVE)
-    gone = F.col("_due") & (F.col("_outcome") == GONE)
+    alive = counts & (F.col("_outcome") == ALIVE)
+    gone = counts & (F.col("_outcome") == GONE)
     out = (j
            .withColumn("availability_status",
                        F.when(gone, LF.classify_gone("ad_expiry", today)).otherwise(F.col("availability_status")))
            .withColumn("gone_at", F.when(gone, today_d).otherwise(F.col("gone_at")))
            .withColumn("last_checked_at", F.when(alive | gone, today_d).otherwise(F.col("last_checked_at"))))
-    return out.select(*table.columns)
+    return out.select(*table.columns).union(rest)
 
 
 def recheck_by_day(table: DataFrame, probe_log: DataFrame) -> DataFrame:
@@ -88,13 +96,14 @@ def recheck_by_day(table: DataFrame, probe_log: DataFrame) -> DataFrame:
     The rules are those of ``recheck`` with the probe's day as today: a probe counts only if the listing is not
     gone and due that day; a failed probe changes nothing. The result is the same whether the log comes as one
     batch or as several, as long as batches follow time. Probes without an id or a time are ignored. A listing's
-    probes meet in one row, a few a day at most.
+    probes meet in one row, a few a day at most. Terminal listings stay as they are and are never joined.
     """
     outcome = F.when(F.col("n_items") > 0, F.lit(ALIVE)).otherwise(F.lit(GONE))
     log = (probe_log.where(F.col("ads_id").isNotNull() & F.col("checked_at").isNotNull() & F.col("http_ok"))
            .select(F.col("ads_id").alias("_probe_id"), F.struct("checked_at", outcome.alias("outcome")).alias("p"))
            .groupBy("_probe_id").agg(F.sort_array(F.collect_set("p")).alias("_probes")))
-    j = table.join(log, table["ads_id"] == log["_probe_id"], "left")
+    t, rest = split_open(table, non_terminal())
+    j = t.join(log, F.col("ads_id") == F.col("_probe_id"), "left")
     start = F.struct(F.col("availability_status").alias("status"), F.col("last_checked_at").alias("last"),
                      F.col("gone_at").alias("gone"))
 
@@ -112,7 +121,7 @@ def recheck_by_day(table: DataFrame, probe_log: DataFrame) -> DataFrame:
     j = j.withColumn("_state", F.aggregate(F.coalesce("_probes", none), start, step))
     return (j.withColumn("availability_status", F.col("_state.status"))
             .withColumn("last_checked_at", F.col("_state.last")).withColumn("gone_at", F.col("_state.gone"))
-            .select(*table.columns))
+            .select(*table.columns).union(rest))
 
 
 def probe_counters(probe_log: DataFrame) -> DataFrame:

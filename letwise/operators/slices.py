@@ -37,8 +37,22 @@ def type_dimension(spark: SparkSession) -> DataFrame:
     return literal_frame(spark, sorted(K.RESIDENTIAL_PROPERTY_TYPE_IDS.items()), "type_id int, type_name string")
 
 
+def with_slice_names(df: DataFrame, state_col: str = "state", type_col: str = "property_type_id") -> DataFrame:
+    """``df`` with ``region_code`` and ``type_name`` of each row's slice. States are compared as W8 does, types
+    by their id; what a dimension does not know, null and blank values among it, gets null, and no row is lost. Columns
+    of these two names are replaced. Both dimensions are literals of the plan, so Spark broadcasts them."""
+    spark = df.sparkSession
+    regions = region_dimension(spark).withColumnRenamed("state_key", "_state_key")
+    types = type_dimension(spark).select(F.col("type_id").cast("string").alias("_type_id"), "type_name")
+    rows = df.drop("region_code", "type_name")
+    return (rows.join(regions, LF.normalise_state(state_col) == F.col("_state_key"), "left")
+            .join(types, F.trim(F.col(type_col).cast("string")) == F.col("_type_id"), "left")
+            .select(*[F.col(f"`{c}`") for c in rows.columns], "region_code", "type_name"))
+
+
 def ordered_types(types: DataFrame) -> DataFrame:
-    """L2: a type dimension (type_id, type_name) in the order in which slices run, by id, with its place from 1."""
+    """L2: a type dimension (type_id, type_name) in the order in which slices run, by id, with its place from 1.
+    The window has no partition: it is for the dimension, a row a type, not for listings."""
     return types.withColumn("place", F.row_number().over(Window.orderBy("type_id"))).orderBy("place")
 
 

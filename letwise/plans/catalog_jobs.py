@@ -17,7 +17,14 @@ from letwise.operators.availability import apply_snapshot, probe_counters, reche
 from letwise.operators.clean import build_mapping, category_purge, clean_listings, drop_all_missing, mapping_dimension, standardise_type
 from letwise.operators.flatten import item_to_row, stamp_run, variant_to_row
 from letwise.operators.geo import lookup_coordinates
-from letwise.operators.slices import combine_slices, ordered_types, select_slices, unknown_states, write_combined
+from letwise.operators.slices import (
+    combine_slices,
+    ordered_types,
+    select_slices,
+    unknown_states,
+    with_slice_names,
+    write_combined,
+)
 from letwise.operators.upsert import conform, upsert
 from letwise.plans import bindings as B
 from letwise.plans import sqlfrag as Q
@@ -338,6 +345,24 @@ def slice_order(spark: SparkSession, d: str) -> DataFrame:
     return ordered_types(types)
 
 
+_STATE_OF = sorted(K.REGION_CODES)
+_SLICE_SQL = f"""WITH st(i, state_key, region_code) AS (VALUES {", ".join(f"({i}, '{s}', '{K.REGION_CODES[s]}')" for i, s in enumerate(_STATE_OF))}),
+ty(type_id, type_name) AS (VALUES {", ".join(f"({i}, '{n}')" for i, n in sorted(K.RESIDENTIAL_PROPERTY_TYPE_IDS.items()))})
+SELECT st.region_code, ty.type_name, count(*) AS listings FROM lineitem
+LEFT JOIN st ON l_suppkey % 20 = st.i LEFT JOIN ty ON l_partkey % 60 = ty.type_id GROUP BY 1, 2"""
+
+
+@register("slice_names", _SLICE_SQL)
+def slice_names(spark: SparkSession, d: str) -> DataFrame:
+    """J9, both sides: listings counted by region code and type name of their slice; unknown states and types are
+    groups of their own."""
+    states = F.create_map(*[x for i, s in enumerate(_STATE_OF) for x in (F.lit(i), F.lit(f" {s.title()} "))])
+    rows = read_table(spark, d, "lineitem").select(
+        F.coalesce(states[(F.col("l_suppkey") % 20).cast("int")], F.lit("elsewhere")).alias("state"),
+        (F.col("l_partkey") % 60).cast("string").alias("property_type_id"))
+    return with_slice_names(rows).groupBy("region_code", "type_name").agg(F.count(F.lit(1)).alias("listings"))
+
+
 @register("slice_totals", """WITH s AS (SELECT r_name AS region, n_name AS slice, count(c_custkey) AS reported FROM nation JOIN region ON n_regionkey = r_regionkey
     LEFT JOIN customer ON c_nationkey = n_nationkey AND NOT (c_nationkey % 5 = 0) GROUP BY 1, 2),
 t AS (SELECT *, sum(reported) OVER (PARTITION BY region) AS region_total, count(*) OVER (PARTITION BY region) AS n FROM s)

@@ -54,6 +54,21 @@ def test_recheck_with_limit(spark):
     assert changed == ["alive1"]   # never checked first, then by id: alive1 < failed1 < gone1
 
 
+def test_only_open_rows_are_joined(spark, tmp_path):
+    """The listings that no probe can change are read into a branch of their own, beside the join."""
+    t = table(spark)
+    more = t.unionByName(t.where("ads_id = 'rented1'")).unionByName(t.where("ads_id = 'gone1'").withColumn("ads_id", F.lit(None).cast("string")))
+    more.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    out = recheck(stored, outcomes(spark), "2026-06-01")
+    assert out.count() == 8 and out.where("ads_id = 'rented1'").count() == 2 and out.where("ads_id is null").count() == 1
+    log = spark.createDataFrame([("gone1", dt.datetime(2026, 6, 1, 9), True, 0)], PROBES)
+    for joined in (out, recheck_by_day(stored, log)):
+        plan = joined._jdf.queryExecution().optimizedPlan()
+        assert plan.nodeName() == "Union"
+        assert sorted("Join" in plan.children().apply(i).toString() for i in range(2)) == [False, True]
+
+
 def test_due_listings_order_and_cap(spark):
     due = [r.ads_id for r in due_listings(table(spark), "2026-06-01", limit=10).collect()]
     assert due == ["alive1", "failed1", "gone1", "expired1"]

@@ -3,7 +3,14 @@
 import pytest
 from pyspark.sql import functions as F
 
-from letwise.operators.slices import region_dimension, select_slices, type_dimension, unknown_states, validate_states
+from letwise.operators.slices import (
+    region_dimension,
+    select_slices,
+    type_dimension,
+    unknown_states,
+    validate_states,
+    with_slice_names,
+)
 from letwise.session import scratch_path
 from letwise.sources.files import read_geo, write_geo
 
@@ -34,6 +41,18 @@ def test_dimensions(spark):
     assert t.count() == 29 and t.where("type_id = 44").first().type_name == "Shoplot"
 
 
+def test_slice_names_keep_every_row(spark):
+    schema = "ads_id string, state string, property_type_id string, type_name string"
+    rows = spark.createDataFrame([("1", " Johor ", "44", "old"), ("2", "atlantis", " 44 ", "old"), ("3", None, None, "old"),
+                                  ("4", "johor", "9999", "old"), ("4", "johor", "9999", "old"), ("5", "", "", None)], schema)
+    out = with_slice_names(rows)
+    assert out.columns == ["ads_id", "state", "property_type_id", "region_code", "type_name"]
+    code = region_dimension(spark).where("state_key = 'johor'").first().region_code
+    assert sorted((r.ads_id, r.region_code, r.type_name) for r in out.collect()) == [
+        ("1", code, "Shoplot"), ("2", None, "Shoplot"), ("3", None, None), ("4", code, None), ("4", code, None), ("5", None, None)]
+    assert with_slice_names(rows.limit(0)).count() == 0
+
+
 def test_geo_table_roundtrip_one_row_per_query(spark):
     path = scratch_path(spark, "geo")
     df = spark.createDataFrame([("a", 1.0, 2.0), ("a", 1.5, 2.5), ("b", None, None)], "query string, lat double, lon double")
