@@ -47,39 +47,32 @@ def threshold_top(ids: np.ndarray, data: np.ndarray, query: np.ndarray, own: int
     """Ids, scores and the depth reached of the ``k`` best rows of one block for one query.
 
     ``order``: for each dimension the rows sorted by value, ascending. The walk looks at ``depth`` rows of each
-    list, then four times as many. Ties go to the smaller id, so it goes on while an unseen row could still
-    reach the k-th score. Once the lists read would be as long as the block, the rest of the block is read.
+    list, then twice as many, until no unseen row can reach the k-th score (ties go to the smaller id, so a bound
+    equal to it does not stop the walk) or the lists have shown every row. A query of zeros has no list to walk: all
+    rows tie. The scores of the rows met are one product, over the whole block where that is the cheaper one.
     """
     n, _ = data.shape
     used = np.flatnonzero(query)
     up = query[used] > 0
-    seen = None
-    rows, scores, lo = np.zeros(0, np.int64), np.zeros(0, data.dtype), 0
+    seen = np.zeros(n, bool)
+    rows, scores, lo, hi = np.zeros(0, np.int64), np.zeros(0, data.dtype), 0, min(depth, n)
     while True:
-        hi = depth if len(used) and depth * len(used) < n else n
-        if hi == n and seen is None:
-            rows, scores = np.arange(n), data @ query
-            keep = ids != own
-            rows, scores = rows[keep], scores[keep]
+        before = seen.copy()
+        if len(used):
+            seen[np.where(up[:, None], order[used, n - hi:n - lo], order[used, lo:hi])] = True
         else:
-            seen = np.zeros(n, bool) if seen is None else seen
-            fresh = ~seen
-            if hi < n:
-                fresh[:] = False
-                fresh[np.where(up[:, None], order[used, n - hi:n - lo], order[used, lo:hi])] = True
-                fresh &= ~seen
-            seen |= fresh
-            fresh &= ids != own
-            new = np.flatnonzero(fresh)
-            rows, scores = np.concatenate([rows, new]), np.concatenate([scores, data[new] @ query])
+            seen[:] = True
+        new = np.flatnonzero(seen & ~before & (ids != own))
+        fresh = data[new] @ query if 8 * len(new) < n else (data @ query)[new]
+        rows, scores = np.concatenate([rows, new]), np.concatenate([scores, fresh])
         top = best_of(ids[rows], scores, k)
         rows, scores = rows[top], scores[top]
-        if hi == n:
+        if seen.all():
             break
         last = np.where(up, order[used, n - hi], order[used, hi - 1])
         if len(rows) == k and data[last, used] @ query[used] < scores[-1]:
             break
-        lo, depth = hi, depth * 4
+        lo, hi = hi, min(2 * hi, n)
     return ids[rows], scores, hi
 
 
