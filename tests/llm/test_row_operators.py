@@ -55,6 +55,19 @@ def test_url_rules(spark):
     assert out.columns == ["page_id", "url", "extra", "host", "path", "rule", "verdict"]
 
 
+def test_pages_of_a_hot_url_are_dealt_over_keys(spark):
+    """A third of the pages has one URL and a third has none; none of these meet under one key."""
+    hot = "http://www.example.com/en/a"
+    rows = [(k, [hot, None, f"http://h{k}.net/es/{k}"][k % 3], {"k": k}) for k in range(6000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, more map<string,int>")
+    out = urls.url_verdicts(pages, urls.rule_table(spark, RULES))
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in out.collect()}
+    assert len(got) == 6000 and got == {k: judged(u) for k, u, _ in rows}
+    plain, _ = urls.plainly_named(pages)
+    dealt = plain.where("c0 % 3 < 2").groupBy(urls._dealt(plain).alias("salt")).count().collect()
+    assert len(dealt) == urls.SALTS and max(r["count"] for r in dealt) < 150
+
+
 def test_url_rules_on_nothing(spark):
     pages = spark.createDataFrame([], "page_id long, url string")
     assert urls.url_verdicts(pages, urls.rule_table(spark, RULES)).count() == 0
