@@ -13,16 +13,16 @@ from letwise.operators.clean import mapping_dimension
 from letwise.plans import bindings as B
 from letwise.plans import sqlfrag as Q
 from letwise.plans.catalog import (
-    _SECOND_PROBE, _UPSERT_SQL, EXCLUDED_SQL, _day_step_sql, register, upsert_inputs, ymd,
+    _SECOND_PROBE, _TWO_DAYS_SQL, _UPSERT_SQL, EXCLUDED_SQL, _day_step_sql, register, upsert_inputs, ymd,
 )
 from letwise.plans.state_load import merge_states
 from letwise.session import scratch_path
 from letwise.sources.buckets import create, merge_buckets, read_buckets
 from letwise.sources.files import list_csv, read_table, write_raw
 from letwise.sources.lookups import append_lookups, compact_lookups, open_queries, outcome, read_lookups, with_coordinates
-from letwise.sources.states import read_states
+from letwise.sources.states import overwrite_parts, read_states, to_stored
 from letwise.streaming.expiry import apply_changes, track_availability
-from letwise.streaming.jobs import load_stream, read_counters
+from letwise.streaming.jobs import RECHECKS, load_stream, read_counters, recheck_states_stream
 
 # --------------------------------------------------------------------------- four loads by state
 _LOADS = [
@@ -116,6 +116,28 @@ def stream_load_archive(spark: SparkSession, d: str) -> DataFrame:
         F.lit(left).cast("bigint").alias("first_files_left"))
 
 
+_PROBES_SQL = """SELECT count(*) + count(CASE WHEN o_orderkey % 50 <> 0 AND n_lines > 0 THEN 1 END) AS n_alive,
+  count(CASE WHEN o_orderkey % 50 <> 0 AND n_lines = 0 THEN 1 END) AS n_gone, count(CASE WHEN o_orderkey % 50 = 0 THEN 1 END) AS n_failed"""
+
+
+@register("stream_recheck_by_state", f"SELECT t.*, c.* FROM ({_TWO_DAYS_SQL}) t, ({_PROBES_SQL} FROM ({B.order_table_sql()})) c")
+def stream_recheck_by_state(spark: SparkSession, d: str) -> DataFrame:
+    """ST4 + S7 + A10: the probe log arrives day by day and re-checks the table by state; the counters of all
+    micro-batches add up beside the listings."""
+    root, src, ck = (scratch_path(spark, n) for n in ("by-state", "probes", "ckpt"))
+    table = B.order_table(spark, d)
+    fields = [(F.col(f.name) if f.name in table.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in S.TABLE_SCHEMA.fields]
+    overwrite_parts(to_stored(table.select(*fields)), root)
+    log = B.order_probe_log(spark, d)
+    for day in _AT:
+        log.where(F.to_date("checked_at") == day).coalesce(1).write.mode("append").parquet(src)
+    recheck_states_stream(spark.readStream.schema(S.PROBE_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src), root, ck)
+    c = read_counters(spark, root, RECHECKS).agg(*[F.sum(x).alias(x) for x in ("alive", "gone", "failed")]).first()
+    return read_states(spark, root).select(
+        "ads_id", "state", "availability_status", ymd("last_checked_at").alias("last_checked_at"), ymd("gone_at").alias("gone_at"),
+        *[F.lit(c[x]).alias(f"n_{x}") for x in ("alive", "gone", "failed")])
+
+
 # --------------------------------------------------------------------------- timers
 _EXPIRY = "try_strptime(ad_expiry, '%Y-%m-%d %H:%M:%S')"
 _AT = {"2001-07-14": "2001-07-14 09:00:00", "2001-07-15": "2001-07-15 09:00:00"}

@@ -9,7 +9,8 @@
 * ST3 ``dedup_sightings``: repeated sightings of a listing across slices within a
   watermark are dropped.
 * ST4 ``recheck_stream``: probe results arriving over time drive the availability
-  transition, one table version per micro-batch.
+  transition, one table version per micro-batch. ``recheck_states_stream`` does so on the table by state, of
+  which a micro-batch rewrites only the states that its probes are about, and counts what came (A10).
 
 Every job takes an explicit checkpoint location; callers pass a folder under the
 cluster's shared checkpoint directory (``letwise.session.scratch_path``).
@@ -24,15 +25,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from letwise import schemas as S
-from letwise.operators.availability import recheck_by_day
+from letwise.operators.availability import probe_counters, recheck_by_day
 from letwise.operators.clean import clean_listings
 from letwise.operators.upsert import split_quarantine, upsert
 from letwise.plans.pipeline import stage
-from letwise.plans.state_load import merge_states
+from letwise.plans.state_load import merge_states, recheck_states
 from letwise.session import literal_frame
 from letwise.sources.files import split_corrupt
 from letwise.sources.records import named_rows, record_stream, staged_records
 from letwise.sources.snapshot import commit_state, read_snapshot, write_snapshot
+from letwise.sources.states import read_stored
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -65,16 +67,20 @@ def _run(stream: DataFrame, apply, checkpoint: str) -> StreamingQuery:
     return q
 
 
-def _write_counters(spark: SparkSession, root: str, place: str, counters: dict[str, int]) -> None:
+LOADS, RECHECKS = "_counters", "_recheck_counters"
+
+
+def _write_counters(spark: SparkSession, root: str, place: str, counters: dict[str, int], kind: str = LOADS) -> None:
     """A10: one row of counters a micro-batch, in a folder of its own, so that a replay replaces it."""
     names = sorted(counters)
     literal_frame(spark, [tuple(int(counters[c]) for c in names)], ", ".join(f"{c} long" for c in names)) \
-        .write.mode("overwrite").parquet(f"{root}/_counters/{place}")
+        .write.mode("overwrite").parquet(f"{root}/{kind}/{place}")
 
 
-def read_counters(spark: SparkSession, root: str) -> DataFrame:
-    """A10: the counters of every micro-batch: ``query``, ``batch_id`` and one column a counter."""
-    return spark.read.parquet(f"{root.rstrip('/')}/_counters")
+def read_counters(spark: SparkSession, root: str, kind: str = LOADS) -> DataFrame:
+    """A10: the counters of every micro-batch of loads or of re-checks: ``query``, ``batch_id`` and one column a
+    counter."""
+    return spark.read.parquet(f"{root.rstrip('/')}/{kind}")
 
 
 def ingest_raw(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,
@@ -187,3 +193,25 @@ def recheck_stream(probes: DataFrame, table_root: str, checkpoint: str, writer_i
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q
+
+
+def recheck_states_stream(probes: DataFrame, table_root: str, checkpoint: str) -> StreamingQuery:
+    """ST4 on the table by state: a micro-batch of probe results rewrites only the folders of the listings it is about
+    (``recheck_states``); probes of listings that the table does not hold change nothing. Replaying a micro-batch changes
+    nothing, for a probe that was applied finds its listing gone or not due. While the table holds no listing the
+    query fails and the probes wait in the source. Counters (A10): pulled = alive + gone + failed, ``probed`` listings
+    of the table (each once) and the folders rewritten."""
+    root = table_root.rstrip("/")
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if read_stored(spark, root).isEmpty():
+            raise ValueError(f"no table at {root} yet; its probes stay in the source")
+        log = stage(spark, batch, "probes")
+        done = recheck_states(spark, log, root)
+        sums = [F.coalesce(F.sum(f"n_{x}"), F.lit(0)).alias(x) for x in ("alive", "gone", "failed")]
+        seen = probe_counters(log).agg(*sums).first().asDict()
+        _write_counters(spark, root, _place(spark, checkpoint, batch_id),
+                        {"pulled": log.count(), "probed": done["probed"], "parts": len(done["parts"]), **seen}, RECHECKS)
+
+    return _run(probes, apply, checkpoint)

@@ -1,5 +1,6 @@
 """The tables kept between loads: by state (S7, M1, M5) and by bucket."""
 
+import datetime as dt
 import glob
 import os
 
@@ -152,6 +153,34 @@ def test_recheck_rewrites_the_probed_states(spark, tmp_path):
     assert recheck_states(spark, probes.limit(0), root) == {"parts": [], "probed": 0}
 
 
+def test_streamed_probes_rewrite_only_their_states_and_are_counted(spark, tmp_path):
+    from letwise.streaming.jobs import RECHECKS, read_counters, recheck_states_stream
+    root, src = str(tmp_path / "t"), str(tmp_path / "probes")
+    schema = "ads_id string, checked_at timestamp, http_ok boolean, n_items long"
+    at = [dt.datetime(2026, 6, x, 9) for x in (1, 20)]
+    first = [("0", at[0], True, 0), ("4", at[0], True, 2), ("nobody", at[0], True, 0), ("1", at[0], False, 0), (None, at[0], True, 1)]
+    spark.createDataFrame(first, schema).coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    with pytest.raises(Exception, match="no table"):
+        recheck_states_stream(stream.parquet(src), root, str(tmp_path / "ck"))
+    listings = [(str(i), float(i), f"S{i % 4}", "1", "2026-05-01") for i in range(40)]
+    merge_states(spark, spark.createDataFrame(listings, BATCH), root)
+    before = files(root)
+    recheck_states_stream(stream.parquet(src), root, str(tmp_path / "ck"))
+    changed = {p for p in before if before[p] != files(root).get(p)}
+    assert changed == {p for p in before if f"{PART}=s0/" in p or f"{PART}=s1/" in p}
+    once = rows_of(read_states(spark, root))
+    recheck_states_stream(stream.parquet(src), root, str(tmp_path / "again"))     # the same probes by another checkpoint
+    assert rows_of(read_states(spark, root)) == once
+    spark.createDataFrame([("4", at[1], True, 0)], schema).coalesce(1).write.mode("append").parquet(src)
+    recheck_states_stream(stream.parquet(src), root, str(tmp_path / "ck"))
+    status = {r.ads_id: (r.availability_status, str(r.last_checked_at)) for r in read_states(spark, root).collect()}
+    assert len(status) == 40 and status["0"][0] != "active" and status["4"] == (status["4"][0], "2026-06-20") != ("active", "2026-06-20")
+    assert status["1"] == ("active", "None") and status["5"] == ("active", "None")
+    got = read_counters(spark, root, RECHECKS).select("pulled", "alive", "gone", "failed", "probed", "parts").collect()
+    assert sorted(map(tuple, got)) == [(1, 0, 1, 0, 1, 1), (5, 2, 2, 1, 3, 2), (5, 2, 2, 1, 3, 2)]
+
+
 @pytest.mark.parametrize("buckets", [3, 8])
 def test_bucketed_merge_equals_the_upsert_and_moves_only_the_batch(spark, tmp_path, buckets):
     one, two, _ = batches(spark)
