@@ -925,7 +925,9 @@ def _recheck_stream(spark: SparkSession, d: str, files: int | None) -> DataFrame
     write_snapshot(t, root)
     log = B.order_probe_log(spark, d).withColumn("day", F.to_date("checked_at"))
     for day in ("2001-07-14", "2001-07-15"):  # landed day by day
-        log.where(F.col("day") == day).drop("day").coalesce(1).write.mode("append").parquet(src)
+        rows = log.where(F.col("day") == day).drop("day")
+        # a file a day where a file is a micro-batch: only its rows come to one task, not the joins before it
+        (rows.repartition(1) if files else rows).write.mode("append").parquet(src)
     stream = spark.readStream.schema(S.PROBE_SCHEMA)
     stream = stream.option("maxFilesPerTrigger", files) if files else stream
     recheck_stream(stream.parquet(src), root, ck, writer_id="probes")

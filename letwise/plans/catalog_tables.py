@@ -130,7 +130,7 @@ def stream_recheck_by_state(spark: SparkSession, d: str) -> DataFrame:
     overwrite_parts(to_stored(table.select(*fields)), root)
     log = B.order_probe_log(spark, d)
     for day in _AT:
-        log.where(F.to_date("checked_at") == day).coalesce(1).write.mode("append").parquet(src)
+        log.where(F.to_date("checked_at") == day).repartition(1).write.mode("append").parquet(src)
     recheck_states_stream(spark.readStream.schema(S.PROBE_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src), root, ck)
     c = read_counters(spark, root, RECHECKS).agg(*[F.sum(x).alias(x) for x in ("alive", "gone", "failed")]).first()
     return read_states(spark, root).select(
@@ -167,7 +167,7 @@ def stream_timers(spark: SparkSession, d: str) -> DataFrame:
     table = spark.read.parquet(table_dir)
     log = B.order_probe_log(spark, d).where(F.col("ads_id").cast("bigint") % 9 != 0).withColumn("day", F.to_date("checked_at"))
     for day in _AT:
-        log.where(F.col("day") == day).drop("day").coalesce(1).write.mode("append").parquet(src)
+        log.where(F.col("day") == day).drop("day").repartition(1).write.mode("append").parquet(src)
     stream = spark.readStream.schema(S.PROBE_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
     track_availability(spark, stream, table, sink, ck)
     return apply_changes(table, spark.read.parquet(sink)).select(
