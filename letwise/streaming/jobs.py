@@ -1,6 +1,6 @@
 """Structured Streaming forms of the repeated incremental runs.
 
-* ST1 ``ingest_raw``: new raw CSV files are cleaned and added exactly once (native CSV file
+* ST1 ``ingest_raw``: new raw CSV files are cleaned and added exactly once (native text file
   source + checkpoint + one output folder per micro-batch; ``availableNow`` processes
   what is there and stops). ``load_stream`` merges them into the table by state instead. Both can archive
   the files they loaded (S12) and count what every micro-batch did (A10).
@@ -52,13 +52,13 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def _landed(batch: DataFrame, mapping: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame, Observation]:
-    """A micro-batch of landed records, staged once: its listing rows, the cleaned ones, the corrupt ones, and the
-    records that came."""
-    batch, records = _counted(batch, "records")
-    rows = stage(batch.sparkSession, named_rows(staged_records(batch)), "rows")
+def _landed(batch: DataFrame, mapping: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """A micro-batch of landed lines, staged once: its listing rows, the cleaned ones, the corrupt ones, and how many
+    records came."""
+    records = staged_records(batch)
+    rows = stage(batch.sparkSession, named_rows(records), "rows")
     good, corrupt = split_corrupt(rows)
-    return rows, clean_listings(good.drop("source_file", "CPI"), mapping, drop_empty_rows=False), corrupt, records
+    return rows, clean_listings(good.drop("source_file", "CPI"), mapping, drop_empty_rows=False), corrupt, records.count()
 
 
 def _run(stream: DataFrame, apply, checkpoint: str) -> StreamingQuery:
@@ -89,8 +89,8 @@ def ingest_raw(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint:
     """ST1: clean every new raw file once and add it to ``sink_dir`` (Parquet). Rows that do not parse go to
     ``quarantine_dir`` (``<sink>/_quarantine`` by default); with ``archive_dir`` loaded files move there (S12).
 
-    The records come through the file source itself and are staged once a micro-batch; no path is read again and
-    nothing is collected. The cleaning runs as batch code on the staged records and writes the batch to its own
+    The lines come through the file source itself and are staged once a micro-batch; only files with line breaks in
+    fields are read again, as a whole. The cleaning runs as batch code on the staged records and writes the batch to its own
     folder ``query=<id>/batch_id=<n>`` with overwrite, so a replayed micro-batch rewrites the same folder and another
     checkpoint never meets it: the sink is exactly-once. Counters (A10): pulled = corrupt + excluded + kept."""
     root = sink_dir.rstrip("/")
@@ -105,7 +105,7 @@ def ingest_raw(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint:
         cleaned.write.mode("overwrite").parquet(f"{root}/{place}")
         pulled = rows.count()
         _write_counters(spark, root, place, {
-            "records": records.get["rows"], "pulled": pulled, "corrupt": bad.get["rows"], "kept": kept.get["rows"],
+            "records": records, "pulled": pulled, "corrupt": bad.get["rows"], "kept": kept.get["rows"],
             "excluded": pulled - bad.get["rows"] - kept.get["rows"]})
 
     return _run(record_stream(spark, source_dir, max_files_per_trigger, archive_dir), apply, checkpoint)
@@ -131,7 +131,7 @@ def load_stream(spark: SparkSession, source_dir: str, table_root: str, checkpoin
         done = merge_states(spark, good, root)
         pulled = rows.count()
         _write_counters(spark, root, place, {
-            "records": records.get["rows"], "pulled": pulled, "corrupt": bad.get["rows"], "blank_key": keyless.get["rows"],
+            "records": records, "pulled": pulled, "corrupt": bad.get["rows"], "blank_key": keyless.get["rows"],
             "kept": kept.get["rows"], "excluded": pulled - bad.get["rows"] - keyless.get["rows"] - kept.get["rows"],
             "keys": done["batch_keys"], "parts": len(done["parts"]), "dedup_removed": done["dedup_removed"]})
 

@@ -57,6 +57,40 @@ def test_wide_records_are_kept_apart(spark, tmp_path):
     assert [r[0] for r in rows if r[at] is None] == ["2"] and sum(r[at] is not None for r in rows) == 2
 
 
+def test_a_landed_file_is_many_tasks_in_the_stream(spark, tmp_path):
+    src, tasks, rows = tmp_path / "raw", [], []
+    land(src, "plain.csv", "ads_id,state,address\n" + "".join(f'{i:04d},"Johor, ""J""",\n' for i in range(800)))
+    land(src, "broken[1].csv", "ads_id,state,address\n" + "".join(f'9{i:03d},Kedah,"a\nb"\n' for i in range(300)))
+
+    def take(batch, _):
+        tasks.append(batch.rdd.getNumPartitions())
+        rows.extend(named_rows(staged_records(batch)).orderBy("load_key").collect())
+
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        record_stream(spark, str(src)).writeStream.foreachBatch(take).option("checkpointLocation", str(tmp_path / "ck")) \
+            .trigger(availableNow=True).start().awaitTermination()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert tasks[0] > 5                                                       # two files, a task each before
+    assert all(r[CORRUPT] is None for r in rows)
+    good = [(r.ads_id, r.state, r.address) for r in rows]
+    assert [x for x in good if x[1] != "Kedah"] == [(f"{i:04d}", 'Johor, "J"', None) for i in range(800)]   # load_key follows the place
+    assert [x for x in good if x[1] == "Kedah"] == [(f"9{i:03d}", "Kedah", "a\nb") for i in range(300)]
+
+
+def test_a_line_that_may_not_be_a_record_is_left_to_the_csv_reader(spark, tmp_path):
+    src = tmp_path / "raw"
+    land(src, "a.csv", 'ads_id,state,address\n1,a","b\n2,c"\n3,Perak,x\n')          # quotes are even, yet a field runs on
+    land(src, "b.csv", 'ads_id,state\n4,"Johor"\r\n5,Perak\n')                       # line ends of two kinds
+    rows = streamed(spark, src, tmp_path / "ck")
+    at = len(S.RAW_COLUMNS) + 1
+    assert sorted(r[0] for r in rows if r[at] is None) == ["1", "3", "4", "5"]
+
+
 LISTING = "ads_id,monthly_rent,state,scrape_date\n"
 
 
